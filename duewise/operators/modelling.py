@@ -1,0 +1,34 @@
+"""Two-part model: probability of cure times conditional amount, on distributed boosted trees."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from duewise.operators.ordering import running
+from duewise.session import staged
+
+SPLITS = ("train", "validation", "calibration", "test")
+
+
+def group_split(
+    df: DataFrame, group: str, test: float = 0.25, calibration: float = 0.20, validation: float = 0.15, seed: int = 42
+) -> DataFrame:
+    """Each group's split: exact shares of groups in the order of a seeded hash, so no group is cut."""
+    groups = staged(df.select(group).where(F.col(group).isNotNull()).distinct(), "groups")
+    n = groups.count()
+    n_test = math.ceil(test * n)
+    n_calibration = math.ceil(calibration * (n - n_test))
+    n_validation = math.ceil(validation * (n - n_test - n_calibration))
+    hashed = groups.withColumn("_hash", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(group).cast("string"))))
+    ranked = running(hashed, [F.col("_hash").asc(), F.col(group).asc()])
+    at = F.col("position")
+    return ranked.select(
+        group,
+        F.when(at <= n_test, "test")
+        .when(at <= n_test + n_calibration, "calibration")
+        .when(at <= n_test + n_calibration + n_validation, "validation")
+        .otherwise("train").alias("split"),
+    )
