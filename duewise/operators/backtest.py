@@ -121,7 +121,9 @@ def random_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS, simulati
     sizes = {f: top_n(rows, f) for f in fractions}
     measures = ("_recovery", "_success", "_cost")
 
-    draws = df.select(draw_key(df).alias("_key"), *_outcomes(df)).select(
+    # Every row becomes `simulations` rows inside its task, so the few narrow rows are spread first.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = df.select(draw_key(df).alias("_key"), *_outcomes(df)).repartition(spread).select(
         *measures, F.explode(F.sequence(F.lit(1), F.lit(simulations))).alias("sim"), "_key"
     )
     draws = draws.withColumn("_hash", F.md5(F.concat_ws("|", F.col("sim").cast("string"), F.col("_key")))).drop("_key")
@@ -137,10 +139,11 @@ def random_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS, simulati
         "sim", "_group", "_n",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         *[F.coalesce(F.sum(m).over(before), F.lit(0.0)).alias(f"{m}_before") for m in measures],
-        F.explode(F.array(*[
-            F.struct(F.lit(f).alias("top_pct"), F.lit(n).cast("long").alias("contacted")) for f, n in sizes.items()
-        ])).alias("_f"),
-    ).select("*", "_f.*").drop("_f")
+    )
+    # A second select: an explode beside the windows would repeat rows before they are added up.
+    running_groups = running_groups.withColumn("_f", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("top_pct"), F.lit(n).cast("long").alias("contacted")) for f, n in sizes.items()
+    ]))).select("*", "_f.*").drop("_f")
     # One row per simulation and fraction: the group that holds the n-th row.
     edge = running_groups.where(
         (F.col("_n_before") < F.col("contacted")) & (F.col("_n_before") + F.col("_n") >= F.col("contacted"))

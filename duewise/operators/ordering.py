@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from duewise.session import staged
 
 HOT_ROWS = 1_000_000
+LISTED_KEYS = 10_000  # hot keys held as a list; more are written as a table
 FIND = object()  # look for hot keys here, rather than take them from the caller
 
 
@@ -84,8 +85,12 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | N
         .where(F.col("count") > 0.5 * fraction * hot_rows)
         .select(key)
     )
-    keys = staged(keys, "hot")
-    return None if keys.isEmpty() else keys
+    few = keys.limit(LISTED_KEYS + 1).collect()
+    if not few:
+        return None
+    if len(few) <= LISTED_KEYS:
+        return df.sparkSession.createDataFrame(few, keys.schema)
+    return staged(keys, "hot")
 
 
 def split_hot(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

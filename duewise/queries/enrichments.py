@@ -8,13 +8,12 @@ from duewise.functions.expressions import status_number
 from duewise.operators import enrichment
 from duewise.queries.shared import EV, credit_table, events, shape_ctes, tidy, tidy_sql, with_ctes
 
-_BUREAU = {"bureau_credit_sum_total": 4, "bureau_credit_debt_total": 4, "bureau_credit_overdue_total": 8,
+_BUREAU = {"bureau_credit_sum_total": 4, "bureau_credit_debt_total": 4, "bureau_credit_overdue_total": 4,
            "bureau_debt_to_credit_mean": 9}
 _STATUS = {"bb_status_mean": 9, "bb_delinquent_rate_mean": 9}
 _POS = {"pos_cnt_instalment_mean": 9, "pos_cnt_instalment_future_mean": 9}
-# Digits lie past those of the exact means, so that no mean sits half-way between two roundings.
-_CARD = {c: 9 for c in ("cc_balance_mean", "cc_credit_limit_mean", "cc_drawings_mean", "cc_receivable_principal_mean")} | {
-    "cc_payment_current_mean": 10, "cc_utilization_mean": 12, "cc_payment_to_balance_mean": 12}
+_CARD = {c: 5 for c in ("cc_balance_mean", "cc_credit_limit_mean", "cc_drawings_mean", "cc_receivable_principal_mean")} | {
+    "cc_payment_current_mean": 5, "cc_utilization_mean": 8, "cc_payment_to_balance_mean": 8}
 _TABLES = ("bureau", "bureau_balance", "pos_cash", "credit_card")
 
 
@@ -30,7 +29,7 @@ def _status_map(spark, folder):
 def _full_outer(spark, folder):
     out = enrichment.optional_customer_features(_load(spark, folder, *_TABLES))
     return tidy(out.select("customer_id", "bureau_n_credits", "bb_status_max", "bb_months_total", "pos_records_count",
-                           "pos_dpd_max", "cc_records_count", "cc_utilization_max", "cc_balance_mean"), cc_balance_mean=9)
+                           "pos_dpd_max", "cc_records_count", "cc_utilization_max", "cc_balance_mean"), cc_balance_mean=5)
 
 
 def _join_enrichment(spark, folder):
@@ -113,7 +112,7 @@ CHECKS = {
     "card_features": tidy_sql(with_ctes(shape_ctes("credit_card"), _CARD_SQL), **_CARD),
     "join_optional_outer": tidy_sql(with_ctes(ENRICHED_CTES, """
         SELECT customer_id, bureau_n_credits, bb_status_max, bb_months_total, pos_records_count, pos_dpd_max,
-               cc_records_count, cc_utilization_max, cc_balance_mean FROM extra"""), cc_balance_mean=9),
+               cc_records_count, cc_utilization_max, cc_balance_mean FROM extra"""), cc_balance_mean=5),
     "join_enrichment": with_ctes(f"{EV}, {ENRICHED_CTES}", """
         SELECT credit_id, due_day, number, instalment, bureau_n_credits, bb_status_max, pos_dpd_max, cc_dpd_max
         FROM ev LEFT JOIN extra USING (customer_id)"""),

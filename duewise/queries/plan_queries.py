@@ -1,2 +1,135 @@
-QUERIES = {}
-CHECKS = {}
+"""Contact plans on the one-row-per-credit portfolio."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from duewise import fixed_values as V
+from duewise.operators import allocation, views
+from duewise.queries.shared import PORTFOLIO, portfolio, staged, tidy, tidy_sql, with_ctes
+
+BUDGET = 500_000
+TIGHT = {"budget": 300_000, "capacity": 600, "channel_limits": {"automatico": 200, "llamada": 150}, "per_customer": 1}
+_KEY = ("customer_id", "credit_id")
+_TOTALS = {"cumulative_cost": 2, "cumulative_recovery": 1, "cumulative_net": 1}
+_PLAN = (*_KEY, "action", "channel", "action_cost", "expected_net_value", "contact_order", "cumulative_cost",
+         "cumulative_recovery", "cumulative_net")
+
+
+def _greedy_rows(spark, folder, **limits):
+    return tidy(allocation.plan_greedy(portfolio(spark, folder), **limits).rows.select(*_PLAN), **_TOTALS)
+
+
+def _running_totals(spark, folder):
+    """Totals over all candidates in contact order: what a plan without limits adds up to."""
+    rows = allocation._finalise(staged(allocation.plan_candidates(portfolio(spark, folder)), "all"), "all")
+    return tidy(rows.select(*_KEY, "contact_order", "cumulative_cost", "cumulative_recovery", "cumulative_net"), **_TOTALS)
+
+
+def _figures(spark, summary):
+    names = ("contacts", "cost_used", "budget_unused", "expected_recovery", "expected_net_value", "mean_roi")
+    rows = [(n, float(summary[n])) for n in names]
+    rows += [(f"channel {k}", float(v)) for k, v in summary["contacts_by_channel"].items()]
+    rows += [(f"action {k}", float(v)) for k, v in summary["contacts_by_action"].items()]
+    return tidy(spark.createDataFrame(rows, "figure string, value double"), value=2)
+
+
+def _action_table(spark, folder):
+    """Every portfolio row with three feasible actions, each with its cost and net value."""
+    actions = ((V.ACTION_AUTO_MESSAGE, 250.0, 0.6), (V.ACTION_PRIORITY_CALL, 1200.0, 0.9), (V.ACTION_SPECIALIST, 5000.0, 1.0))
+    offers = F.explode(F.array(*[
+        F.struct(F.lit(a).alias("action"), F.lit(c).alias("action_cost"), F.lit(e).alias("effect")) for a, c, e in actions
+    ]))
+    base = portfolio(spark, folder).select(*_KEY, "instalment_no", "relative_due_day", "amount_due", "expected_recovery", offers.alias("o"))
+    return base.select(*_KEY, "instalment_no", "relative_due_day", "amount_due", "o.action", "o.action_cost",
+                       (F.col("expected_recovery") * F.col("o.effect")).alias("expected_recovery")).withColumn(
+        "expected_net_value", F.col("expected_recovery") - F.col("action_cost"))
+
+
+def _what_if(spark, folder):
+    picked = views.portfolio_filter(portfolio(spark, folder), priorities=(V.PRIORITY_HIGH, V.PRIORITY_MEDIUM), min_amount=10000.0)
+    plan = allocation.plan_contacts(picked, "greedy", budget=200_000, capacity=150, channel_limits={"especializada": 10})
+    return tidy(plan.rows.select(*_PLAN), **_TOTALS)
+
+
+QUERIES = {
+    "plan_candidates": lambda s, d: allocation.plan_candidates(portfolio(s, d), 1000.0).select(
+        *_KEY, "channel", "roi", "entity_key", "expected_net_value"),
+    "net_value_floor": lambda s, d: allocation.plan_candidates(portfolio(s, d), 25000.0).groupBy("channel").agg(
+        F.count(F.lit(1)).alias("rows")),
+    "plan_running_totals": _running_totals,
+    "plan_greedy": lambda s, d: _greedy_rows(s, d, budget=BUDGET),
+    "plan_greedy_limits": lambda s, d: _greedy_rows(s, d, **TIGHT),
+    "plan_summary": lambda s, d: _figures(s, allocation.plan_greedy(portfolio(s, d), **TIGHT).summary),
+    "plan_optimised": lambda s, d: allocation.plan_optimised(portfolio(s, d), **TIGHT).rows.select(*_PLAN),
+    "plan_action_assignment": lambda s, d: allocation.plan_action_assignment(
+        _action_table(s, d), budget=BUDGET, entity=["customer_id"]).rows.select(*_PLAN),
+    "plan_compare": lambda s, d: allocation.plan_compare(portfolio(s, d), budget=BUDGET),
+    "what_if_plan": _what_if,
+}
+
+_CAND = PORTFOLIO + """,
+    cand AS (
+        SELECT *, CASE WHEN regexp_matches(lower(action), 'descuento|especializada|especialista') THEN 'especializada'
+                       WHEN regexp_matches(lower(action), 'llamada|telef') THEN 'llamada'
+                       WHEN regexp_matches(lower(action), 'whatsapp|sms|automático|automatico|monitoreo|postergar|recordatorio') THEN 'automatico'
+                       ELSE 'manual' END AS channel, expected_net_value / action_cost AS roi
+        FROM portfolio WHERE expected_net_value >= {floor}{where})"""
+
+
+def _greedy_ctes(budget, capacity=None, channels=None, floor=0, where="") -> str:
+    """The sequential rule, one row at a time: the state rides along in a recursive query."""
+    channels = channels or {}
+    room = f"AND g.n < {capacity}" if capacity is not None else ""
+    test = f"""g.used + c.action_cost <= {budget} + 1e-9 {room} AND NOT list_contains(g.who, c.customer_id)""" + "".join(
+        f" AND (c.channel <> '{ch}' OR g.n_{i} < {n})" for i, (ch, n) in enumerate(channels.items()))
+    counters = "".join(f", 0::BIGINT AS n_{i}" for i in range(len(channels)))
+    steps = "".join(
+        f", g.n_{i} + CASE WHEN {test} AND c.channel = '{ch}' THEN 1 ELSE 0 END" for i, ch in enumerate(channels))
+    return _CAND.format(floor=floor, where=where) + f""",
+    ord AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY roi DESC, expected_net_value DESC, expected_recovery DESC, customer_id, credit_id) AS k FROM cand),
+    g AS (
+        SELECT 0::BIGINT AS k, 0.0::DOUBLE AS used, 0::BIGINT AS n, []::BIGINT[] AS who, false AS hit{counters}
+        UNION ALL
+        SELECT c.k, g.used + CASE WHEN {test} THEN c.action_cost ELSE 0 END, g.n + CASE WHEN {test} THEN 1 ELSE 0 END,
+               CASE WHEN {test} THEN list_append(g.who, c.customer_id) ELSE g.who END, {test}{steps}
+        FROM g JOIN ord c ON c.k = g.k + 1),
+    plan AS (
+        SELECT customer_id, credit_id, action, channel, action_cost, expected_recovery, expected_net_value, roi, row_number() OVER w AS contact_order,
+               sum(action_cost) OVER w AS cumulative_cost, sum(expected_recovery) OVER w AS cumulative_recovery,
+               sum(expected_net_value) OVER w AS cumulative_net
+        FROM ord WHERE k IN (SELECT k FROM g WHERE hit)
+        WINDOW w AS (ORDER BY expected_net_value DESC, roi DESC, expected_recovery DESC, customer_id, credit_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _recursive(ctes: str, body: str) -> str:
+    return f"WITH RECURSIVE {ctes} {body}"
+
+
+_P = ", ".join(_PLAN)
+_TIGHT_CTES = _greedy_ctes(300000, 600, {"automatico": 200, "llamada": 150})
+CHECKS = {
+    "plan_candidates": with_ctes(_CAND.format(floor=1000, where=""), """
+        SELECT customer_id, credit_id, channel, roi, customer_id || '|' || credit_id AS entity_key, expected_net_value FROM cand"""),
+    "net_value_floor": with_ctes(_CAND.format(floor=25000, where=""), "SELECT channel, count(*) AS rows FROM cand GROUP BY channel"),
+    "plan_running_totals": tidy_sql(with_ctes(_CAND.format(floor=0, where=""), """
+        SELECT customer_id, credit_id, row_number() OVER w AS contact_order, sum(action_cost) OVER w AS cumulative_cost,
+               sum(expected_recovery) OVER w AS cumulative_recovery, sum(expected_net_value) OVER w AS cumulative_net
+        FROM cand WINDOW w AS (ORDER BY expected_net_value DESC, roi DESC, expected_recovery DESC, customer_id, credit_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""), **_TOTALS),
+    "plan_greedy": tidy_sql(_recursive(_greedy_ctes(BUDGET), f"SELECT {_P} FROM plan"), **_TOTALS),
+    "plan_greedy_limits": tidy_sql(_recursive(_TIGHT_CTES, f"SELECT {_P} FROM plan"), **_TOTALS),
+    "plan_summary": tidy_sql(_recursive(_TIGHT_CTES, """
+        SELECT 'contacts' AS figure, count(*)::DOUBLE AS value FROM plan
+        UNION ALL SELECT 'cost_used', sum(action_cost) FROM plan
+        UNION ALL SELECT 'budget_unused', 300000 - sum(action_cost) FROM plan
+        UNION ALL SELECT 'expected_recovery', sum(expected_recovery) FROM plan
+        UNION ALL SELECT 'expected_net_value', sum(expected_net_value) FROM plan
+        UNION ALL SELECT 'mean_roi', avg(roi) FROM plan
+        UNION ALL SELECT 'channel ' || channel, count(*) FROM plan GROUP BY channel
+        UNION ALL SELECT 'action ' || action, count(*) FROM plan GROUP BY action"""), value=2),
+    "what_if_plan": tidy_sql(_recursive(_greedy_ctes(
+        200000, 150, {"especializada": 10}, where=" AND priority IN ('Alta', 'Media') AND amount_due >= 10000"),
+        f"SELECT {_P} FROM plan"), **_TOTALS),
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duewise.functions.expressions import rounded
+from duewise.functions.expressions import ROUNDING_CUT, rounded
 from duewise.operators import decision, enrichment, history, targets
 from duewise.session import staged
 from duewise.sources.fixtures import SHAPES, check_sql, credit_table, credit_tables
@@ -19,7 +19,7 @@ def tidy(df: DataFrame, **digits: int) -> DataFrame:
 
 
 def tidy_sql(sql: str, **digits: int) -> str:
-    body = ", ".join(f'floor({c} * 1e{d} + 0.5) / 1e{d} AS {c}' for c, d in digits.items())
+    body = ", ".join(f'floor({c} * 1e{d} + {ROUNDING_CUT}::DOUBLE) / 1e{d} AS {c}' for c, d in digits.items())
     return f"SELECT * REPLACE ({body}) FROM ({sql})" if body else sql
 
 
