@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ KNOWN_CHANNELS = (V.CHANNEL_AUTO, V.CHANNEL_CALL, V.CHANNEL_SPECIALIST, V.CHANNE
 CANDIDATE_COLUMNS = ("expected_net_value", "expected_recovery", "action_cost")
 TOLERANCE = 1e-9
 RANGES = 4_096  # rank ranges added up per look; as many small rows reach the driver
-GRID = 16  # multiplier values tried per pass over the rows
+SEARCH_ROWS = 1_000_000  # rows the search for prices looks at
+SEARCH_PASSES = 7
+POINTS = 12  # sets of prices tried per pass
 
 
 @dataclass(frozen=True)
@@ -262,79 +265,114 @@ def _finished(ranked: DataFrame, ids: DataFrame, method: str, limits: Limits, st
     return Plan(rows, summarise(rows, method, limits, status, bound=bound))
 
 
-@dataclass
-class _Multipliers:
-    """Prices of the limits: budget, capacity and each limited channel."""
-
-    budget: float = 0.0
-    capacity: float = 0.0
-    channels: dict[str, float] = field(default_factory=dict)
-
-    def moved(self, name: str, value: float) -> "_Multipliers":
-        if name in ("budget", "capacity"):
-            return _Multipliers(**{**self.__dict__, name: value})
-        return _Multipliers(self.budget, self.capacity, {**self.channels, name: value})
+def _uses(limits: Limits) -> list[tuple[Column, float]]:
+    """What a row uses of each shared limit, and the limit."""
+    uses = [(F.col("action_cost"), limits.budget)]
+    if limits.capacity is not None:
+        uses.append((F.lit(1.0), limits.capacity))
+    return uses + [((F.col("channel") == c).cast("double"), n) for c, n in limits.channels.items()]
 
-    def reduced(self) -> Column:
-        """Net value less the price of everything the row uses up."""
-        price = F.lit(self.budget) * F.col("action_cost") + F.lit(self.capacity)
-        for channel, cost in self.channels.items():
-            price = price + F.when(F.col("channel") == channel, F.lit(cost)).otherwise(0.0)
-        return F.col("expected_net_value") - price
 
-    def fixed_part(self, limits: Limits) -> float:
-        return (
-            self.budget * limits.budget
-            + (self.capacity * limits.capacity if limits.capacity is not None else 0.0)
-            + sum(self.channels[c] * limits.channels[c] for c in self.channels)
-        )
+def _reduced(prices: list[Column], limits: Limits) -> Column:
+    """Net value less the price of what the row uses."""
+    out = F.col("expected_net_value")
+    for price, (use, _) in zip(prices, _uses(limits)):
+        out = out - price * use
+    return out
 
 
-def _bounds(pruned: DataFrame, points: list[_Multipliers], limits: Limits) -> list[float]:
-    """Upper bound on the best plan for each set of prices, all in one pass.
+def _bounds(rows: DataFrame, points: np.ndarray, limits: Limits) -> list[tuple[float, np.ndarray]]:
+    """For each set of prices: an upper bound on the best plan, and its slope in the prices.
 
     Any prices give a valid bound: the priced value of the best rows each customer may have, plus the
-    worth of the limits. Rows are tried against every set inside their task.
+    worth of the limits. Rows are tried against every set inside their task and added up there first.
+    The prices are one constant array, so the generated code is the same in every pass.
     """
-    tried = pruned.select(
-        "who",
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("point"), m.reduced().alias("reduced")) for i, m in enumerate(points)
-        ])).alias("t"),
-    ).select("who", "t.point", "t.reduced").where(F.col("reduced") > 0)
-    if limits.per_customer is not None:
+    uses = _uses(limits)
+    names = [f"use_{k}" for k in range(len(uses))]
+    table = F.array(*[
+        F.struct(F.lit(i).alias("point"), *[F.lit(float(v)).alias(f"price_{k}") for k, v in enumerate(x)])
+        for i, x in enumerate(points)
+    ])
+    prices = [F.col(f"t.price_{k}") for k in range(len(uses))]
+    tried = (
+        rows.select("who", "channel", "action_cost", "expected_net_value", F.explode(table).alias("t"))
+        .select("who", "t.point", _reduced(prices, limits).alias("reduced"), *[u.alias(n) for (u, _), n in zip(uses, names)])
+        .where(F.col("reduced") > 0)
+    )
+    if limits.per_customer == 1:
+        tried = tried.groupBy("who", "point").agg(F.max(F.struct("reduced", *names)).alias("b")).select("point", "b.*")
+    elif limits.per_customer is not None:
         best = Window.partitionBy("who", "point").orderBy(F.col("reduced").desc())
         tried = tried.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= limits.per_customer)
-    sums = {r["point"]: r["s"] for r in tried.groupBy("point").agg(F.sum("reduced").alias("s")).collect()}
-    return [sums.get(i, 0.0) + m.fixed_part(limits) for i, m in enumerate(points)]
+    sums = {
+        r["point"]: r for r in tried.groupBy("point").agg(F.sum("reduced").alias("s"), *[F.sum(n).alias(n) for n in names]).collect()
+    }
+    limit = np.array([float(n) for _, n in uses])
+    out = []
+    for i, x in enumerate(points):
+        used = np.array([sums[i][n] for n in names]) if i in sums else np.zeros(len(names))
+        out.append((float((sums[i]["s"] if i in sums else 0.0) + x @ limit), limit - used))
+    return out
 
 
-def _prices(pruned: DataFrame, limits: Limits, passes: int = 3) -> tuple[_Multipliers, float]:
-    """Prices with a low bound: each limit's price in turn, on a grid that closes in on the best."""
-    top = pruned.agg(
+def _next_points(cuts: list, best: np.ndarray, top: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """Prices to try next: low spots of the planes seen so far, which lie below the bound everywhere.
+
+    There are as many unknowns as limits, so a few random moves on the driver find such spots.
+    """
+    slopes = np.array([g for _, g, _ in cuts])
+    heights = np.array([v - g @ x for v, g, x in cuts])
+    points = []
+    for j in range(POINTS):
+        x, width = best.copy(), np.maximum(best, top * 0.01) * (0.5 if j % 2 else 1.0)
+        low = (heights + slopes @ x).max()
+        for _ in range(60):
+            moves = np.clip(x + draw.normal(size=(64, len(x))) * width, 0.0, top)
+            planes = (heights[:, None] + slopes @ moves.T).max(axis=0)
+            i = planes.argmin()
+            if planes[i] < low:
+                x, low = moves[i], planes[i]
+            else:
+                width = width * 0.7
+        points.append(x if j % 3 else (x + best) / 2)
+    return np.array(points)
+
+
+def _prices(pruned: DataFrame, limits: Limits) -> tuple[list[float], float]:
+    """Prices with a low bound, and that bound, by cutting planes (Kelley, SIAM 1960).
+
+    On large inputs the search looks at a hash share of customers with limits cut to the share; the
+    bound returned is always taken over all rows.
+    """
+    top_row = pruned.agg(
         F.max(F.when(F.col("action_cost") > 0, F.col("expected_net_value") / F.col("action_cost"))).alias("roi"),
-        F.max("expected_net_value").alias("net"),
+        F.max("expected_net_value").alias("net"), F.count(F.lit(1)).alias("rows"),
     ).first()
-    highest = {"budget": top["roi"] or 0.0}
-    if limits.capacity is not None:
-        highest["capacity"] = top["net"] or 0.0
-    highest |= {c: top["net"] or 0.0 for c in limits.channels}
-    best = _Multipliers(channels={c: 0.0 for c in limits.channels})
-    bound = _bounds(pruned, [best], limits)[0]
-    rounds = 1 if len(highest) == 1 else 2
-    for _ in range(rounds):
-        for name, most in highest.items():
-            low, high = 0.0, most
-            for _ in range(passes):
-                if high <= low:
-                    break
-                values = [low + (high - low) * i / (GRID - 1) for i in range(GRID)]
-                found = _bounds(pruned, [best.moved(name, v) for v in values], limits)
-                i = min(range(GRID), key=found.__getitem__)
-                if found[i] < bound:
-                    best, bound = best.moved(name, values[i]), found[i]
-                low, high = values[max(0, i - 1)], values[min(GRID - 1, i + 1)]
-    return best, bound
+    n = len(_uses(limits))
+    top = np.array([top_row["roi"] or 0.0] + [top_row["net"] or 0.0] * (n - 1))
+    looked, cut, share = pruned, limits, min(1.0, SEARCH_ROWS / max(top_row["rows"], 1))
+    if share < 1.0:
+        looked = pruned.where(F.pmod(F.xxhash64("who"), F.lit(1_000_000)) < int(share * 1_000_000))
+        cut = Limits(
+            limits.budget * share, None if limits.capacity is None else limits.capacity * share,
+            {c: m * share for c, m in limits.channels.items()}, limits.per_customer,
+        )
+    # Rows of a customer stay in one partition, so no pass shuffles them; lost blocks are read again.
+    looked = looked.repartition("who").persist()
+    draw = np.random.default_rng(7)
+    points = np.vstack([np.zeros(n), top * 10 ** draw.uniform(-3, 0, (POINTS - 1, n))])
+    cuts, best, bound = [], points[0], math.inf
+    for _ in range(SEARCH_PASSES):
+        for x, (value, slope) in zip(points, _bounds(looked, points, cut)):
+            cuts.append((value, slope, x))
+            if value < bound:
+                best, bound = x, value
+        points = _next_points(cuts, best, top, draw)
+    looked.unpersist()
+    if share < 1.0:
+        bound = _bounds(pruned, best[None, :], limits)[0][0]
+    return [float(v) for v in best], bound
 
 
 def _undominated(narrow: DataFrame, per_customer: int | None) -> DataFrame:
@@ -352,7 +390,7 @@ def _optimise(df: DataFrame, limits: Limits, min_net: float, entity: list[str] |
     pruned = staged(_undominated(narrow, limits.per_customer), "pruned")
     prices, bound = _prices(pruned, limits)
 
-    priced = pruned.withColumn("_reduced", prices.reduced()).drop("position")
+    priced = pruned.withColumn("_reduced", _reduced([F.lit(v) for v in prices], limits)).drop("position")
     repriced = running(priced, [F.col("_reduced").desc(), F.col("expected_net_value").desc(), F.col("id")])
     options = {
         "priced": staged(_greedy(repriced, limits), "ids"),

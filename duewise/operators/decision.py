@@ -52,10 +52,12 @@ def recommend_actions(
     clean = clean.withColumn("amount_pred_capped", cap_by_debt(F.col("amount_pred"), F.col("amount_due")))
     clean = clean.withColumn("expected_recovery", F.col("p_cure") * F.col("amount_pred_capped"))
 
+    rows = df.count()
     cuts = exact_quantiles(
         clean,
         {"p": F.col("p_cure"), "amount": F.col("amount_due")},
         {"p": [0.30, 0.75], "amount": [0.33, 0.65, 0.66, 0.85]},
+        rows_at_most=rows,
     )
     p_low, p_high = cuts["p"][0.30], cuts["p"][0.75]
     amount_high, amount_very_high = cuts["amount"][0.65], cuts["amount"][0.85]
@@ -86,7 +88,8 @@ def recommend_actions(
     decided = decided.withColumn("incremental_benefit", clip(gain, low=0.0))
     decided = decided.withColumn("expected_net_value", F.col("incremental_benefit") - F.col("action_cost"))
 
-    net_cuts = exact_quantiles(decided, {"net": F.col("expected_net_value")}, {"net": [0.50, 0.80]})["net"]
+    net_cuts = exact_quantiles(
+        decided, {"net": F.col("expected_net_value")}, {"net": [0.50, 0.80]}, rows_at_most=rows)["net"]
     q50, q80 = (net_cuts[0.50] or 0.0), (net_cuts[0.80] or 0.0)
     net = F.col("expected_net_value")
     return decided.withColumns({

@@ -18,15 +18,18 @@ def exact_quantiles(
     columns: dict[str, Column],
     probabilities: dict[str, list[float]],
     one_buffer_rows: int = ONE_BUFFER_ROWS,
+    rows_at_most: int | None = None,
 ) -> dict[str, dict[float, float | None]]:
     """Quantiles of several columns as driver-side scalars; None where a column has no value.
 
-    The row count is checked first. Up to ``one_buffer_rows`` one aggregate answers everything;
-    above, each column is reduced to its distinct values and ranked by range partitioning.
+    The row count is checked first, unless the caller knows a bound. Up to ``one_buffer_rows`` one
+    aggregate answers everything; above, each column is reduced to its distinct values and ranked by
+    range partitioning.
     """
     frame = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
-    counts = frame.agg(*[F.count(n).alias(n) for n in columns]).first().asDict()
-    if max(counts.values()) <= one_buffer_rows:
+    if rows_at_most is None:
+        rows_at_most = frame.count()
+    if rows_at_most <= one_buffer_rows:
         row = frame.agg(
             *[F.percentile(n, F.array(*[F.lit(q) for q in probabilities[n]])).alias(n) for n in columns]
         ).first()
@@ -34,6 +37,7 @@ def exact_quantiles(
             n: dict(zip(probabilities[n], row[n] if row[n] is not None else [None] * len(probabilities[n])))
             for n in columns
         }
+    counts = frame.agg(*[F.count(n).alias(n) for n in columns]).first().asDict()
     return {n: _ranked_quantiles(frame.select(F.col(n).alias("value")), counts[n], probabilities[n]) for n in columns}
 
 

@@ -1,2 +1,69 @@
-QUERIES = {}
+"""The two-part model, fitted on the given tables. Boosted trees have no SQL form: rows only."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from duewise.operators import modelling, policy
+from duewise.queries.shared import enriched
+from duewise.session import stage_dir
+
+# Enough trees for a steady ranking; a run of one's own sets more.
+TREES = 20
+
+
+def _features(df):
+    numeric, text = policy.feature_columns(df.drop("p_cure", "amount_pred"))
+    report = policy.apply_column_policy(numeric, text)
+    return report.kept_numeric, report.kept_categorical
+
+
+def _trained(spark, folder, baseline=False):
+    data = enriched(spark, folder).drop("p_cure", "amount_pred")
+    numeric, text = _features(data)
+    return data, modelling.train_hurdle(data, numeric, text, iterations=TREES, depth=4, baseline=baseline)
+
+
+def _rows(spark, pairs):
+    return spark.createDataFrame([(k, float(v)) for k, v in pairs if isinstance(v, (int, float)) and v is not None],
+                                 "metric string, value double")
+
+
+def _encoding(spark, folder):
+    data = enriched(spark, folder)
+    numeric, text = ["days_past_due", "last_ratio", "pos_dpd_max"], []
+    wide = data.withColumn("band", F.when(F.col("number") < 5, F.concat(F.lit("n"), F.col("number").cast("string"))))
+    text = ["band"]
+    fitted = modelling.feature_pipeline(numeric, text).fit(modelling.model_inputs(wide, numeric, text))
+    return fitted.transform(modelling.model_inputs(wide, numeric, text)).groupBy("band", "band__level", "pos_dpd_max__absent").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def _hurdle(spark, folder):
+    _, model = _trained(spark, folder, baseline=True)
+    return _rows(spark, model.metrics.items())
+
+
+def _scored_rows(spark, folder):
+    data, model = _trained(spark, folder)
+    return modelling.score_events(data, model).select(
+        "credit_id", "due_day", "number", "p_cure_raw", "p_cure", "amount_pred", "amount_pred_capped", "expected_recovery_model")
+
+
+def _stored(spark, folder):
+    """Scores of a model that was written and read back."""
+    data, model = _trained(spark, folder)
+    place = f"{stage_dir(spark)}/model-{spark.sparkContext.applicationId}"
+    modelling.save_model(model, place, spark)
+    again = modelling.load_model(place, spark)
+    return modelling.score_events(data, again).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("p_cure").alias("mean_p"), F.avg("amount_pred_capped").alias("mean_amount"))
+
+
+QUERIES = {
+    "categorical_encoding": _encoding,
+    "train_hurdle": _hurdle,
+    "score_events": _scored_rows,
+    "model_store": _stored,
+}
 CHECKS = {}

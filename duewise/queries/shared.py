@@ -68,7 +68,7 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 def holdout(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled events with decisions of their own, the input of back-tests."""
-    return staged(decision.recommend_actions(staged(targets.labelled_events(scored(spark, folder)), "labelled")), "holdout")
+    return staged(decision.recommend_actions(targets.labelled_events(scored(spark, folder))), "holdout")
 
 
 def portfolio(spark: SparkSession, folder: str) -> DataFrame:
