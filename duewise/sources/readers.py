@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,16 +91,21 @@ def load_optional_tables(spark: SparkSession, folder: str) -> dict[str, DataFram
     return {t: _load(spark, folder, t, False) for t in OPTIONAL}
 
 
-def sample_relational(tables: dict[str, DataFrame], keep_of_1000: int) -> dict[str, DataFrame]:
+def customer_bucket(customer) -> Column:
+    """0 to 65535, a function of the key alone, so every table agrees on it without a join."""
+    return F.conv(F.substring(F.md5(customer.cast("string")), 1, 4), 16, 10).cast("int")
+
+
+def sample_relational(tables: dict[str, DataFrame | None], share: float) -> dict[str, DataFrame]:
     """Keep a share of customers, and of every table the rows of the kept customers.
 
-    The customer bucket is a function of the key, so tables that carry it need no join at all; only
-    the monthly bureau table follows its parent with a semi join.
+    Tables that carry the customer are filtered where they are scanned; only the monthly bureau table
+    follows its parent with a semi join.
     """
     out = {}
     for name, df in tables.items():
         if df is not None and "customer_id" in df.columns:
-            out[name] = df.where(F.pmod(F.xxhash64("customer_id"), F.lit(1000)) < keep_of_1000)
+            out[name] = df.where(customer_bucket(F.col("customer_id")) < int(share * 65536))
     child = tables.get("bureau_balance")
     if child is not None and out.get("bureau") is not None:
         out["bureau_balance"] = child.join(out["bureau"].select("bureau_id").distinct(), "bureau_id", "left_semi")
