@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -106,55 +107,71 @@ def draw_key(df: DataFrame) -> Column:
     )
 
 
+_PRIME = 2_147_483_647  # 2^31 - 1: products of two smaller numbers fit a long, and so does their sum
+
+
+def draw_factors(simulation: int) -> tuple[int, int]:
+    """The two pseudo-random factors of a draw."""
+    return tuple(int(hashlib.md5(f"{side}{simulation}".encode()).hexdigest()[:8], 16) % _PRIME for side in "ab")
+
+
 def random_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS, simulations: int = 200) -> DataFrame:
     """Mean and spread of random contact lists, drawn without replacement.
 
-    A draw is the order of md5(simulation | row); its top n is the list. No draw is sorted: counts per
-    leading hash digits locate the digit group the n-th row lies in, groups before it count whole,
-    and only rows of that group are looked at one by one. Everything is added up within tasks first.
+    A row is hashed once; a draw orders rows by a random linear mix of the two halves of that hash, and
+    its top n is the list. No draw is sorted: counts per range of the mix locate the range the n-th row
+    lies in, ranges before it count whole, and only that range is looked at row by row. Everything is
+    added up within tasks first.
     """
     rows, total, base = _overall(df)
     if rows == 0:
         raise ValueError("no rows to draw from")
     simulations = max(1, simulations)
-    digits = 2 if rows <= 1_000_000 else 3
+    width = 2**23 if rows <= 1_000_000 else 2**19  # 256 or 4,096 ranges
     sizes = {f: top_n(rows, f) for f in fractions}
     measures = ("_recovery", "_success", "_cost")
 
-    # Every row becomes `simulations` rows inside its task, so the few narrow rows are spread first.
+    def half(start: int) -> Column:
+        return F.conv(F.substring(F.md5("_key"), start, 8), 16, 10).cast("long") % _PRIME
+
+    factors = F.array(*[
+        F.struct(F.lit(s).alias("sim"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
+        for s in range(1, simulations + 1) for a, b in (draw_factors(s),)
+    ])
+    # Every row becomes `simulations` rows inside its task, so the narrow rows are spread first.
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    draws = df.select(draw_key(df).alias("_key"), *_outcomes(df)).repartition(spread).select(
-        *measures, F.explode(F.sequence(F.lit(1), F.lit(simulations))).alias("sim"), "_key"
-    )
-    draws = draws.withColumn("_hash", F.md5(F.concat_ws("|", F.col("sim").cast("string"), F.col("_key")))).drop("_key")
-    draws = draws.withColumn("_group", F.substring("_hash", 1, digits))
+    keyed = df.select(draw_key(df).alias("_key"), *_outcomes(df)).repartition(spread)
+    keyed = keyed.select("*", half(1).alias("_x"), half(9).alias("_y"))
+    draws = keyed.select("*", F.explode(factors).alias("_f")).select(
+        "_key", *measures, "_f.sim", ((F.col("_x") * F.col("_f.a") + F.col("_y") * F.col("_f.b")) % _PRIME).alias("_mix"))
+    draws = draws.withColumn("_range", F.expr(f"CAST(_mix DIV {width} AS INT)"))
 
     def added_up(frame: DataFrame, *keys: str) -> DataFrame:
         return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(m) for m in measures])
 
-    # simulations x 16^digits rows, however many rows the data has.
-    groups = staged(added_up(draws, "sim", "_group"), "draws")
-    before = Window.partitionBy("sim").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    running_groups = groups.select(
-        "sim", "_group", "_n",
+    # simulations x ranges rows, however many rows the data has.
+    ranges = staged(added_up(draws, "sim", "_range"), "draws")
+    before = Window.partitionBy("sim").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = ranges.select(
+        "sim", "_range", "_n",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         *[F.coalesce(F.sum(m).over(before), F.lit(0.0)).alias(f"{m}_before") for m in measures],
     )
     # A second select: an explode beside the windows would repeat rows before they are added up.
-    running_groups = running_groups.withColumn("_f", F.explode(F.array(*[
+    so_far = so_far.withColumn("_f", F.explode(F.array(*[
         F.struct(F.lit(f).alias("top_pct"), F.lit(n).cast("long").alias("contacted")) for f, n in sizes.items()
     ]))).select("*", "_f.*").drop("_f")
-    # One row per simulation and fraction: the group that holds the n-th row.
-    edge = running_groups.where(
+    # One row per simulation and fraction: the range that holds the n-th row.
+    edge = so_far.where(
         (F.col("_n_before") < F.col("contacted")) & (F.col("_n_before") + F.col("_n") >= F.col("contacted"))
     )
     edge = staged(edge.drop("_n"), "edge")
 
-    edge_keys = edge.select("sim", "_group").distinct()
-    fine = added_up(draws.join(F.broadcast(edge_keys), ["sim", "_group"], "left_semi"), "sim", "_group", "_hash")
-    inside = Window.partitionBy("sim", "_group").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+    edge_keys = edge.select("sim", "_range").distinct()
+    fine = added_up(draws.join(F.broadcast(edge_keys), ["sim", "_range"], "left_semi"), "sim", "_range", "_mix", "_key")
+    inside = Window.partitionBy("sim", "_range").orderBy("_mix", "_key").rowsBetween(Window.unboundedPreceding, -1)
     fine = fine.withColumn("_earlier", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    joined = edge.join(fine.withColumnsRenamed({m: f"{m}_fine" for m in measures}), ["sim", "_group"])
+    joined = edge.join(fine.withColumnsRenamed({m: f"{m}_fine" for m in measures}), ["sim", "_range"])
     wanted = F.col("contacted") - F.col("_n_before") - F.col("_earlier")
     share = F.when(wanted >= F.col("_n"), F.lit(1.0)).when(wanted > 0, wanted / F.col("_n")).otherwise(0.0)
     per_draw = joined.groupBy("sim", "top_pct", "contacted").agg(*[

@@ -57,7 +57,7 @@ def recommend_actions(
         clean,
         {"p": F.col("p_cure"), "amount": F.col("amount_due")},
         {"p": [0.30, 0.75], "amount": [0.33, 0.65, 0.66, 0.85]},
-        rows_at_most=rows,
+        rows=rows,
     )
     p_low, p_high = cuts["p"][0.30], cuts["p"][0.75]
     amount_high, amount_very_high = cuts["amount"][0.65], cuts["amount"][0.85]
@@ -89,7 +89,7 @@ def recommend_actions(
     decided = decided.withColumn("expected_net_value", F.col("incremental_benefit") - F.col("action_cost"))
 
     net_cuts = exact_quantiles(
-        decided, {"net": F.col("expected_net_value")}, {"net": [0.50, 0.80]}, rows_at_most=rows)["net"]
+        decided, {"net": F.col("expected_net_value")}, {"net": [0.50, 0.80]}, rows=rows)["net"]
     q50, q80 = (net_cuts[0.50] or 0.0), (net_cuts[0.80] or 0.0)
     net = F.col("expected_net_value")
     return decided.withColumns({

@@ -1,70 +1,146 @@
-"""Exact quantiles by linear interpolation, with a path that never gathers all values."""
+"""Exact quantiles by linear interpolation, without gathering or sorting all values.
+
+An approximate pass puts a narrow bracket around each wanted rank. A second pass counts what lies
+between brackets and lists only the values inside them, so the exact values can be read off.
+"""
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duewise.operators.ordering import running
 
-# `percentile` keeps a count per distinct value in one buffer, so it is used up to this many rows.
-ONE_BUFFER_ROWS = 1_000_000
+ACCURACY = 10_000  # the approximate pass is off by at most rows / ACCURACY ranks
+LISTED_VALUES = 200_000  # distinct bracketed values that may reach the driver
+
+
+@dataclass
+class _Zone:
+    """Values in [low, high] are listed; values below the next zone's start are only counted."""
+
+    low: float
+    high: float
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: dict[str, Column],
     probabilities: dict[str, list[float]],
-    one_buffer_rows: int = ONE_BUFFER_ROWS,
-    rows_at_most: int | None = None,
+    rows: int | None = None,
+    listed_values: int = LISTED_VALUES,
 ) -> dict[str, dict[float, float | None]]:
     """Quantiles of several columns as driver-side scalars; None where a column has no value.
 
-    The row count is checked first, unless the caller knows a bound. Up to ``one_buffer_rows`` one
-    aggregate answers everything; above, each column is reduced to its distinct values and ranked by
-    range partitioning.
+    Give a scan or a staged table: it is read twice, and a third time for a column whose brackets hold
+    more distinct values than may be listed, which is then ranked by range partitioning.
     """
     frame = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
-    if rows_at_most is None:
-        rows_at_most = frame.count()
-    if rows_at_most <= one_buffer_rows:
-        row = frame.agg(
-            *[F.percentile(n, F.array(*[F.lit(q) for q in probabilities[n]])).alias(n) for n in columns]
-        ).first()
-        return {
-            n: dict(zip(probabilities[n], row[n] if row[n] is not None else [None] * len(probabilities[n])))
-            for n in columns
-        }
-    counts = frame.agg(*[F.count(n).alias(n) for n in columns]).first().asDict()
-    return {n: _ranked_quantiles(frame.select(F.col(n).alias("value")), counts[n], probabilities[n]) for n in columns}
-
-
-def _ranked_quantiles(frame: DataFrame, rows: int, probabilities: list[float]) -> dict[float, float | None]:
-    if rows == 0:
+    rows = frame.count() if rows is None else rows
+    zones = _brackets(frame, probabilities, rows)
+    counted = _zone_counts(frame, zones)
+    found = counted.limit(listed_values + 1).collect()
+    if len(found) > listed_values:
+        return {n: _ranked(frame.select(F.col(n).alias("value")), zones[n], probabilities[n]) for n in columns}
+    steps: dict[str, list] = {n: [] for n in columns}
+    for r in found:
+        steps[r["name"]].append((r["zone"], r["value"], r["n"]))
+    return {n: _read_off(sorted(steps[n], key=lambda s: (s[0], s[1] or 0.0)), probabilities[n]) for n in columns}
+
+
+def _brackets(frame: DataFrame, probabilities: dict[str, list[float]], rows: int) -> dict[str, list[_Zone]]:
+    reach = 3.0 / ACCURACY + 2.0 / max(rows, 1)
+    wanted = {
+        n: [min(1.0, max(0.0, q + side * reach)) for q in sorted(qs) for side in (-1, 1)] for n, qs in probabilities.items()
+    }
+    found = frame.agg(*[F.percentile_approx(n, qs, ACCURACY).alias(n) for n, qs in wanted.items()]).first()
+    out: dict[str, list[_Zone]] = {}
+    for n in wanted:
+        zones: list[_Zone] = []
+        values = found[n] or []
+        for low, high in zip(values[::2], values[1::2]):
+            if zones and low <= zones[-1].high:
+                zones[-1].high = max(high, zones[-1].high)
+            else:
+                zones.append(_Zone(low, high))
+        out[n] = zones
+    return out
+
+
+def _zone_of(value: Column, zones: list[_Zone]) -> tuple[Column, Column]:
+    """(zone number, value if listed): odd numbers are brackets, even ones lie between them."""
+    number, listed = F, F.lit(None).cast("double")
+    for i, z in enumerate(zones):
+        number = number.when(value < z.low, 2 * i).when(value <= z.high, 2 * i + 1)
+        listed = F.when((value >= z.low) & (value <= z.high), value).otherwise(listed)
+    return (number.otherwise(2 * len(zones)) if zones else F.lit(0)), listed
+
+
+def _zone_counts(frame: DataFrame, zones: dict[str, list[_Zone]]) -> DataFrame:
+    """Rows per column, zone and listed value; rows collapse within each task."""
+    cells = []
+    for n, z in zones.items():
+        number, listed = _zone_of(F.col(n), z)
+        cells.append(F.struct(
+            F.lit(n).alias("name"), F.when(F.col(n).isNotNull(), number.cast("int")).alias("zone"), listed.alias("value")))
+    return (
+        frame.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        .where(F.col("zone").isNotNull()).groupBy("name", "zone", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _read_off(steps: list[tuple], probabilities: list[float]) -> dict[float, float | None]:
+    """Values at the wanted ranks, from counts in rising order."""
+    total = sum(n for *_, n in steps)
+    if total == 0:
         return {q: None for q in probabilities}
-    distinct = frame.where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(distinct, [F.col("value").asc()], sums={"upto": F.col("n")})
-    spots = {q: q * (rows - 1) for q in probabilities}
-    wanted = sorted({k for s in spots.values() for k in (math.floor(s), math.ceil(s))})
-    # Each wanted rank lies in exactly one distinct value: at most two rows per probability come back.
-    hits = ranked.select(
-        "value",
-        F.explode(F.array(*[F.lit(k) for k in wanted])).alias("k"),
-        (F.col("upto") - F.col("n")).alias("start"),
-        "upto",
-    ).where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("upto")))
-    at = {r["k"]: r["value"] for r in hits.select("k", "value").collect()}
+
+    def at(rank: int) -> float:
+        upto = 0
+        for _, value, n in steps:
+            upto += n
+            if rank < upto:
+                if value is None:
+                    raise ArithmeticError("a wanted rank fell outside its bracket")
+                return value
+        raise IndexError(rank)
+
     out = {}
-    for q, s in spots.items():
-        low, high = at[math.floor(s)], at[math.ceil(s)]
-        out[q] = low if low == high else low + (high - low) * (s - math.floor(s))
+    for q in probabilities:
+        spot = q * (total - 1)
+        low, high = at(math.floor(spot)), at(math.ceil(spot))
+        out[q] = low if low == high else low + (high - low) * (spot - math.floor(spot))
     return out
 
 
-def approximate_quantiles(df: DataFrame, column: Column, probabilities: list[float], accuracy: int = 10_000):
+def _ranked(frame: DataFrame, zones: list[_Zone], probabilities: list[float]) -> dict[float, float | None]:
+    """The same with bracketed values ranked by range partitioning instead of listed."""
+    number, listed = _zone_of(F.col("value"), zones)
+    placed = frame.where(F.col("value").isNotNull()).select(number.cast("int").alias("zone"), listed.alias("value"))
+    counts = placed.groupBy("zone", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running(counts, [F.col("zone").asc(), F.col("value").asc()], sums={"upto": F.col("n")})
+    total = ranked.agg(F.max("upto")).first()[0] or 0
+    if total == 0:
+        return {q: None for q in probabilities}
+    spots = [q * (total - 1) for q in probabilities]
+    ranks = sorted({k for s in spots for k in (math.floor(s), math.ceil(s))})
+    # Each rank lies in exactly one row: at most two rows per probability come back.
+    hit = ranked.where(" OR ".join(f"({k} < upto AND {k} >= upto - n)" for k in ranks)).orderBy("upto").collect()
+    previous, steps = 0, []
+    for r in hit:
+        start = r["upto"] - r["n"]
+        if start > previous:
+            steps.append((r["zone"], None, start - previous))
+        steps.append((r["zone"], r["value"], r["n"]))
+        previous = r["upto"]
+    steps.append((None, None, total - previous))
+    return _read_off(steps, probabilities)
+
+
+def approximate_quantiles(df: DataFrame, column: Column, probabilities: list[float], accuracy: int = ACCURACY):
     """One-pass approximation, offered for very large exploratory runs."""
     row = df.agg(F.percentile_approx(column, probabilities, accuracy).alias("q")).first()
-    values = row["q"] if row["q"] is not None else [None] * len(probabilities)
-    return dict(zip(probabilities, values))
+    return dict(zip(probabilities, row["q"] or [None] * len(probabilities)))

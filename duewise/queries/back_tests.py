@@ -45,8 +45,12 @@ _CTES = HOLDOUT + """,
                sum(action_cost) AS cost, sum(rec) - sum(action_cost) AS observed_net
         FROM rk JOIN sizes ON k <= contacted GROUP BY strategy, top_pct, contacted)"""
 _SIMS = _CTES + """,
-    dr AS (SELECT sim, rec, ok, action_cost, row_number() OVER (PARTITION BY sim ORDER BY md5(sim || '|' || key)) AS k
-           FROM h, (SELECT unnest(range(1, 201)) AS sim)),
+    hx AS (SELECT rec, ok, action_cost, key, ('0x' || substr(md5(key), 1, 8))::BIGINT % 2147483647 AS x,
+                  ('0x' || substr(md5(key), 9, 8))::BIGINT % 2147483647 AS y FROM h),
+    fx AS (SELECT sim, ('0x' || substr(md5('a' || sim), 1, 8))::BIGINT % 2147483647 AS a,
+                  ('0x' || substr(md5('b' || sim), 1, 8))::BIGINT % 2147483647 AS b FROM (SELECT unnest(range(1, 201)) AS sim)),
+    dr AS (SELECT sim, rec, ok, action_cost, row_number() OVER (PARTITION BY sim ORDER BY (x * a + y * b) % 2147483647, key) AS k
+           FROM hx, fx),
     per AS (SELECT sim, top_pct, contacted, sum(rec) AS rec, sum(action_cost) AS cost, avg(ok) AS rate,
                    any_value(base) AS base, any_value(total) AS total FROM dr JOIN sizes ON k <= contacted GROUP BY sim, top_pct, contacted),
     rnd AS (

@@ -31,7 +31,10 @@ def test_random_draws_equal_brute_force(spark):
         for sim in range(1, 21):
             def order(r):
                 key = f"{r[1]}|{r[2]}|{r[3]}|{int(r[4] * 100)}|{int(r[11] * 100)}|{r[10] * 100}|{int(r[9] * 100)}"
-                return hashlib.md5(f"{sim}|{key}".encode()).hexdigest()
+                digest = hashlib.md5(key.encode()).hexdigest()
+                x, y = (int(digest[i:i + 8], 16) % (2**31 - 1) for i in (0, 8))
+                a, b = backtest.draw_factors(sim)
+                return (x * a + y * b) % (2**31 - 1), key
             totals.append(sum(r[11] for r in sorted(rows, key=order)[:n]))
         assert out[fraction]["contacted"] == n
         assert out[fraction]["observed_recovery"] == pytest.approx(np.mean(totals))

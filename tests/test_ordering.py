@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,11 +50,17 @@ def test_chunks_overlap_by_the_frame(spark):
     assert sorted(i for i, halo in seen[1].items() if halo) == [8, 9, 20]
 
 
-def test_ranked_quantiles_equal_one_buffer(spark):
+def test_quantiles_are_exact_listed_or_ranked(spark):
     df = staged(spark.createDataFrame([(float(v % 37) if v % 5 else None,) for v in range(1000)], "v double"), "q")
     probabilities = {"v": [0.0, 0.01, 0.33, 0.5, 0.75, 0.99, 1.0]}
-    one = exact_quantiles(df, {"v": F.col("v")}, probabilities)
-    many = exact_quantiles(df, {"v": F.col("v")}, probabilities, one_buffer_rows=10)
-    assert one["v"] == pytest.approx(many["v"])
+    listed = exact_quantiles(df, {"v": F.col("v")}, probabilities)
+    ranked = exact_quantiles(df, {"v": F.col("v")}, probabilities, listed_values=3)
+    values = np.array([v % 37 for v in range(1000) if v % 5], dtype=float)
+    assert listed["v"] == ranked["v"] == {q: pytest.approx(np.quantile(values, q)) for q in probabilities["v"]}
+    spread = staged(spark.range(100_000).select((F.pmod(F.xxhash64("id"), F.lit(999_983)) * 0.5).alias("v")), "spread")
+    exact = np.array([r[0] for r in spread.collect()])
+    for limit in (200_000, 10):
+        got = exact_quantiles(spread, {"v": F.col("v")}, probabilities, listed_values=limit)["v"]
+        assert got == {q: pytest.approx(np.quantile(exact, q)) for q in probabilities["v"]}
     empty = df.where(F.col("v") > 1e9)
     assert exact_quantiles(empty, {"v": F.col("v")}, {"v": [0.5]})["v"][0.5] is None
