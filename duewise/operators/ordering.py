@@ -62,6 +62,9 @@ def running(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
         *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_offset_{n}") for n in sums],
     )
+    # Without groups there is at most a row per segment. Otherwise the offsets are written, so that
+    # Spark knows their true size when it picks the join.
+    offsets = staged(offsets, "offsets") if by else F.broadcast(offsets)
     return local.join(offsets, ["_segment", *by]).select(
         *df.columns,
         (F.col("_offset") + F.col("_local")).alias(position),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def exact_quantiles(
     counted = _zone_counts(frame, zones)
     found = counted.limit(listed_values + 1).collect()
     if len(found) > listed_values:
-        return {n: _ranked(frame.select(F.col(n).alias("value")), zones[n], probabilities[n]) for n in columns}
+        return {n: _ranked(_placed(frame, n, zones[n]), probabilities[n]) for n in columns}
     steps: dict[str, list] = {n: [] for n in columns}
     for r in found:
         steps[r["name"]].append((r["zone"], r["value"], r["n"]))
@@ -70,26 +71,24 @@ def _brackets(frame: DataFrame, probabilities: dict[str, list[float]], rows: int
     return out
 
 
-def _zone_of(value: Column, zones: list[_Zone]) -> tuple[Column, Column]:
-    """(zone number, value if listed): odd numbers are brackets, even ones lie between them."""
-    number, listed = F, F.lit(None).cast("double")
+def _placed(frame: DataFrame, name: str, zones: list[_Zone]) -> DataFrame:
+    """(zone, value if listed) of one column: odd zones are brackets, even ones lie between them."""
+    value, zone = F.col(name), F
     for i, z in enumerate(zones):
-        number = number.when(value < z.low, 2 * i).when(value <= z.high, 2 * i + 1)
-        listed = F.when((value >= z.low) & (value <= z.high), value).otherwise(listed)
-    return (number.otherwise(2 * len(zones)) if zones else F.lit(0)), listed
+        zone = zone.when(value < z.low, 2 * i).when(value <= z.high, 2 * i + 1)
+    zone = zone.otherwise(2 * len(zones)) if zones else F.lit(0)
+    placed = frame.where(value.isNotNull()).select(value.alias("value"), zone.cast("int").alias("zone"))
+    return placed.select("zone", F.when(F.col("zone") % 2 == 1, F.col("value")).alias("value"))
 
 
 def _zone_counts(frame: DataFrame, zones: dict[str, list[_Zone]]) -> DataFrame:
-    """Rows per column, zone and listed value; rows collapse within each task."""
-    cells = []
-    for n, z in zones.items():
-        number, listed = _zone_of(F.col(n), z)
-        cells.append(F.struct(
-            F.lit(n).alias("name"), F.when(F.col(n).isNotNull(), number.cast("int")).alias("zone"), listed.alias("value")))
-    return (
-        frame.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-        .where(F.col("zone").isNotNull()).groupBy("name", "zone", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Rows per column, zone and listed value; rows collapse within each task.
+
+    Each column is a branch of its own that scans that column only, so the branches together read no
+    more than one pass over all of them, and each has small generated code.
+    """
+    branches = [_placed(frame, n, z).withColumn("name", F.lit(n)) for n, z in zones.items()]
+    return reduce(DataFrame.unionByName, branches).groupBy("name", "zone", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _read_off(steps: list[tuple], probabilities: list[float]) -> dict[float, float | None]:
@@ -116,10 +115,8 @@ def _read_off(steps: list[tuple], probabilities: list[float]) -> dict[float, flo
     return out
 
 
-def _ranked(frame: DataFrame, zones: list[_Zone], probabilities: list[float]) -> dict[float, float | None]:
+def _ranked(placed: DataFrame, probabilities: list[float]) -> dict[float, float | None]:
     """The same with bracketed values ranked by range partitioning instead of listed."""
-    number, listed = _zone_of(F.col("value"), zones)
-    placed = frame.where(F.col("value").isNotNull()).select(number.cast("int").alias("zone"), listed.alias("value"))
     counts = placed.groupBy("zone", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running(counts, [F.col("zone").asc(), F.col("value").asc()], sums={"upto": F.col("n")})
     total = ranked.agg(F.max("upto")).first()[0] or 0

@@ -70,11 +70,26 @@ def test_targets(spark):
 
 def test_duplicate_previous_rows_do_not_multiply_events(spark):
     events = spark.createDataFrame([(1, 9, 5.0), (2, 9, 6.0)], "credit_id long, customer_id long, AMT_CREDIT double")
-    previous = spark.createDataFrame([(1, 9, 7.0), (1, 9, 7.5)], "credit_id long, customer_id long, AMT_CREDIT double")
+    previous = spark.createDataFrame(
+        [(1, 9, 7.0), (1, 9, 7.5), (2, 8, 1.0)], "credit_id long, customer_id long, AMT_CREDIT double")
     out = history.join_previous(events, previous).orderBy("credit_id").collect()
+    # Credit 2 belongs to another customer there, so nothing is joined.
     assert [(r["AMT_CREDIT"], r["AMT_CREDIT_prev"]) for r in out] == [(5.0, 7.0), (6.0, None)]
 
 
+def test_joining_previous_adds_no_shuffle_of_events(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        prepared = history.prepare_instalments(credit_table(spark, folder, "instalments"))
+        events = history.delinquency_events(history.history_features(prepared, None))
+        plan = history.join_previous(events, credit_table(spark, folder, "previous"))
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        # One for the history, one for making previous unique; none for the join.
+        assert text.count("Exchange hashpartitioning(credit_id") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_history_and_targets_share_one_shuffle(spark, folder):
     prepared = history.prepare_instalments(credit_table(spark, folder, "instalments"))
     plan = targets.forward_targets(history.delinquency_events(history.history_features(prepared, None)), 60, None)
