@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duewise.functions.expressions import status_number
+from duewise.functions.expressions import clip, flag, safe_divide, status_number
 from duewise.operators import enrichment
 from duewise.queries.shared import EV, credit_table, events, shape_ctes, tidy, tidy_sql, with_ctes
 
@@ -38,7 +38,21 @@ def _join_enrichment(spark, folder):
         "credit_id", "due_day", "number", "instalment", "bureau_n_credits", "bb_status_max", "pos_dpd_max", "cc_dpd_max")
 
 
+def _status_flags(spark, folder):
+    return credit_table(spark, folder, "bureau").groupBy("CREDIT_ACTIVE").agg(
+        F.sum(flag(F.col("CREDIT_ACTIVE") == "Active")).alias("active"), F.sum(flag(F.col("CREDIT_ACTIVE") == "Closed")).alias("closed"),
+        F.sum(flag(F.col("AMT_CREDIT_SUM_OVERDUE") > 0)).alias("overdue"))
+
+
+def _utilisation(spark, folder):
+    card = credit_table(spark, folder, "credit_card")
+    ratio = clip(safe_divide(F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL")), 0.0, 5.0)
+    return card.select("credit_id", "MONTHS_BALANCE", "AMT_BALANCE", ratio.alias("utilisation"))
+
+
 QUERIES = {
+    "expr_status_flags": _status_flags,
+    "expr_utilisation": _utilisation,
     "expr_status_map": _status_map,
     "bureau_features": lambda s, d: tidy(enrichment.bureau_features(credit_table(s, d, "bureau")), **_BUREAU),
     "bureau_status_features": lambda s, d: tidy(
@@ -100,6 +114,12 @@ ENRICHED_CTES = (
 )
 
 CHECKS = {
+    "expr_status_flags": with_ctes(shape_ctes("bureau"), """
+        SELECT CREDIT_ACTIVE, count(*) FILTER (CREDIT_ACTIVE = 'Active') AS active, count(*) FILTER (CREDIT_ACTIVE = 'Closed') AS closed,
+               count(*) FILTER (AMT_CREDIT_SUM_OVERDUE > 0) AS overdue FROM bureau GROUP BY CREDIT_ACTIVE"""),
+    "expr_utilisation": with_ctes(shape_ctes("credit_card"), """
+        SELECT credit_id, MONTHS_BALANCE, AMT_BALANCE, CASE WHEN AMT_CREDIT_LIMIT_ACTUAL = 0 THEN 0.0
+               ELSE least(AMT_BALANCE / AMT_CREDIT_LIMIT_ACTUAL, 5.0) END AS utilisation FROM credit_card"""),
     "expr_status_map": with_ctes(shape_ctes("bureau_balance"), """
         SELECT STATUS, CASE STATUS WHEN 'C' THEN 0 WHEN 'X' THEN NULL ELSE STATUS::INT END AS number, count(*) AS rows
         FROM bureau_balance GROUP BY STATUS"""),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duewise.functions.expressions import clip, entity_key, prefix_columns, safe_divide
+from duewise.functions.expressions import amount_from_log, clip, entity_key, log_amount, prefix_columns, safe_divide, to_number
 from duewise.operators import history, policy, targets
 from duewise.session import staged
 from duewise.queries.shared import (
@@ -93,7 +93,30 @@ def _policy_rows(spark, folder):
     return policy.apply_column_policy(numeric + ["customer_id"], text).rows(spark)
 
 
+def _to_number(spark, folder):
+    """Text that may be no number: part of the event properties and the event type."""
+    events_table = spark.read.parquet(f"{folder}/events.parquet")
+    raw = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise(F.col("value").cast("decimal(18,4)").cast("string"))
+    return events_table.select("event_id", to_number(raw).alias("number"))
+
+
+def _current_state(spark, folder):
+    return events(spark, folder).groupBy("instalment_no").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("relative_due_day").alias("oldest"), F.max("amount_due").alias("largest"))
+
+
+def _positive(spark, folder):
+    rows = targets.labelled_events(with_targets(spark, folder)).where(
+        (F.col("cured_in_horizon") == 1) & (F.col("recovered_in_horizon") > 0))
+    return tidy(rows.select("credit_id", "due_day", "number", "instalment", log_amount(F.col("recovered_in_horizon")).alias("log_amount"),
+                            amount_from_log(log_amount(F.col("recovered_in_horizon"))).alias("amount")), log_amount=9, amount=4)
+
+
 QUERIES = {
+    "expr_to_number": _to_number,
+    "event_current_state": _current_state,
+    "expr_log_amount": _positive,
+    "positive_amount_rows": lambda s, d: _positive(s, d).groupBy("number").agg(F.count(F.lit(1)).alias("rows")),
     "expr_safe_divide": _safe_divide,
     "expr_clip": _clip,
     "prefix_columns": _prefixed,
@@ -126,7 +149,16 @@ _NOT_FEATURES = ", ".join(f"'{c}'" for c in (
     "cured_in_horizon", "recovered_in_horizon", "cured_in_horizon_60d", "recovered_in_horizon_60d", "TARGET",
     "has_future_observation", "credit_id", "customer_id", "pay_day", "payment", "days_before_due", "overpay_amount"))
 
+_PAID = "FROM tgt WHERE cured_in_horizon = 1 AND recovered_in_horizon > 0"
 CHECKS = {
+    "expr_to_number": """
+        SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN value::DECIMAL(18, 4)::DOUBLE END AS number FROM events""",
+    "event_current_state": with_ctes(EV, """
+        SELECT number AS instalment_no, count(*) AS rows, min(due_day) AS oldest, max(instalment) AS largest FROM ev GROUP BY number"""),
+    "expr_log_amount": tidy_sql(with_ctes(TGT, f"""
+        SELECT credit_id, due_day, number, instalment, ln(1 + recovered_in_horizon) AS log_amount, recovered_in_horizon AS amount {_PAID}"""),
+        log_amount=9, amount=4),
+    "positive_amount_rows": with_ctes(TGT, f"SELECT number, count(*) AS rows {_PAID} GROUP BY number"),
     "expr_safe_divide": with_ctes(shape_ctes("credit_card"), """
         SELECT credit_id, AMT_BALANCE, AMT_CREDIT_LIMIT_ACTUAL,
                CASE WHEN AMT_CREDIT_LIMIT_ACTUAL = 0 THEN -1.0 ELSE AMT_BALANCE / AMT_CREDIT_LIMIT_ACTUAL END AS balance_to_limit,

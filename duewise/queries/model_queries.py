@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duewise.operators import modelling, policy
-from duewise.queries.shared import enriched
+from duewise.functions.expressions import amount_from_log
+from duewise.operators import modelling, policy, targets
+from duewise.queries.shared import credit_table, enriched, scored, shape_ctes, staged, with_ctes
 from duewise.session import stage_dir
 
 # Enough trees for a steady ranking; a run of one's own sets more.
@@ -60,10 +61,72 @@ def _stored(spark, folder):
         F.count(F.lit(1)).alias("rows"), F.avg("p_cure").alias("mean_p"), F.avg("amount_pred_capped").alias("mean_amount"))
 
 
+_FEW = ["days_past_due", "hist_late_rate", "last_ratio", "instalment"]
+
+
+def _parts(spark, folder):
+    """Vectors of a few columns with label, amount and split, for looking at one part of the model alone."""
+    rows = targets.labelled_events(scored(spark, folder)).withColumns({
+        "label": F.col("cured_in_horizon"), "amount": F.col("recovered_in_horizon")})
+    data = staged(modelling.split_rows(rows), "parts")
+    inputs = modelling.model_inputs(data, _FEW, [])
+    ready = modelling.feature_pipeline(_FEW, []).fit(inputs.where(F.col("split") == "train")).transform(inputs)
+    return staged(ready.select(*data.columns, "features"), "vectors")
+
+
+def _cure(spark, folder):
+    data = _parts(spark, folder)
+    train, validation = (data.where(F.col("split") == s) for s in ("train", "validation"))
+    model = modelling.train_cure_model(train, validation, 5, 3, 42)
+    return model.transform(data.where(F.col("split") == "test")).select("credit_id", "due_day", "number", "label", "prediction")
+
+
+def _amount(spark, folder):
+    data = _parts(spark, folder)
+    train, validation = (data.where(F.col("split") == s) for s in ("train", "validation"))
+    model, _, _ = modelling.train_amount_model(train, validation, 5, 3, 42)
+    return model.transform(data.where(F.col("split") == "test")).select(
+        "credit_id", "due_day", "number", amount_from_log(F.col("prediction")).alias("amount_pred"))
+
+
+def _calibrated(spark, folder):
+    rows = targets.labelled_events(scored(spark, folder)).select(
+        F.col("p_cure").alias("p_cure_raw"), F.col("cured_in_horizon").alias("label"))
+    model = modelling.calibrate(rows)
+    return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double")
+
+
+def _baseline(spark, folder):
+    data = _parts(spark, folder)
+    train, test = (data.where(F.col("split") == s).drop("features") for s in ("train", "test"))
+    return modelling.baseline_model(train, test, _FEW, []).select("label", "p")
+
+
+def _policy_report(spark, folder):
+    app = credit_table(spark, folder, "application")
+    report = policy.apply_column_policy(*policy.feature_columns(app))
+    return policy.policy_report(spark, report, {"rows": float(app.count())}, ["trial"]).select(
+        "strict_mode", F.size("removed_explicit_columns").alias("removed"), F.size("retained_numeric_columns").alias("numeric"),
+        F.size("retained_categorical_columns").alias("categorical"), F.element_at("model_metrics", "rows").alias("rows"))
+
+
 QUERIES = {
+    "train_cure_model": _cure,
+    "train_amount_model": _amount,
+    "calibrate": _calibrated,
+    "baseline_model": _baseline,
+    "policy_report": _policy_report,
     "categorical_encoding": _encoding,
     "train_hurdle": _hurdle,
     "score_events": _scored_rows,
     "model_store": _stored,
 }
-CHECKS = {}
+CHECKS = {
+    "policy_report": with_ctes(shape_ctes("application") + """,
+        c AS (SELECT column_type = 'VARCHAR' AS is_text, column_name IN (
+                  'CODE_GENDER', 'DAYS_BIRTH', 'CNT_CHILDREN', 'CNT_FAM_MEMBERS', 'NAME_FAMILY_STATUS') AS gone
+              FROM (SUMMARIZE SELECT * FROM application)
+              WHERE null_percentage < 100 AND column_name NOT IN ('customer_id', 'TARGET'))""", """
+        SELECT true AS strict_mode, count(*) FILTER (gone) AS removed, count(*) FILTER (NOT gone AND NOT is_text) AS numeric,
+               count(*) FILTER (NOT gone AND is_text) AS "categorical", (SELECT count(*) FROM application)::DOUBLE AS rows FROM c"""),
+}
