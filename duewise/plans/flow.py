@@ -66,8 +66,7 @@ def run_summary(
     def texts(d: dict[str, str]):
         return F.create_map(*[F.lit(x) for kv in d.items() for x in kv]) if d else F.create_map().cast("map<string,string>")
 
-    # Both sides are the single row of an aggregate.
-    return counts.join(size).select(
+    return counts.withColumn("n_portfolio", size.scalar()).select(
         "*", F.lit(features[0]).alias("n_features_numeric"), F.lit(features[1]).alias("n_features_categorical"),
         F.lit(contacts).cast("long").alias("planned_contacts"),
         F.array(*[F.lit(r) for r in (removed or [])]).cast("array<string>").alias("removed_features"),
