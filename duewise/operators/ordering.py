@@ -65,7 +65,10 @@ def running(
     # Without groups there is at most a row per segment. Otherwise the offsets are written, so that
     # Spark knows their true size when it picks the join.
     offsets = staged(offsets, "offsets") if by else F.broadcast(offsets)
-    return local.join(offsets, ["_segment", *by]).select(
+    # A null key is a key like any other here.
+    named = offsets.select(*[F.col(c).alias(f"_of_{c}") for c in ("_segment", *by)], *offsets.columns[1 + len(by) :])
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in ("_segment", *by)]
+    return local.join(named, same).select(
         *df.columns,
         (F.col("_offset") + F.col("_local")).alias(position),
         *[(F.col(f"_offset_{n}") + F.coalesce(F.col(f"_local_{n}"), F.lit(0))).alias(n) for n in sums],
