@@ -181,9 +181,11 @@ def fit_quality(documents: DataFrame, labels: DataFrame) -> QualityModel | None:
         .select("quality", "part", "v.*")
         .toPandas()
     )
+    widths = {"one": len(text_view(b"")), "two": len(metadata_view(None, None, None))}
+
     def of(part):
         here = rows[rows.part == part]
-        return [np.array(here[c].tolist(), float).reshape(len(here), -1) for c in ("one", "two")], here.quality.to_numpy(float)
+        return [np.array(here[c].tolist(), float).reshape(len(here), n) for c, n in widths.items()], here.quality.to_numpy(float)
 
     (x, y), (cx, cy), (pool, _) = of("learn"), of("check"), of("pool")
     if not len(y) or y.min() == y.max() or not len(cy) or cy.min() == cy.max():

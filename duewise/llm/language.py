@@ -60,7 +60,7 @@ def family_of(lang: str) -> str:
 def _places(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For pieces of texts: the place of the n-gram of each length that ends at each byte."""
     data, starts = flat_bytes(pc.utf8_lower(texts))
-    for packed, rows, begins, ends in padded_pieces(data, starts, GRAM - 1, most=1 << 21):
+    for packed, rows, begins, ends in padded_pieces(data, starts, GRAM - 1):
         letters = _LETTERS[packed].astype(np.uint64)
         gram = np.zeros(len(letters), np.uint64)
         places = np.empty((GRAM, len(letters)), np.int32)

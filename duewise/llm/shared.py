@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-PIECE = 1 << 20  # bytes of one text that are looked at together
+PIECE = 1 << 18  # bytes of one text that are looked at together
 
 
 def ready(spark: SparkSession) -> None:

@@ -10,8 +10,7 @@ The counts come from all labelled rows of folds 0 and 1 and are added up by Spar
 comparison has one number per slot of a fixed table, whatever the corpus holds, and only that table
 is sent to the tasks. The curve is fitted on at most ``CALIBRATION_ROWS`` labelled rows of fold 3.
 
-Defined results: a null or empty text has no evidence and gets the score of a text whose comparison
-is nought; without rows of both classes every score is 0. Repeated rows are scored alike. Other
+Defined results: a null or empty text, or one without a letter, has score 0; without rows of both classes every score is 0. Repeated rows are scored alike. Other
 columns are neither read nor changed.
 """
 
@@ -34,6 +33,7 @@ STRETCH = 10  # bytes of the stretches whose worst is looked at
 SLOT_BITS = 22
 CALIBRATION_ROWS = 8_000
 REJECT = 0.3
+HELD = 600_000  # counts a task holds
 _ODD = 0x9E3779B97F4A7C15
 # Letters stay as they are, all else in ASCII parts words.
 _LETTERS = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
@@ -51,22 +51,42 @@ def _slots(grams: np.ndarray) -> np.ndarray:
     return ((grams.astype(np.uint64) * np.uint64(_ODD)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
+def _added_up(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.concatenate([k for k, _ in found])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(np.concatenate([n for _, n in found])[order], first)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def told(keys, n):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys >> 1), pa.array(np.where(keys & 1, n, 0)), pa.array(np.where(keys & 1, 0, n))],
+            names=["gram", "toxic", "ordinary"],
+        )
+
+    found, size = [], 0
     for batch in batches:
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
         data, starts = flat_bytes(pc.utf8_lower(batch.column("text")))
         for packed, rows, begins, ends in padded_pieces(data, starts, ORDER - 1):
             grams = _grams(_LETTERS[packed])
-            own = np.zeros(len(packed) + 1, np.int64)
+            own = np.zeros(len(packed) + 1, np.int8)
             np.add.at(own, begins, 1)
             np.add.at(own, ends, -1)
             keep = np.cumsum(own[:-1]) > 0
-            of_toxic = np.repeat(toxic[rows], ends - begins).astype(np.int64)
-            both, n = np.unique(grams[keep] << 1 | of_toxic, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(both >> 1), pa.array(np.where(both & 1, n, 0)), pa.array(np.where(both & 1, 0, n))],
-                names=["gram", "toxic", "ordinary"],
-            )
+            both, n = np.unique(grams[keep] << 1 | np.repeat(toxic[rows], ends - begins), return_counts=True)
+            found.append((both, n))
+            size += len(both)
+            if size > HELD:  # as many are added up before they leave the task, however long that runs
+                found = [_added_up(found)]
+                size = len(found[0][0])
+                if size > HELD // 2:
+                    yield told(*found[0])
+                    found, size = [], 0
+    if found:
+        yield told(*_added_up(found))
 
 
 @dataclass
@@ -187,7 +207,7 @@ def _applied(curve: np.ndarray | None, x: np.ndarray) -> np.ndarray:
     if curve is None:
         return np.zeros(len(x))
     k = x.shape[1]
-    z = (x - curve[:k]) / curve[k : 2 * k]
+    z = np.clip((x - curve[:k]) / curve[k : 2 * k], -4, 4)  # nothing is read off far from what was seen
     return 1 / (1 + np.exp(-np.clip(curve[2 * k] + z @ curve[2 * k + 1 :], -30, 30)))
 
 
@@ -223,7 +243,8 @@ def toxicity_score(model: ToxicityModel, spark, text: Column) -> Column:
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = held.value
         for part in texts:
-            yield pa.array(_applied(m.curve, _evidence(part, m.known, m.context)))
+            lettered = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+            yield pa.array(np.where(lettered, _applied(m.curve, _evidence(part, m.known, m.context)), 0.0))
 
     return score(text)
 

@@ -11,7 +11,7 @@ def docs(spark):
 
     def make(rows, **more):
         full = [
-            (i, t, more.get("lang", ("en", "de", "fr", "es", None)[k % 5]), ("s0", "s1", None)[k % 3], None if t is None else len(t), 7.0, "s", 3)
+            (i, t, more.get("lang", ("en", "de", "fr", "es", None))[k % 5], ("s0", "s1", None)[k % 3], None if t is None else len(t), 7.0, "s", 3)
             for k, (i, t) in enumerate(rows)
         ]
         return spark.createDataFrame(

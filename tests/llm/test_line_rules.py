@@ -61,6 +61,6 @@ def test_rules(line, rule):
 
 
 def test_cleaning_drops_failed_lines_and_documents_that_lose_much(spark, docs):
-    good = "\n".join(f"Sentence number {k} of this text is long enough to be kept here." for k in range(8))
+    good = "\n".join(" ".join(f"word{k}{j}" for j in range(9)) + " ends." for k in range(8))
     rows = {r.doc_id: (r.text, r.kept) for r in clean_lines(docs([(1, good + "\nHome | About | Contact | Login"), (2, good.replace(" ", "*** ") + "***"), (3, None)])).collect()}
     assert rows[1] == (good, True) and rows[2][1] is False and rows[3] == (None, False)
