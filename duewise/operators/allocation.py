@@ -25,8 +25,9 @@ KNOWN_CHANNELS = (V.CHANNEL_AUTO, V.CHANNEL_CALL, V.CHANNEL_SPECIALIST, V.CHANNE
 CANDIDATE_COLUMNS = ("expected_net_value", "expected_recovery", "action_cost")
 TOLERANCE = 1e-9
 RANGES = 4_096  # rank ranges added up per look; as many small rows reach the driver
-SEARCH_ROWS = 1_000_000  # rows the search for prices looks at
-SEARCH_PASSES = 7
+GAP = 0.001  # a plan this near its bound, in parts of its value, ends the search
+SEARCH_PASSES = 7  # passes over the rows before a plan is made, and again before each further one
+MOST_PLANS = 4
 POINTS = 12  # sets of prices tried per pass
 
 
@@ -97,9 +98,12 @@ def _ties(df: DataFrame) -> list[Column]:
     return [*tie_breakers(df), *extra, F.col("entity_key")]
 
 
-def _narrow(ranked: DataFrame, who: str) -> DataFrame:
+def _narrow(ranked: DataFrame, who: str | None) -> DataFrame:
+    """``who`` is whom a contact counts for; a row without one, or every row if None, is its own."""
+    own = F.concat(F.lit("row "), F.col("position").cast("string"))
+    named = own if who is None else F.coalesce(F.concat(F.lit("key "), F.col(who).cast("string")), own)
     return ranked.select(
-        "position", F.col("position").alias("id"), F.col(who).alias("who"), "action_cost", "channel", "expected_net_value"
+        "position", F.col("position").alias("id"), named.alias("who"), "action_cost", "channel", "expected_net_value"
     )
 
 
@@ -244,8 +248,8 @@ def summary_row(spark: SparkSession, summary: dict) -> DataFrame:
     )
 
 
-def _who(df: DataFrame, entity: bool) -> str:
-    return "entity_key" if entity or "customer_id" not in df.columns else "customer_id"
+def _who(df: DataFrame, entity: bool) -> str | None:
+    return "entity_key" if entity else "customer_id" if "customer_id" in df.columns else None
 
 
 def plan_greedy(
@@ -339,40 +343,35 @@ def _next_points(cuts: list, best: np.ndarray, top: np.ndarray, draw: np.random.
     return np.array(points)
 
 
-def _prices(pruned: DataFrame, limits: Limits) -> tuple[list[float], float]:
-    """Prices with a low bound, and that bound, by cutting planes (Kelley, SIAM 1960).
-
-    On large inputs the search looks at a hash share of customers with limits cut to the share; the
-    bound returned is always taken over all rows.
-    """
-    top_row = pruned.agg(
-        F.max(F.when(F.col("action_cost") > 0, F.col("expected_net_value") / F.col("action_cost"))).alias("roi"),
-        F.max("expected_net_value").alias("net"), F.count(F.lit(1)).alias("rows"),
-    ).first()
-    n = len(_uses(limits))
-    top = np.array([top_row["roi"] or 0.0] + [top_row["net"] or 0.0] * (n - 1))
-    looked, cut, share = pruned, limits, min(1.0, SEARCH_ROWS / max(top_row["rows"], 1))
-    if share < 1.0:
-        looked = pruned.where(F.pmod(F.xxhash64("who"), F.lit(1_000_000)) < int(share * 1_000_000))
-        cut = Limits(
-            limits.budget * share, None if limits.capacity is None else limits.capacity * share,
-            {c: m * share for c, m in limits.channels.items()}, limits.per_customer,
-        )
-    # Rows of a customer stay in one partition, so no pass shuffles them; lost blocks are read again.
-    looked = looked.repartition("who").persist()
-    draw = np.random.default_rng(7)
-    points = np.vstack([np.zeros(n), top * 10 ** draw.uniform(-3, 0, (POINTS - 1, n))])
-    cuts, best, bound = [], points[0], math.inf
-    for _ in range(SEARCH_PASSES):
-        for x, (value, slope) in zip(points, _bounds(looked, points, cut)):
-            cuts.append((value, slope, x))
-            if value < bound:
-                best, bound = x, value
-        points = _next_points(cuts, best, top, draw)
-    looked.unpersist()
-    if share < 1.0:
-        bound = _bounds(pruned, best[None, :], limits)[0][0]
-    return [float(v) for v in best], bound
+class _Search:
+    """Prices with a low bound, by cutting planes (Kelley, SIAM 1960), over all rows."""
+
+    def __init__(self, pruned: DataFrame, limits: Limits):
+        top_row = pruned.agg(
+            F.max(F.when(F.col("action_cost") > 0, F.col("expected_net_value") / F.col("action_cost"))).alias("roi"),
+            F.max("expected_net_value").alias("net"),
+        ).first()
+        n = len(_uses(limits))
+        self.limits, self.bound, self.cuts = limits, math.inf, []
+        self.top = np.array([top_row["roi"] or 0.0] + [top_row["net"] or 0.0] * (n - 1))
+        # Rows of a customer stay in one partition, so no pass shuffles them; lost blocks are read again.
+        self.rows = pruned.repartition("who").persist()
+        self.draw = np.random.default_rng(7)
+        self.points = np.vstack([np.zeros(n), self.top * 10 ** self.draw.uniform(-3, 0, (POINTS - 1, n))])
+        self.best = self.points[0]
+
+    def look(self, passes: int = SEARCH_PASSES) -> list[float]:
+        """Prices with the lowest bound after some more passes."""
+        for _ in range(passes):
+            for x, (value, slope) in zip(self.points, _bounds(self.rows, self.points, self.limits)):
+                self.cuts.append((value, slope, x))
+                if value < self.bound:
+                    self.best, self.bound = x, value
+            self.points = _next_points(self.cuts, self.best, self.top, self.draw)
+        return [float(v) for v in self.best]
+
+    def end(self) -> None:
+        self.rows.unpersist()
 
 
 def _undominated(narrow: DataFrame, per_customer: int | None) -> DataFrame:
@@ -383,46 +382,56 @@ def _undominated(narrow: DataFrame, per_customer: int | None) -> DataFrame:
     return narrow.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= per_customer).drop("_rank")
 
 
-def _optimise(df: DataFrame, limits: Limits, min_net: float, entity: list[str] | None, by_entity: bool, method: str) -> Plan:
+def _optimise(
+    df: DataFrame, limits: Limits, min_net: float, entity: list[str] | None, by_entity: bool, method: str, gap: float = GAP
+) -> Plan:
     candidates = staged(plan_candidates(df, min_net, entity), "candidates")
     ranked = running(candidates, _greedy_order(candidates))
     narrow = staged(_narrow(ranked, _who(df, by_entity)), "narrow")
     pruned = staged(_undominated(narrow, limits.per_customer), "pruned")
-    prices, bound = _prices(pruned, limits)
 
-    priced = pruned.withColumn("_reduced", _reduced([F.lit(v) for v in prices], limits)).drop("position")
-    repriced = running(priced, [F.col("_reduced").desc(), F.col("expected_net_value").desc(), F.col("id")])
-    options = {
-        "priced": staged(_greedy(repriced, limits), "ids"),
-        "greedy": staged(_greedy(narrow, limits), "ids"),
-    }
-    worth = {}
-    for name, ids in options.items():
-        won = narrow.join(ids, "id", "left_semi").agg(F.sum("expected_net_value")).first()[0]
-        worth[name] = won or 0.0
-    winner = max(options, key=worth.__getitem__)
+    def worth(ids: DataFrame) -> float:
+        return narrow.join(ids, "id", "left_semi").agg(F.sum("expected_net_value")).first()[0] or 0.0
+
+    winner, ids = "greedy", staged(_greedy(narrow, limits), "ids")
+    value = worth(ids)
+    search = _Search(pruned, limits)
+    for _ in range(MOST_PLANS):
+        prices = search.look()
+        if search.bound - value <= gap * max(abs(value), 1.0):
+            break
+        priced = pruned.withColumn("_reduced", _reduced([F.lit(v) for v in prices], limits)).drop("position")
+        repriced = running(priced, [F.col("_reduced").desc(), F.col("expected_net_value").desc(), F.col("id")])
+        tried = staged(_greedy(repriced, limits), "ids")
+        if (new := worth(tried)) > value:
+            winner, ids, value = "priced", tried, new
+        if search.bound - value <= gap * max(abs(value), 1.0):
+            break
+    search.end()
     status = f"feasible; best of priced and greedy order ({winner}), with an upper bound, not proven optimal"
-    return _finished(ranked, options[winner], method, limits, status, bound=max(bound, worth[winner]))
+    return _finished(ranked, ids, method, limits, status, bound=max(search.bound, value))
 
 
 def plan_optimised(
-    df: DataFrame, budget: float = 500_000, capacity=None, min_net: float = 0.0, channel_limits=None, per_customer=1
+    df: DataFrame, budget: float = 500_000, capacity=None, min_net: float = 0.0, channel_limits=None, per_customer=1, gap: float = GAP
 ) -> Plan:
     """Value-maximising choice: prices on the limits from the Lagrangian dual, then a feasible plan.
 
     The plan keeps every limit and is never worth less than the greedy one; the summary states how
-    far at most it can be from the best (Fisher, Management Science 1981).
+    far at most it can be from the best (Fisher, Management Science 1981). The search goes over all
+    rows and ends at ``gap``, or after ``MOST_PLANS`` rounds of passes.
     """
     limits = check_limits(budget, capacity, channel_limits, per_customer)
-    return _optimise(df, limits, min_net, None, False, "optimised")
+    return _optimise(df, limits, min_net, None, False, "optimised", gap)
 
 
 def plan_action_assignment(
-    df: DataFrame, budget: float = 500_000, capacity=None, min_net: float = 0.0, channel_limits=None, entity: list[str] | None = None
+    df: DataFrame, budget: float = 500_000, capacity=None, min_net: float = 0.0, channel_limits=None,
+    entity: list[str] | None = None, gap: float = GAP,
 ) -> Plan:
     """One row per feasible (entity, action); at most one action per entity is chosen."""
     limits = check_limits(budget, capacity, channel_limits, 1)
-    return _optimise(df, limits, min_net, entity, True, "optimised_action_assignment")
+    return _optimise(df, limits, min_net, entity, True, "optimised_action_assignment", gap)
 
 
 def plan_contacts(df: DataFrame, method: str = "optimised", **limits) -> Plan:

@@ -21,6 +21,7 @@ STRATEGIES = {
     V.STRATEGY_RECOVERY: "expected_recovery",
     V.STRATEGY_NET: "expected_net_value",
 }
+RANDOM_ORDER = "random"
 _RATIO = F.try_divide
 
 
@@ -91,6 +92,18 @@ def strategy_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS) -> Dat
     )
 
 
+def top_fraction(df: DataFrame, fraction: float, strategy: str = V.STRATEGY_NET) -> DataFrame:
+    """The rows that the strategy contacts first, with their position; at least one."""
+    rows = df.count()
+    ranked = running(df, [_strategy_score(df, strategy).desc(), *tie_breakers(df)])
+    return ranked.where(F.col("position") <= top_n(rows, fraction))
+
+
+def _strategy_score(df: DataFrame, strategy: str) -> Column:
+    """What a strategy sorts by, best first; the random one by a hash of the row's draw key."""
+    return F.xxhash64(draw_key(df)).cast("double") if strategy == RANDOM_ORDER else _or_zero(df, STRATEGIES[strategy])
+
+
 def draw_key(df: DataFrame) -> Column:
     """Text that identifies a row in a random draw; rows with the same text have the same outcome.
 
@@ -232,27 +245,33 @@ def benchmark_slice(benchmark: DataFrame, top_pct: float) -> DataFrame:
     return benchmark.where(F.abs(F.col("top_pct") - top_pct) < 1e-9).orderBy(F.col("observed_recovery").desc(), "strategy")
 
 
-def recovery_curve(df: DataFrame, strategy: str = V.STRATEGY_NET) -> DataFrame:
-    """Cumulative outcome at every whole percent of rows contacted in the strategy's order."""
+def recovery_curve(df: DataFrame, strategy: str = V.STRATEGY_NET, step: float = 0.01) -> DataFrame:
+    """Cumulative outcome at every ``step`` of rows contacted in the strategy's order, up to all.
+
+    ``strategy`` is a deterministic one or ``RANDOM_ORDER``. A step is a part of 1 that divides it.
+    """
+    parts = round(1 / step)
+    if not 0 < step <= 1 or abs(parts * step - 1) > 1e-9:
+        raise ValueError(f"step must divide 1 evenly: {step!r}")
     rows, total, _ = _overall(df)
     narrow = df.select(
         *[c for c in ("customer_id", "credit_id", "relative_due_day", "instalment_no", "amount_due") if c in df.columns],
-        _or_zero(df, STRATEGIES[strategy]).alias("_score"), *_outcomes(df),
+        _strategy_score(df, strategy).alias("_score"), *_outcomes(df),
     )
     ranked = running(narrow, [F.col("_score").desc(), *tie_breakers(narrow)])
-    # The first percent whose list, the top ceil(rows * percent / 100), holds this row.
-    percent = F.expr(f"CAST(((position - 1) * 100) DIV {max(rows, 1)} + 1 AS INT)")
-    sums = ranked.groupBy(percent.alias("percent")).agg(
+    # The first part whose list, the top ceil(rows * part / parts), holds this row.
+    part = F.expr(f"CAST(((position - 1) * {parts}) DIV {max(rows, 1)} + 1 AS INT)")
+    sums = ranked.groupBy(part.alias("part")).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(m).alias(m) for m in ("_recovery", "_success", "_cost")]
     )
-    grid = df.sparkSession.range(1, 101).select(F.col("id").cast("int").alias("percent"))
-    so_far = Window.orderBy("percent").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # 100 rows
-    curve = grid.join(sums, "percent", "left").select(
-        "percent", *[F.coalesce(F.sum(m).over(so_far), F.lit(0)).alias(m) for m in ("n", "_recovery", "_success", "_cost")]
+    grid = df.sparkSession.range(1, parts + 1).select(F.col("id").cast("int").alias("part"))
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per step
+    curve = grid.join(sums, "part", "left").select(
+        "part", *[F.coalesce(F.sum(m).over(so_far), F.lit(0)).alias(m) for m in ("n", "_recovery", "_success", "_cost")]
     )
     return curve.select(
         F.lit(strategy).alias("strategy"),
-        (F.col("percent") / 100.0).alias("contacted_pct"),
+        (F.col("part") / float(parts)).alias("contacted_pct"),
         F.col("n").alias("contacted"),
         F.col("_recovery").alias("cumulative_recovery"),
         (_RATIO(F.col("_recovery"), F.lit(total)) if total > 0 else F.lit(0.0)).alias("capture"),

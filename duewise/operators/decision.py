@@ -12,14 +12,6 @@ from duewise.functions.expressions import (
 from duewise.operators.history import first_per_key
 from duewise.operators.quantiles import exact_quantiles
 
-OUTPUT_COLUMNS = (
-    "customer_id", "credit_id", "instalment_no", "relative_due_day", "amount_due", "days_past_due", "payment_ratio",
-    "unpaid_amount", "p_cure", "p_cure_raw", "p_cure_untreated", "amount_pred", "amount_pred_capped",
-    "expected_recovery", "baseline_recovery", "incremental_benefit", "action_cost", "expected_net_value", "action",
-    "priority", "needs_human_review", "reason_codes", "p_tier", "amount_tier", "cured_in_horizon",
-    "recovered_in_horizon", "hist_count", "hist_late_rate", "hist_partial_rate", "hist_dpd_mean", "hist_dpd_max",
-    "roll3_late_rate", "roll6_late_rate", "last_dpd", "last_ratio",
-)
 _TIE_COLUMNS = (
     "customer_id", "credit_id", "relative_due_day", "instalment_no", "amount_due", "version", "pay_day", "payment",
 )
@@ -151,4 +143,4 @@ def portfolio_latest(df: DataFrame) -> DataFrame:
 
 
 def project_outputs(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in OUTPUT_COLUMNS if c in df.columns])
+    return df.select(*[c for c in V.OUTPUT_COLUMNS if c in df.columns])

@@ -12,12 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duewise import fixed_values as V
-from duewise.functions.expressions import clip, flag, safe_divide, status_number, sum_or_zero
+from duewise.functions.expressions import clip, flag, safe_divide, status_number, sum_or_zero, to_number
+
+
+_TEXTS = ("CREDIT_ACTIVE", "NAME_CONTRACT_STATUS")
 
 
 def _with_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    """Add absent columns as nulls, so that a narrow source still aggregates."""
-    return df.withColumns({n: F.lit(None).cast("double") for n in names if n not in df.columns})
+    """Absent columns as nulls, so that a narrow source still aggregates; numbers kept as text are read."""
+    kinds = dict(df.dtypes)
+    absent = {n: F.lit(None).cast("double") for n in names if n not in kinds}
+    texts = {n: to_number(F.col(n)) for n in names if kinds.get(n) == "string" and n not in _TEXTS}
+    return df.withColumns({**absent, **texts}) if absent or texts else df
 
 
 def bureau_status_features(bureau: DataFrame, balance: DataFrame) -> DataFrame:
@@ -110,11 +116,8 @@ def card_features(card: DataFrame) -> DataFrame:
     )
 
 
-def optional_customer_features(tables: dict[str, DataFrame | None]) -> DataFrame | None:
-    """One row per customer known to any optional table; None when there is none.
-
-    The parts are each hash-partitioned on the customer already, so the full joins add no shuffle.
-    """
+def optional_parts(tables: dict[str, DataFrame | None]) -> list[DataFrame]:
+    """The features of each optional table that is there, one row per customer each."""
     parts = []
     if tables.get("bureau") is not None:
         parts.append(bureau_features(tables["bureau"], tables.get("bureau_balance")))
@@ -122,8 +125,23 @@ def optional_customer_features(tables: dict[str, DataFrame | None]) -> DataFrame
         parts.append(pos_features(tables["pos_cash"]))
     if tables.get("credit_card") is not None:
         parts.append(card_features(tables["credit_card"]))
+    return parts
+
+
+def optional_customer_features(tables: dict[str, DataFrame | None]) -> DataFrame | None:
+    """One row per customer known to any optional table; None when there is none.
+
+    The key of a full join may come from either side, so each further part is dealt out again. To
+    enrich events, ``join_parts`` needs no such table.
+    """
+    parts = optional_parts(tables)
     return reduce(lambda a, b: a.join(b, "customer_id", "full"), parts) if parts else None
 
 
 def join_enrichment(events: DataFrame, features: DataFrame | None) -> DataFrame:
     return events if features is None else events.join(features, "customer_id", "left")
+
+
+def join_parts(events: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """Events with every part: one shuffle of the events by customer serves all of the joins."""
+    return reduce(lambda a, b: a.join(b, "customer_id", "left"), parts, events)

@@ -22,6 +22,7 @@ from duewise.operators import metrics as M
 from duewise.operators.ordering import running
 from duewise.session import staged
 
+FREQUENT = 20  # rows from which the baseline knows a level by name
 SPLITS = ("train", "validation", "calibration", "test")
 
 
@@ -153,9 +154,10 @@ def baseline_model(train: DataFrame, test: DataFrame, numeric: list[str], catego
     modes, rare = {}, {}
     for c in categorical:
         levels = train.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        top = levels.orderBy(F.col("count").desc(), "v").limit(V.MAX_CATEGORY_LEVELS + 1).collect()
-        modes[c] = top[0]["v"] if top else V.MISSING_CATEGORY
-        rare[c] = [r["v"] for r in top if r["count"] >= 20]
+        top = levels.orderBy(F.col("count").desc(), "v").first()
+        modes[c] = top["v"] if top else V.MISSING_CATEGORY
+        # MLlib's indexer holds its levels on the driver as well; text columns with very many are left out by the policy.
+        rare[c] = [r["v"] for r in levels.where(F.col("count") >= FREQUENT).select("v").collect()]
 
     def filled(df: DataFrame) -> DataFrame:
         text = {
@@ -218,18 +220,23 @@ def train_hurdle(
 
 
 def split_rows(df: DataFrame, seed: int = 42, shares: tuple = (0.25, 0.20, 0.15)) -> DataFrame:
-    """Rows with their split: whole customers, or with ten customers or fewer, rows class by class."""
-    if df.select("customer_id").distinct().limit(11).count() > 10:
-        return df.join(group_split(df, "customer_id", *shares, seed=seed), "customer_id")
+    """Rows with their split: whole customers, or with ten customers or fewer, rows class by class.
+
+    A row without a customer is a group of its own; so is every row where there is no such column.
+    """
     # Hash shares within each class keep its rate in every split; no rank over the rows is needed.
-    spot = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000)) / 1_000_000.0
+    spot = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1_000_000)) / 1_000_000.0
     test, calibration = shares[0], (1 - shares[0]) * shares[1]
     validation = (1 - shares[0] - calibration) * shares[2]
-    return df.withColumn(
-        "split",
+    alone = (
         F.when(spot < test, "test").when(spot < test + calibration, "calibration")
-        .when(spot < test + calibration + validation, "validation").otherwise("train"),
+        .when(spot < test + calibration + validation, "validation").otherwise("train")
     )
+    known = df.select("customer_id").where(F.col("customer_id").isNotNull()) if "customer_id" in df.columns else None
+    if known is None or known.distinct().limit(11).count() <= 10:
+        return df.withColumn("split", alone)
+    joined = df.join(group_split(df, "customer_id", *shares, seed=seed), "customer_id", "left")
+    return joined.withColumn("split", F.coalesce("split", alone))
 
 
 def _measure(data: DataFrame, test: DataFrame, model: CollectionsModel, n_paid: int, n_paid_validation: int) -> dict:

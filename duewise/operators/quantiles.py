@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +15,12 @@ from pyspark.sql import functions as F
 from duewise.operators.ordering import running
 
 ACCURACY = 10_000  # the approximate pass is off by at most rows / ACCURACY ranks
-LISTED_VALUES = 200_000  # distinct bracketed values that may reach the driver
+LISTED_VALUES = 20_000  # distinct bracketed values that may reach the driver; more are ranked by partitions
+WIDENINGS = (1, 20, 400)  # how far brackets reach, in turn, should one miss its rank
+
+
+class BracketMissed(ArithmeticError):
+    """The approximate pass was further off than its bracket; a wider one is tried."""
 
 
 @dataclass
@@ -39,9 +43,25 @@ def exact_quantiles(
     Give a scan or a staged table: it is read twice, and a third time for a column whose brackets hold
     more distinct values than may be listed, which is then ranked by range partitioning.
     """
-    frame = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
+    frame = df.select(*[present_number(c.cast("double")).alias(n) for n, c in columns.items()])
     rows = frame.count() if rows is None else rows
-    zones = _brackets(frame, probabilities, rows)
+    for widening in WIDENINGS:
+        try:
+            return _quantiles(frame, probabilities, rows, listed_values, widening)
+        except BracketMissed:
+            continue
+    # Not reached in practice: everything is one bracket, ranked by range partitioning.
+    return {n: _ranked(_placed(frame, n, [_Zone(-math.inf, math.inf)]), probabilities[n]) for n in columns}
+
+
+def present_number(value: Column) -> Column:
+    """NaN counts as missing, and minus zero as zero."""
+    return F.when(~F.isnan(value), value + F.lit(0.0))
+
+
+def _quantiles(frame: DataFrame, probabilities: dict[str, list[float]], rows: int, listed_values: int, widening: int):
+    columns = frame.columns
+    zones = _brackets(frame, probabilities, rows, widening)
     counted = _zone_counts(frame, zones)
     found = counted.limit(listed_values + 1).collect()
     if len(found) > listed_values:
@@ -52,8 +72,8 @@ def exact_quantiles(
     return {n: _read_off(sorted(steps[n], key=lambda s: (s[0], s[1] or 0.0)), probabilities[n]) for n in columns}
 
 
-def _brackets(frame: DataFrame, probabilities: dict[str, list[float]], rows: int) -> dict[str, list[_Zone]]:
-    reach = 3.0 / ACCURACY + 2.0 / max(rows, 1)
+def _brackets(frame: DataFrame, probabilities: dict[str, list[float]], rows: int, widening: int = 1) -> dict[str, list[_Zone]]:
+    reach = widening * (3.0 / ACCURACY + 2.0 / max(rows, 1))
     wanted = {
         n: [min(1.0, max(0.0, q + side * reach)) for q in sorted(qs) for side in (-1, 1)] for n, qs in probabilities.items()
     }
@@ -71,24 +91,23 @@ def _brackets(frame: DataFrame, probabilities: dict[str, list[float]], rows: int
     return out
 
 
-def _placed(frame: DataFrame, name: str, zones: list[_Zone]) -> DataFrame:
+def _cell(name: str, zones: list[_Zone]) -> Column:
     """(zone, value if listed) of one column: odd zones are brackets, even ones lie between them."""
     value, zone = F.col(name), F
     for i, z in enumerate(zones):
         zone = zone.when(value < z.low, 2 * i).when(value <= z.high, 2 * i + 1)
-    zone = zone.otherwise(2 * len(zones)) if zones else F.lit(0)
-    placed = frame.where(value.isNotNull()).select(value.alias("value"), zone.cast("int").alias("zone"))
-    return placed.select("zone", F.when(F.col("zone") % 2 == 1, F.col("value")).alias("value"))
+    zone = (zone.otherwise(2 * len(zones)) if zones else F.lit(0)).cast("int")
+    return F.when(value.isNotNull(), F.struct(F.lit(name).alias("name"), zone.alias("zone"), F.when(zone % 2 == 1, value).alias("value")))
 
 
-def _zone_counts(frame: DataFrame, zones: dict[str, list[_Zone]]) -> DataFrame:
-    """Rows per column, zone and listed value; rows collapse within each task.
+def _placed(frame: DataFrame, name: str, zones: list[_Zone]) -> DataFrame:
+    return frame.select(_cell(name, zones).alias("c")).where("c is not null").select("c.zone", "c.value")
 
-    Each column is a branch of its own that scans that column only, so the branches together read no
-    more than one pass over all of them, and each has small generated code.
-    """
-    branches = [_placed(frame, n, z).withColumn("name", F.lit(n)) for n, z in zones.items()]
-    return reduce(DataFrame.unionByName, branches).groupBy("name", "zone", "value").agg(F.count(F.lit(1)).alias("n"))
+
+def _zone_counts(frame: DataFrame, zones: dict[str, list[_Zone]]) -> DataFrame:
+    """Rows per column, zone and listed value, from one scan; rows collapse within each task."""
+    cells = frame.select(F.explode(F.array_compact(F.array(*[_cell(n, z) for n, z in zones.items()]))).alias("c"))
+    return cells.groupBy("c.name", "c.zone", "c.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _read_off(steps: list[tuple], probabilities: list[float]) -> dict[float, float | None]:
@@ -103,7 +122,7 @@ def _read_off(steps: list[tuple], probabilities: list[float]) -> dict[float, flo
             upto += n
             if rank < upto:
                 if value is None:
-                    raise ArithmeticError("a wanted rank fell outside its bracket")
+                    raise BracketMissed("a wanted rank fell outside its bracket")
                 return value
         raise IndexError(rank)
 
@@ -135,9 +154,3 @@ def _ranked(placed: DataFrame, probabilities: list[float]) -> dict[float, float
         previous = r["upto"]
     steps.append((None, None, total - previous))
     return _read_off(steps, probabilities)
-
-
-def approximate_quantiles(df: DataFrame, column: Column, probabilities: list[float], accuracy: int = ACCURACY):
-    """One-pass approximation, offered for very large exploratory runs."""
-    row = df.agg(F.percentile_approx(column, probabilities, accuracy).alias("q")).first()
-    return dict(zip(probabilities, row["q"] or [None] * len(probabilities)))

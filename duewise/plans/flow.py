@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duewise import fixed_values as V
 from duewise.operators import allocation, backtest, decision, enrichment, history, modelling, policy, targets
+from duewise.session import scope
 from duewise.sources import readers, sinks
 
 
@@ -25,7 +26,7 @@ class RunConfig:
     per_customer: int | None = 1
     method: str = "optimised"
     simulations: int = 200
-    trees: int = 40
+    trees: int = 200  # at most; fitting stops early where validation no longer gains
     depth: int = 5
 
 
@@ -35,7 +36,7 @@ def build_dataset(tables: dict[str, DataFrame | None], config: RunConfig) -> Dat
     History and targets share the shuffle on the credit; the customer joins follow.
     """
     prepared = history.prepare_instalments(tables["instalments"])
-    hot = history.hot_keys(prepared, "credit_id")
+    hot = history.hot_keys(tables["instalments"], "credit_id")
     events = history.delinquency_events(history.history_features(prepared, hot), config.min_history)
     events = targets.forward_targets(events, config.horizon_days, hot)
     if tables.get("previous") is not None:
@@ -43,7 +44,7 @@ def build_dataset(tables: dict[str, DataFrame | None], config: RunConfig) -> Dat
     if tables.get("application") is not None:
         events = history.join_application(events, tables["application"])
     if config.use_optional:
-        events = enrichment.join_enrichment(events, enrichment.optional_customer_features(tables))
+        events = enrichment.join_parts(events, enrichment.optional_parts(tables))
     return events
 
 
@@ -76,8 +77,15 @@ def run_summary(
 
 
 def run_collections(spark: SparkSession, raw: str, out: str, config: RunConfig | None = None) -> dict[str, str]:
-    """Run everything and return the path of each output. Stages are handed over as written tables."""
-    config = config or RunConfig()
+    """Run everything and return the path of each output. Stages are handed over as written tables.
+
+    What is staged on the way is deleted at the end, also after an error.
+    """
+    with scope(spark):
+        return _run_collections(spark, raw, out, config or RunConfig())
+
+
+def _run_collections(spark: SparkSession, raw: str, out: str, config: RunConfig) -> dict[str, str]:
     tables = dict(readers.load_core_tables(spark, raw))
     if config.use_optional:
         tables |= readers.load_optional_tables(spark, raw)
@@ -99,7 +107,7 @@ def run_collections(spark: SparkSession, raw: str, out: str, config: RunConfig |
     decided = decision.add_human_review(decision.add_reason_codes(decided))
     paths["events"] = sinks.write_table(decided, f"{out}/decided_events")
     events = spark.read.parquet(paths["events"])
-    paths["portfolio"] = sinks.write_table(decision.project_outputs(decision.portfolio_latest(events)), f"{out}/portfolio")
+    paths["portfolio"] = sinks.write_table(decision.sort_ranked(decision.project_outputs(decision.portfolio_latest(events))), f"{out}/portfolio")
     portfolio = spark.read.parquet(paths["portfolio"])
 
     paths["holdout"] = sinks.write_table(decision.recommend_actions(model.holdout), f"{out}/holdout")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from duewise import fixed_values as V
 from duewise.operators import backtest
 from duewise.queries.shared import HOLDOUT, holdout, tidy, tidy_sql, with_ctes
 
@@ -11,6 +12,7 @@ _RANDOM = {"success_rate": 9, "lift": 9, "observed_recovery": 1, "capture": 9, "
 _COMPARED = {"success_rate": 9, "observed_recovery": 1, "model_gain": 9, "lift_vs_random": 9}
 _COMPARE_COLUMNS = ("strategy", "strategy_kind", "top_pct", "contacted", "success_rate", "observed_recovery", "model_gain",
                     "lift_vs_random", "beats_random_p90")
+_ROW = ("customer_id", "credit_id", "relative_due_day", "instalment_no")
 _SLICE = ("strategy", "strategy_kind", "top_pct", "contacted", "observed_recovery")
 
 QUERIES = {
@@ -21,6 +23,14 @@ QUERIES = {
         backtest.benchmark_slice(backtest.strategy_benchmark(holdout(s, d)), 0.10).select(*_SLICE), observed_recovery=1),
     "recovery_curve": lambda s, d: tidy(
         backtest.recovery_curve(holdout(s, d)), cumulative_recovery=1, capture=9, observed_net=1),
+    "recovery_curve_steps": lambda s, d: tidy(
+        backtest.recovery_curve(holdout(s, d), V.STRATEGY_AMOUNT, 0.05), cumulative_recovery=1, capture=9, observed_net=1),
+    "top_fraction": lambda s, d: backtest.top_fraction(holdout(s, d), 0.10).select(*_ROW, "expected_net_value", "position"),
+    "union_benchmark": lambda s, d: backtest.benchmark_compare(
+        backtest.strategy_benchmark(holdout(s, d)), backtest.random_benchmark(holdout(s, d))).select(
+            "strategy", "strategy_kind", "top_pct", "contacted"),
+    "join_benchmark_refs": lambda s, d: tidy(
+        backtest.full_benchmark(holdout(s, d)).select("strategy", "top_pct", "model_gain", "lift_vs_random"), model_gain=9, lift_vs_random=9),
 }
 
 _CTES = HOLDOUT + """,
@@ -61,6 +71,19 @@ _SIMS = _CTES + """,
                quantile_cont(rec - cost, 0.1) AS random_net_p10, quantile_cont(rec - cost, 0.9) AS random_net_p90
         FROM per GROUP BY top_pct, contacted)"""
 
+
+
+def _curve_sql(strategy: str, score: str, parts: int) -> str:
+    return with_ctes(_CTES + f""",
+        r AS (SELECT rec, ok, action_cost, row_number() OVER (ORDER BY {score} DESC, customer_id, credit_id, relative_due_day,
+                     instalment_no, amount_due) AS k FROM h),
+        g AS (SELECT unnest(range(1, {parts + 1})) AS part)""", f"""
+        SELECT '{strategy}' AS strategy, part / {parts}.0::DOUBLE AS contacted_pct, count(*) AS contacted, sum(rec) AS cumulative_recovery,
+               sum(rec) / (SELECT total FROM tot) AS capture, sum(action_cost) AS cumulative_cost, sum(rec) - sum(action_cost) AS observed_net,
+               avg(ok) AS cumulative_success_rate
+        FROM g JOIN r ON k <= ((SELECT n FROM tot) * part + {parts - 1}) // {parts} GROUP BY part""")
+
+
 CHECKS = {
     "strategy_benchmark": tidy_sql(with_ctes(_CTES, "SELECT * FROM det"), base_rate=9, lift=9, **_DIGITS),
     "random_benchmark": tidy_sql(with_ctes(_SIMS, "SELECT * FROM rnd"), base_rate=9, **_RANDOM),
@@ -73,13 +96,18 @@ CHECKS = {
         JOIN (SELECT top_pct, observed_recovery AS m, random_recovery_p90 AS p90 FROM rnd) ra ON x.top_pct = ra.top_pct"""), **_COMPARED),
     "benchmark_slice": tidy_sql(with_ctes(_CTES, """
         SELECT strategy, strategy_kind, top_pct, contacted, observed_recovery FROM det WHERE top_pct = 0.1"""), observed_recovery=1),
-    "recovery_curve": tidy_sql(with_ctes(_CTES + """,
-        r AS (SELECT rec, ok, action_cost, row_number() OVER (ORDER BY expected_net_value DESC, customer_id, credit_id, relative_due_day,
-                     instalment_no, amount_due) AS k FROM h),
-        g AS (SELECT unnest(range(1, 101)) AS pct)""", """
-        SELECT 'Mayor valor neto esperado' AS strategy, pct / 100.0::DOUBLE AS contacted_pct, count(*) AS contacted, sum(rec) AS cumulative_recovery,
-               sum(rec) / (SELECT total FROM tot) AS capture, sum(action_cost) AS cumulative_cost, sum(rec) - sum(action_cost) AS observed_net,
-               avg(ok) AS cumulative_success_rate
-        FROM g JOIN r ON k <= ((SELECT n FROM tot) * pct + 99) // 100 GROUP BY pct"""),
-        cumulative_recovery=1, capture=9, observed_net=1),
+    "recovery_curve": tidy_sql(_curve_sql("Mayor valor neto esperado", "expected_net_value", 100), cumulative_recovery=1, capture=9, observed_net=1),
+    "recovery_curve_steps": tidy_sql(_curve_sql("Mayor monto vencido", "amount_due", 20), cumulative_recovery=1, capture=9, observed_net=1),
+    "top_fraction": with_ctes(_CTES, """
+        SELECT customer_id, credit_id, relative_due_day, instalment_no, expected_net_value, k AS position FROM (
+            SELECT *, row_number() OVER (ORDER BY expected_net_value DESC, customer_id, credit_id, relative_due_day, instalment_no, amount_due) AS k FROM h)
+        WHERE k <= (SELECT greatest(1, ceil(n * 0.1)) FROM tot)"""),
+    "union_benchmark": with_ctes(_CTES, """
+        SELECT strategy, strategy_kind, top_pct, contacted FROM det
+        UNION ALL SELECT 'Aleatorio promedio (200 sims)', 'aleatoria_simulada', top_pct, contacted FROM sizes"""),
+    "join_benchmark_refs": tidy_sql(with_ctes(_SIMS, """
+        SELECT strategy, x.top_pct, mo.observed_recovery / x.observed_recovery - 1 AS model_gain, x.observed_recovery / ra.m AS lift_vs_random
+        FROM (SELECT strategy, top_pct, observed_recovery FROM det UNION ALL SELECT strategy, top_pct, observed_recovery FROM rnd) x
+        JOIN (SELECT top_pct, observed_recovery FROM det WHERE strategy = 'Mayor valor neto esperado') mo ON x.top_pct = mo.top_pct
+        JOIN (SELECT top_pct, observed_recovery AS m FROM rnd) ra ON x.top_pct = ra.top_pct"""), model_gain=9, lift_vs_random=9),
 }

@@ -90,6 +90,7 @@ def _kpis(spark, folder):
 
 
 QUERIES = {
+    "sort_ranked": lambda s, d: decision.sort_ranked(portfolio(s, d)).select(*_PORTFOLIO_COLUMNS),
     "exact_quantiles": _quantile_rows,
     "quantile_bucket": _bucket,
     "infer_channel": _channels,
@@ -140,6 +141,7 @@ _K = ", ".join(_KEY)
 _P = ", ".join(_PORTFOLIO_COLUMNS)
 
 CHECKS = {
+    "sort_ranked": with_ctes(PORTFOLIO, f"SELECT {', '.join(_PORTFOLIO_COLUMNS)} FROM portfolio ORDER BY expected_net_value DESC"),
     "exact_quantiles": tidy_sql(with_ctes(SCORED, " UNION ALL ".join(
         f"SELECT '{c}' AS name, {q}::DOUBLE AS q, quantile_cont({c}, {q})::DOUBLE AS value FROM scored"
         for c in ("amount_due", "p_cure", "last_ratio", "roll3_unpaid_sum") for q in _PS)), value=6),

@@ -112,7 +112,16 @@ def _positive(spark, folder):
                             amount_from_log(log_amount(F.col("recovered_in_horizon"))).alias("amount")), log_amount=9, amount=4)
 
 
+def _without_empty(spark, folder):
+    """Columns of the bureau table that stay, beside one that is null throughout."""
+    data = credit_table(spark, folder, "bureau").withColumn("nothing", F.lit(None).cast("double"))
+    numeric, text = policy.feature_columns(data)
+    return data.groupBy("CREDIT_TYPE").agg(F.count(F.lit(1)).alias("rows")).select(
+        "CREDIT_TYPE", "rows", F.lit(", ".join(sorted(numeric + text))).alias("kept"))
+
+
 QUERIES = {
+    "drop_all_null": _without_empty,
     "expr_to_number": _to_number,
     "event_current_state": _current_state,
     "expr_log_amount": _positive,
@@ -151,6 +160,12 @@ _NOT_FEATURES = ", ".join(f"'{c}'" for c in (
 
 _PAID = "FROM tgt WHERE cured_in_horizon = 1 AND recovered_in_horizon > 0"
 CHECKS = {
+    "drop_all_null": with_ctes(shape_ctes("bureau"), """
+        SELECT CREDIT_TYPE, count(*) AS rows, (
+            SELECT string_agg(column_name, ', ' ORDER BY column_name) FROM (SUMMARIZE SELECT * FROM bureau)
+            WHERE null_percentage < 100 AND (column_type <> 'VARCHAR' OR approx_unique <= 80)
+              AND column_name NOT IN ('customer_id', 'credit_id')) AS kept
+        FROM bureau GROUP BY CREDIT_TYPE"""),
     "expr_to_number": """
         SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN value::DECIMAL(18, 4)::DOUBLE END AS number FROM events""",
     "event_current_state": with_ctes(EV, """

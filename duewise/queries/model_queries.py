@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from duewise.functions.expressions import amount_from_log
-from duewise.operators import modelling, policy, targets
-from duewise.queries.shared import credit_table, enriched, scored, shape_ctes, staged, with_ctes
+from duewise.operators import history, modelling, policy, targets
+from duewise.queries.shared import TGT, credit_table, enriched, scored, shape_ctes, staged, with_ctes
 from duewise.session import stage_dir
 
-# Enough trees for a steady ranking; a run of one's own sets more.
-TREES = 20
+# At most so many trees; fitting stops early where the validation split no longer gains.
+TREES, DEPTH = 100, 5
 
 
 def _features(df):
@@ -22,7 +24,7 @@ def _features(df):
 def _trained(spark, folder, baseline=False):
     data = enriched(spark, folder).drop("p_cure", "amount_pred")
     numeric, text = _features(data)
-    return data, modelling.train_hurdle(data, numeric, text, iterations=TREES, depth=4, baseline=baseline)
+    return data, modelling.train_hurdle(data, numeric, text, iterations=TREES, depth=DEPTH, baseline=baseline)
 
 
 def _rows(spark, pairs):
@@ -31,13 +33,16 @@ def _rows(spark, pairs):
 
 
 def _encoding(spark, folder):
+    """Levels of every kept text column: the most frequent first, then by name."""
     data = enriched(spark, folder)
-    numeric, text = ["days_past_due", "last_ratio", "pos_dpd_max"], []
-    wide = data.withColumn("band", F.when(F.col("number") < 5, F.concat(F.lit("n"), F.col("number").cast("string"))))
-    text = ["band"]
-    fitted = modelling.feature_pipeline(numeric, text).fit(modelling.model_inputs(wide, numeric, text))
-    return fitted.transform(modelling.model_inputs(wide, numeric, text)).groupBy("band", "band__level", "pos_dpd_max__absent").agg(
-        F.count(F.lit(1)).alias("rows"))
+    joined = staged(history.join_application(data, credit_table(spark, folder, "application")), "joined")
+    numeric, text = _features(joined)
+    fitted = modelling.feature_pipeline(numeric, text).fit(modelling.model_inputs(joined, numeric, text))
+    out = fitted.transform(modelling.model_inputs(joined, numeric, text))
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"{c}__text").alias("level"), F.col(f"{c}__level").cast("int").alias("code")) for c in text
+    ]))
+    return out.select(pairs.alias("p")).select("p.*").groupBy("column", "level", "code").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _hurdle(spark, folder):
@@ -51,55 +56,80 @@ def _scored_rows(spark, folder):
         "credit_id", "due_day", "number", "p_cure_raw", "p_cure", "amount_pred", "amount_pred_capped", "expected_recovery_model")
 
 
-def _stored(spark, folder):
-    """Scores of a model that was written and read back."""
-    data, model = _trained(spark, folder)
-    place = f"{stage_dir(spark)}/model-{spark.sparkContext.applicationId}"
-    modelling.save_model(model, place, spark)
-    again = modelling.load_model(place, spark)
-    return modelling.score_events(data, again).agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("p_cure").alias("mean_p"), F.avg("amount_pred_capped").alias("mean_amount"))
+def _parts(spark, folder):
+    """Vectors of all kept features with label, amount and split, for looking at one part of the model alone."""
+    rows = targets.labelled_events(enriched(spark, folder).drop("p_cure", "amount_pred")).withColumns({
+        "label": F.col("cured_in_horizon"), "amount": F.col("recovered_in_horizon")})
+    data = staged(modelling.split_rows(rows), "parts")
+    numeric, text = _features(data.drop("label", "amount", "split"))
+    inputs = modelling.model_inputs(data, numeric, text)
+    ready = modelling.feature_pipeline(numeric, text).fit(inputs.where(F.col("split") == "train")).transform(inputs)
+    return staged(ready.select(*data.columns, "features"), "vectors"), numeric, text
 
 
-_FEW = ["days_past_due", "hist_late_rate", "last_ratio", "instalment"]
+def _of(data, split):
+    return data.where(F.col("split") == split)
 
 
-def _parts(spark, folder):
-    """Vectors of a few columns with label, amount and split, for looking at one part of the model alone."""
-    rows = targets.labelled_events(scored(spark, folder)).withColumns({
-        "label": F.col("cured_in_horizon"), "amount": F.col("recovered_in_horizon")})
-    data = staged(modelling.split_rows(rows), "parts")
-    inputs = modelling.model_inputs(data, _FEW, [])
-    ready = modelling.feature_pipeline(_FEW, []).fit(inputs.where(F.col("split") == "train")).transform(inputs)
-    return staged(ready.select(*data.columns, "features"), "vectors")
+_EVENT = ("credit_id", "due_day", "number")
+
+
+def _classifier(spark, folder):
+    data, _, _ = _parts(spark, folder)
+    return data, modelling.train_cure_model(_of(data, "train"), _of(data, "validation"), TREES, DEPTH, 42)
 
 
 def _cure(spark, folder):
-    data = _parts(spark, folder)
-    train, validation = (data.where(F.col("split") == s) for s in ("train", "validation"))
-    model = modelling.train_cure_model(train, validation, 5, 3, 42)
-    return model.transform(data.where(F.col("split") == "test")).select("credit_id", "due_day", "number", "label", "prediction")
+    data, model = _classifier(spark, folder)
+    return model.transform(_of(data, "test")).select(*_EVENT, "label", "prediction")
 
 
 def _amount(spark, folder):
-    data = _parts(spark, folder)
-    train, validation = (data.where(F.col("split") == s) for s in ("train", "validation"))
-    model, _, _ = modelling.train_amount_model(train, validation, 5, 3, 42)
-    return model.transform(data.where(F.col("split") == "test")).select(
-        "credit_id", "due_day", "number", amount_from_log(F.col("prediction")).alias("amount_pred"))
+    data, _, _ = _parts(spark, folder)
+    model, _, _ = modelling.train_amount_model(_of(data, "train"), _of(data, "validation"), TREES, DEPTH, 42)
+    return model.transform(_of(data, "test")).select(*_EVENT, amount_from_log(F.col("prediction")).alias("amount_pred"))
 
 
 def _calibrated(spark, folder):
-    rows = targets.labelled_events(scored(spark, folder)).select(
-        F.col("p_cure").alias("p_cure_raw"), F.col("cured_in_horizon").alias("label"))
-    model = modelling.calibrate(rows)
-    return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double")
+    """The fitted classifier's probabilities on the calibration split, before and after."""
+    data, model = _classifier(spark, folder)
+    raw = staged(modelling._raw_probability(model, _of(data, "calibration")), "raw")
+    return modelling._calibrated(raw, modelling.calibrate(raw)).select(*_EVENT, "label", "p_cure_raw", "p_cure")
 
 
 def _baseline(spark, folder):
-    data = _parts(spark, folder)
-    train, test = (data.where(F.col("split") == s).drop("features") for s in ("train", "test"))
-    return modelling.baseline_model(train, test, _FEW, []).select("label", "p")
+    data, numeric, text = _parts(spark, folder)
+    return modelling.baseline_model(_of(data, "train").drop("features"), _of(data, "test").drop("features"), numeric, text).select("label", "p")
+
+
+def _identities(spark, folder):
+    """Scored rows, and how many break what must hold between the columns."""
+    rows = _scored_rows(spark, folder)
+    held = (F.col("amount_pred_capped") <= F.col("amount_pred") + 1e-9) & F.col("p_cure").between(0, 1)
+    product = F.abs(F.col("expected_recovery_model") - F.col("p_cure") * F.col("amount_pred_capped")) < 1e-6
+    return rows.groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~(held & product)).alias("broken"))
+
+
+def _splits(spark, folder):
+    """Rows and target rate of the four splits, which the customers' hashes fix."""
+    rows = modelling.split_rows(targets.labelled_events(scored(spark, folder)))
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("cured_in_horizon").alias("cured"),
+                                     F.countDistinct("customer_id").alias("customers"))
+
+
+def _reloaded(spark, folder):
+    """Scores before and after the model was written and read back: rows and differences."""
+    data, model = _trained(spark, folder)
+    place = f"{stage_dir(spark)}/model-{uuid.uuid4().hex}"
+    modelling.save_model(model, place, spark)
+    again = modelling.load_model(place, spark)
+    sums = [
+        modelling.score_events(data, m).groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.sum("expected_recovery_model").alias("sum"))
+        for m in (model, again)
+    ]
+    one, two = sums[0], sums[1].select(F.col("number").alias("n2"), F.col("rows").alias("again"), F.col("sum").alias("sum_again"))
+    joined = one.join(two, F.col("number").eqNullSafe(F.col("n2")))
+    return joined.select("number", "rows", (F.abs(F.col("sum") - F.col("sum_again")) > 1e-6 * F.abs(F.col("sum"))).alias("differs"))
 
 
 def _policy_report(spark, folder):
@@ -118,10 +148,32 @@ QUERIES = {
     "policy_report": _policy_report,
     "categorical_encoding": _encoding,
     "train_hurdle": _hurdle,
+    "train_hurdle_splits": _splits,
     "score_events": _scored_rows,
-    "model_store": _stored,
+    "score_events_identities": _identities,
+    "model_store": _reloaded,
 }
+_LABELLED = TGT + """,
+    lab AS (SELECT * FROM tgt WHERE cured_in_horizon IS NOT NULL),
+    cust AS (SELECT customer_id, row_number() OVER (ORDER BY md5('42|' || customer_id), customer_id) AS k, count(*) OVER () AS n
+             FROM (SELECT DISTINCT customer_id FROM lab)),
+    cut AS (SELECT *, ceil(0.25::DOUBLE * n) AS t FROM cust),
+    cut2 AS (SELECT *, ceil(0.2::DOUBLE * (n - t)) AS c FROM cut),
+    cut3 AS (SELECT *, ceil(0.15::DOUBLE * (n - t - c)) AS v FROM cut2),
+    part AS (SELECT customer_id, CASE WHEN k <= t THEN 'test' WHEN k <= t + c THEN 'calibration' WHEN k <= t + c + v THEN 'validation'
+                                      ELSE 'train' END AS split FROM cut3)"""
 CHECKS = {
+    "train_hurdle_splits": with_ctes(_LABELLED, """
+        SELECT split, count(*) AS rows, sum(cured_in_horizon)::BIGINT AS cured, count(DISTINCT customer_id) AS customers
+        FROM lab JOIN part USING (customer_id) GROUP BY split"""),
+    "score_events_identities": with_ctes(TGT, "SELECT number, count(*) AS rows, 0 AS broken FROM tgt GROUP BY number"),
+    "model_store": with_ctes(TGT, "SELECT number, count(*) AS rows, false AS differs FROM tgt GROUP BY number"),
+    "categorical_encoding": with_ctes(f"{TGT}, {shape_ctes('application')}", """
+        SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY rows DESC, level)::INT - 1 AS code FROM (
+            SELECT "column", coalesce(level, '__MISSING__') AS level, count(*) AS rows
+            FROM (SELECT NAME_INCOME_TYPE, NAME_EDUCATION_TYPE, coalesce(NAME_HOUSING_TYPE, '__MISSING__') AS NAME_HOUSING_TYPE, ORGANIZATION_TYPE
+                  FROM tgt LEFT JOIN application USING (customer_id))
+            UNPIVOT (level FOR "column" IN (NAME_INCOME_TYPE, NAME_EDUCATION_TYPE, NAME_HOUSING_TYPE, ORGANIZATION_TYPE)) GROUP BY ALL)"""),
     "policy_report": with_ctes(shape_ctes("application") + """,
         c AS (SELECT column_type = 'VARCHAR' AS is_text, column_name IN (
                   'CODE_GENDER', 'DAYS_BIRTH', 'CNT_CHILDREN', 'CNT_FAM_MEMBERS', 'NAME_FAMILY_STATUS') AS gone

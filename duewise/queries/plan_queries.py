@@ -10,6 +10,7 @@ from duewise.queries.shared import PORTFOLIO, portfolio, staged, tidy, tidy_sql,
 
 BUDGET = 500_000
 TIGHT = {"budget": 300_000, "capacity": 600, "channel_limits": {"automatico": 200, "llamada": 150}, "per_customer": 1}
+CAPACITY = 120
 _KEY = ("customer_id", "credit_id")
 _TOTALS = {"cumulative_cost": 2, "cumulative_recovery": 1, "cumulative_net": 1}
 _PLAN = (*_KEY, "action", "channel", "action_cost", "expected_net_value", "contact_order", "cumulative_cost",
@@ -52,7 +53,70 @@ def _what_if(spark, folder):
     return tidy(plan.rows.select(*_PLAN), **_TOTALS)
 
 
+def _rejected(spark, folder):
+    """Limits taken from the portfolio's own sums, one of them wrong in each case."""
+    sums = portfolio(spark, folder).agg(F.sum("action_cost").alias("cost"), F.count(F.lit(1)).alias("n")).first()
+    cases = {
+        "fine": {"budget": sums["cost"], "capacity": sums["n"]},
+        "negative budget": {"budget": -sums["cost"]},
+        "infinite budget": {"budget": sums["cost"] * float("inf")},
+        "part of a contact": {"budget": sums["cost"], "capacity": sums["n"] + 0.5},
+        "negative capacity": {"budget": sums["cost"], "capacity": -sums["n"]},
+        "negative channel": {"budget": sums["cost"], "channel_limits": {"llamada": -sums["n"]}},
+        "negative per customer": {"budget": sums["cost"], "per_customer": -sums["n"]},
+    }
+    rows = []
+    for name, limits in cases.items():
+        try:
+            allocation.check_limits(**limits)
+            rows.append((name, sums["n"], False))
+        except ValueError:
+            rows.append((name, sums["n"], True))
+    return spark.createDataFrame(rows, "limits string, candidates long, rejected boolean")
+
+
+def _best_by_capacity(spark, folder):
+    """Capacity as the only limit: the best row of each customer, and of those the most valuable."""
+    plan = allocation.plan_optimised(portfolio(spark, folder), budget=1e12, capacity=CAPACITY, gap=0.0)
+    return plan.rows.select(*_KEY, "action", "expected_net_value", "contact_order")
+
+
+def _best_assignment(spark, folder):
+    """No limit binds: each customer's most valuable action."""
+    plan = allocation.plan_action_assignment(_action_table(spark, folder), budget=1e12, entity=["customer_id"], gap=0.0)
+    return tidy(plan.rows.select("customer_id", "action", "expected_net_value"), expected_net_value=6)
+
+
+def _tight(spark, folder):
+    """Whether the optimised plan keeps each limit, beats greedy, and lies below its own bound."""
+    rows = portfolio(spark, folder)
+    plan, greedy = allocation.plan_optimised(rows, **TIGHT), allocation.plan_greedy(rows, **TIGHT)
+    s = plan.summary
+    most = plan.rows.groupBy("customer_id").count().agg(F.max("count").alias("m")).first()["m"]
+    checks = {
+        "budget": s["cost_used"] <= TIGHT["budget"] + 1e-6, "capacity": s["contacts"] <= TIGHT["capacity"],
+        **{f"channel {c}": s["contacts_by_channel"].get(c, 0) <= n for c, n in TIGHT["channel_limits"].items()},
+        "customer": most <= TIGHT["per_customer"], "not below greedy": s["expected_net_value"] >= greedy.summary["expected_net_value"] - 1e-6,
+        "bound": s["upper_bound"] >= s["expected_net_value"] - 1e-6,
+    }
+    return spark.createDataFrame([(k, bool(v)) for k, v in checks.items()], "limit string, kept boolean")
+
+
+def _compare_greedy(spark, folder):
+    """The greedy side of the comparison; the optimised one has no SQL form."""
+    return tidy(
+        allocation.plan_compare(portfolio(spark, folder), budget=BUDGET).where("method = 'greedy'")
+        .select("method", "contacts", "cost_used", "expected_recovery", "expected_net_value"),
+        cost_used=2, expected_recovery=1, expected_net_value=1)
+
+
 QUERIES = {
+    "plan_validation": _rejected,
+    "plan_dispatch": lambda s, d: allocation.plan_contacts(portfolio(s, d), "greedy", **TIGHT).rows.select(*_KEY, "action", "channel", "method"),
+    "plan_optimised_capacity": _best_by_capacity,
+    "plan_action_assignment_free": _best_assignment,
+    "plan_optimised_limits": _tight,
+    "plan_compare_greedy": _compare_greedy,
     "plan_candidates": lambda s, d: allocation.plan_candidates(portfolio(s, d), 1000.0).select(
         *_KEY, "channel", "roi", "entity_key", "expected_net_value"),
     "net_value_floor": lambda s, d: allocation.plan_candidates(portfolio(s, d), 25000.0).groupBy("channel").agg(
@@ -110,6 +174,29 @@ def _recursive(ctes: str, body: str) -> str:
 _P = ", ".join(_PLAN)
 _TIGHT_CTES = _greedy_ctes(300000, 600, {"automatico": 200, "llamada": 150})
 CHECKS = {
+    "plan_validation": with_ctes(PORTFOLIO, """
+        SELECT unnest(['fine', 'negative budget', 'infinite budget', 'part of a contact', 'negative capacity', 'negative channel',
+                       'negative per customer']) AS limits, (SELECT count(*) FROM portfolio) AS candidates,
+               unnest([false, true, true, true, true, true, true]) AS rejected"""),
+    "plan_dispatch": _recursive(_TIGHT_CTES, "SELECT customer_id, credit_id, action, channel, 'greedy' AS method FROM plan"),
+    "plan_optimised_capacity": with_ctes(_CAND.format(floor=0, where=""), f"""
+        SELECT customer_id, credit_id, action, expected_net_value, row_number() OVER w AS contact_order FROM (
+            SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY expected_net_value DESC, roi DESC, credit_id) = 1)
+        WINDOW w AS (ORDER BY expected_net_value DESC, roi DESC, expected_recovery DESC, customer_id, credit_id)
+        QUALIFY contact_order <= {CAPACITY}"""),
+    "plan_action_assignment_free": tidy_sql(with_ctes(PORTFOLIO + """,
+        offers AS (
+            SELECT customer_id, credit_id, a.action, expected_recovery * a.effect - a.cost AS expected_net_value
+            FROM portfolio, (VALUES ('WhatsApp/SMS automático', 250.0::DOUBLE, 0.6::DOUBLE), ('Llamada prioritaria', 1200.0, 0.9),
+                             ('Oferta de descuento / gestión especializada', 5000.0, 1.0)) a(action, cost, effect))""", """
+        SELECT customer_id, action, expected_net_value FROM offers WHERE expected_net_value >= 0
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY expected_net_value DESC) = 1"""), expected_net_value=6),
+    "plan_optimised_limits": """
+        SELECT unnest(['budget', 'capacity', 'channel automatico', 'channel llamada', 'customer', 'not below greedy', 'bound']) AS limit,
+               true AS kept""".replace("AS limit", 'AS "limit"'),
+    "plan_compare_greedy": tidy_sql(_recursive(_greedy_ctes(BUDGET), """
+        SELECT 'greedy' AS method, count(*) AS contacts, sum(action_cost) AS cost_used, sum(expected_recovery) AS expected_recovery,
+               sum(expected_net_value) AS expected_net_value FROM plan"""), cost_used=2, expected_recovery=1, expected_net_value=1),
     "plan_candidates": with_ctes(_CAND.format(floor=1000, where=""), """
         SELECT customer_id, credit_id, channel, roi, customer_id || '|' || credit_id AS entity_key, expected_net_value FROM cand"""),
     "net_value_floor": with_ctes(_CAND.format(floor=25000, where=""), "SELECT channel, count(*) AS rows FROM cand GROUP BY channel"),

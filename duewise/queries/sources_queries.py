@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from duewise.operators import decision
+from duewise.operators import decision, modelling, policy, targets
 from duewise.plans.flow import RunConfig, run_summary
 from duewise.queries.shared import (
     PORTFOLIO, TGT, check_sql, credit_table, credit_tables, portfolio, scored, shape_ctes, tidy, tidy_sql, with_ctes,
@@ -49,8 +49,10 @@ def _core(spark, folder):
 
 
 def _optional(spark, folder):
-    """One optional table is left out and must simply be absent."""
-    return _counts(readers.load_optional_tables(spark, raw_files(spark, folder, [t for t in OPTIONAL if t != "credit_card"])))
+    """All four, and again without one, which must simply be absent."""
+    most = [t for t in OPTIONAL if t != "credit_card"]
+    return _counts(readers.load_optional_tables(spark, raw_files(spark, folder, OPTIONAL))).unionByName(
+        _counts(readers.load_optional_tables(spark, raw_files(spark, folder, most))))
 
 
 def _modelable(spark, folder):
@@ -68,14 +70,48 @@ def _outputs(spark, folder):
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def _summary(spark, folder):
+def _run_row(spark, folder):
     events = scored(spark, folder)
-    out = run_summary(events, decision.portfolio_latest(decision.recommend_actions(events)), RunConfig(use_optional=False), (66, 11), 1500, {})
-    return tidy(out.select("n_events", "target_rate", "n_portfolio", "n_features_numeric", "n_features_categorical",
-                           F.size("quality_warnings").alias("warnings")), target_rate=9)
+    decided = decision.portfolio_latest(decision.recommend_actions(events))
+    report = policy.apply_column_policy(*policy.feature_columns(events.drop("p_cure", "amount_pred")))
+    rows = modelling.split_rows(targets.labelled_events(events)).where("split = 'train'").count()
+    return run_summary(
+        events, decided, RunConfig(use_optional=False), (len(report.kept_numeric), len(report.kept_categorical)), rows, {})
+
+
+def _summary(spark, folder):
+    return tidy(_run_row(spark, folder).select(
+        "n_events", "target_rate", "n_portfolio", "n_features_categorical",
+        F.array_contains("quality_warnings", "optional tables left out: fewer signals").alias("warned")), target_rate=9)
+
+
+def _resolved(spark, folder):
+    """Each form of a file name that is looked for, and the rows found behind it."""
+    place = f"{stage_dir(spark)}/resolve-{uuid.uuid4().hex}"
+    balance = credit_table(spark, folder, "bureau_balance")
+    for name, fmt in (("one", "parquet"), ("two.csv", "csv"), ("three.parquet", "parquet"), ("four_2024.parquet", "parquet")):
+        sinks.write_table(balance, f"{place}/{name}", fmt)
+    frames = []
+    for stem in ("one", "two", "three", "four"):
+        path = readers.resolve_table(spark, place, stem)
+        table = spark.read.parquet(path) if stem == "one" else readers.read_table(spark, path)
+        frames.append(table.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(stem).alias("stem"), F.lit(path.rsplit("/", 1)[-1]).alias("found"), "rows"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _report(spark, folder):
+    """The run summary written as a JSON report and read back."""
+    path = sinks.write_report(_run_row(spark, folder), f"{stage_dir(spark)}/report-{uuid.uuid4().hex}")
+    return tidy(spark.read.json(path).select("n_events", "n_portfolio", "target_rate"), target_rate=9)
 
 
 QUERIES = {
+    "resolve_table": _resolved,
+    "write_reports": _report,
     "scan_projected": _scan,
     "load_core_tables": _core,
     "load_optional_tables": _optional,
@@ -90,8 +126,9 @@ CHECKS = {
     "scan_projected": check_sql("instalments"),
     "load_core_tables": with_ctes(shape_ctes(*CORE), " UNION ALL ".join(
         f"SELECT '{t}' AS name, count(*) AS rows, count(*) AS keys FROM {t}" for t in CORE)),
-    "load_optional_tables": with_ctes(shape_ctes("bureau", "bureau_balance", "pos_cash"), " UNION ALL ".join(
-        f"SELECT '{t}' AS name, count(*) AS rows, count(*) AS keys FROM {t}" for t in ("bureau", "bureau_balance", "pos_cash"))),
+    "load_optional_tables": with_ctes(shape_ctes("bureau", "bureau_balance", "pos_cash", "credit_card"), " UNION ALL ".join(
+        f"SELECT '{t}' AS name, count(*) AS rows, count(*) AS keys FROM {t}"
+        for t in ("bureau", "bureau_balance", "pos_cash", "credit_card", "bureau", "bureau_balance", "pos_cash"))),
     "sample_relational": with_ctes(shape_ctes(), " UNION ALL ".join(
         f"SELECT '{t}' AS name, count(*) AS rows, count(*) AS keys FROM {t} WHERE {_KEPT}"
         for t in ("instalments", "application", "previous", "bureau", "pos_cash", "credit_card"))
@@ -103,6 +140,13 @@ CHECKS = {
     "write_outputs": with_ctes(PORTFOLIO, "SELECT customer_id, credit_id, amount_due, action, action_cost FROM portfolio"),
     "run_summary": tidy_sql(with_ctes(PORTFOLIO, """
         SELECT (SELECT count(*) FROM tgt) AS n_events, (SELECT avg(cured_in_horizon) FROM tgt) AS target_rate,
-               (SELECT count(*) FROM portfolio) AS n_portfolio, 66 AS n_features_numeric, 11 AS n_features_categorical, 2 AS warnings"""),
+               (SELECT count(*) FROM portfolio) AS n_portfolio,
+               (SELECT count(*) FROM (DESCRIBE SELECT * FROM tgt) WHERE column_type = 'VARCHAR') AS n_features_categorical, true AS warned"""),
         target_rate=9),
+    "resolve_table": with_ctes(shape_ctes("bureau_balance"), " UNION ALL ".join(
+        f"SELECT '{stem}' AS stem, '{found}' AS found, count(*) AS rows FROM bureau_balance"
+        for stem, found in (("one", "one"), ("two", "two.csv"), ("three", "three.parquet"), ("four", "four_2024.parquet")))),
+    "write_reports": tidy_sql(with_ctes(PORTFOLIO, """
+        SELECT (SELECT count(*) FROM tgt) AS n_events, (SELECT count(*) FROM portfolio) AS n_portfolio,
+               (SELECT avg(cured_in_horizon) FROM tgt) AS target_rate"""), target_rate=9),
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,23 @@ def stage_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged within, at the end and on error. Write results elsewhere before it ends."""
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for folder in written:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
@@ -45,5 +64,7 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     ``checkpoint()`` it stays columnar, so later reads prune columns and skip row groups.
     """
     path = f"{stage_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -44,14 +44,19 @@ def resolve_table(spark: SparkSession, folder: str, stem: str) -> str | None:
     return next((n for n in names if not n.rsplit("/", 1)[-1].startswith(".")), None)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    floats = [c for c, t in df.dtypes if t in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats}) if floats else df
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet by its suffix, otherwise CSV with a header (gzip is read as is)."""
+    """Parquet by its suffix, otherwise CSV with a header (gzip is read as is). NaN counts as missing."""
     if path.lower().rstrip("/").endswith(_PARQUET):
-        return spark.read.parquet(path)
+        return without_nan(spark.read.parquet(path))
     # Columns are matched by header name, so the files' column order is free; values come as text.
     header = spark.read.option("header", True).csv(path)
     if schema is None:
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+        return without_nan(spark.read.option("header", True).option("inferSchema", True).csv(path))
     return header
 
 

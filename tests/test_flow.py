@@ -1,14 +1,16 @@
+import os
 import tempfile
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from duewise.operators import modelling
+from duewise.operators import modelling, quantiles
 from duewise.plans.flow import RunConfig, build_dataset, run_collections
 from duewise.plans.profile_report import profile_report
 from duewise.queries import all_checks, all_queries
 from duewise.queries.sources_queries import raw_files
-from duewise.session import stage_dir
+from duewise.session import scope, stage_dir, staged
 from duewise.sources import readers
 from duewise.sources.schemas import TABLES
 
@@ -83,6 +85,56 @@ def test_absent_tables_and_columns(spark, raw):
     assert "EXTRA" not in df.columns
 
 
+def test_rows_without_a_customer_stay_in_the_splits(spark):
+    rows = [(i // 2 if i % 2 else None, i, i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id long, id long, label int")
+    for given in (df, df.drop("customer_id")):
+        out = modelling.split_rows(given)
+        assert out.count() == 400 and {r[0] for r in out.select("split").distinct().collect()} == set(modelling.SPLITS)
+
+
+def test_nan_is_missing_in_every_profile(spark):
+    place = tempfile.mkdtemp(prefix="nan-")
+    rows = [(1, 1.0, "a"), (2, 2.0, "b"), (3, float("nan"), "b"), (4, 0.0, None), (5, -0.0, "b")]
+    spark.createDataFrame(rows, "SK_ID_CURR long, AMT_CREDIT double, NAME_INCOME_TYPE string").withColumn("TARGET", F.lit(1)).write.parquet(
+        f"{place}/application_train.parquet")
+    paths = profile_report(spark, place, f"{place}/out")
+    numeric = {r["column"]: r for r in spark.read.parquet(paths["numeric"]).collect()}
+    assert numeric["AMT_CREDIT"]["count"] == 4 and numeric["AMT_CREDIT"]["median"] == 0.5 and numeric["AMT_CREDIT"]["zero_pct"] == 0.5
+    missing = {r["column"]: r for r in spark.read.parquet(paths["missing"]).collect()}
+    assert missing["AMT_CREDIT"]["missing_count"] == 1 and missing["AMT_CREDIT"]["unique_count"] == 3
+
+
+def test_quantiles_of_raw_nan_and_missed_brackets(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    assert quantiles.exact_quantiles(df, {"v": F.col("v")}, {"v": [0.5]}) == {"v": {0.5: 1.5}}
+    real = quantiles._brackets
+
+    def off(frame, probabilities, rows, widening=1):
+        zones = real(frame, probabilities, rows, widening)
+        return {n: [quantiles._Zone(z.high + 1e9, z.high + 2e9) for z in zs] for n, zs in zones.items()} if widening == 1 else zones
+
+    monkeypatch.setattr(quantiles, "_brackets", off)
+    many = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    assert quantiles.exact_quantiles(many, {"v": F.col("v")}, {"v": [0.25, 0.5]}) == {"v": {0.25: 250.0, 0.5: 500.0}}
+
+
+def test_staged_tables_go_at_the_end_of_a_scope(spark):
+    folder = tempfile.mkdtemp(prefix="scope-")
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    try:
+        with scope(spark):
+            assert staged(spark.range(5).toDF("id")).count() == 5
+            assert os.listdir(folder)
+        with pytest.raises(RuntimeError), scope(spark):
+            staged(spark.range(5).toDF("id"))
+            raise RuntimeError
+        assert os.listdir(folder) == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_few_customers_are_split_by_rows(spark):
     df = spark.createDataFrame([(i % 3, i, i % 2) for i in range(500)], "customer_id long, id long, label int")
     out = modelling.split_rows(df)

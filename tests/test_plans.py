@@ -78,11 +78,24 @@ def test_optimised_is_feasible_and_close_to_brute_force(spark):
     assert plan.summary["gap"] == pytest.approx((plan.summary["upper_bound"] - value) / value)
 
 
-def test_search_on_a_share_still_bounds_all_rows(spark, monkeypatch):
-    monkeypatch.setattr(allocation, "SEARCH_ROWS", 40)
+def test_the_plan_is_the_same_for_any_partition_count_and_near_its_bound(spark):
     rows = _candidates(5, costs=(100.0, 900.0))
-    plan = allocation.plan_optimised(staged(spark.createDataFrame(rows, SCHEMA), "c"), budget=5000.0, per_customer=2)
-    assert plan.summary["expected_net_value"] <= plan.summary["upper_bound"] + 1e-6
+    plans = [
+        allocation.plan_optimised(staged(spark.createDataFrame(rows, SCHEMA).repartition(n), "c"), budget=5000.0, per_customer=2)
+        for n in (1, 7)
+    ]
+    ids = [sorted(r["credit_id"] for r in p.rows.collect()) for p in plans]
+    assert ids[0] == ids[1]
+    assert all(p.summary["expected_net_value"] <= p.summary["upper_bound"] + 1e-6 and p.summary["gap"] < 0.05 for p in plans)
+
+
+def test_rows_without_a_customer_count_for_themselves(spark):
+    rows = [(None, i, 50.0 - i, 60.0, 5.0, "manual") for i in range(6)] + [(1, 10 + i, 9.0 - i, 9.0, 5.0, "manual") for i in range(3)]
+    df = staged(spark.createDataFrame(rows, SCHEMA), "c")
+    for plan in (allocation.plan_greedy(df, 1000.0), allocation.plan_optimised(df, 1000.0)):
+        assert sorted(r["credit_id"] for r in plan.rows.collect()) == [0, 1, 2, 3, 4, 5, 10]
+    # Without the column every row is its own.
+    assert allocation.plan_greedy(df.drop("customer_id"), 1000.0).summary["contacts"] == 9
 
 
 def test_assignment_picks_one_action_per_entity(spark):
