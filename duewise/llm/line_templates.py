@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree of fixed depth, in DataFrame functions only.
 
 The tree's levels are a line's number of tokens and its ``LEADING`` first tokens, in which tokens
-with digits, at signs or link marks count as a variable field ``<*>`` from the start. A leaf holds
+with digits, at signs or slashes count as a variable field ``<*>`` from the start. A leaf holds
 the lines of one length and beginning. Its most frequent line (after masking) becomes a template;
 lines that equal it in at least ``SIMILAR`` of their tokens belong to it, their other tokens being
 variable fields too. What does not belong forms the leaf's next templates the same way, for
@@ -30,13 +30,14 @@ SIMILAR = 0.8
 ROUNDS = 2
 RECURRING = 3
 FEWEST_TOKENS = 4
-_FIELD = r"[^ ]*[0-9@][^ ]*|[^ ]*://[^ ]*"
+_SPACE = r"[\x09-\x0D ]+"
+# A token with a digit, an at sign or a slash; no position is tried twice, however long a token is.
+_FIELD = r"(?<![^\x09-\x0D ])[^\x09-\x0D 0-9@/]*+[0-9@/][^\x09-\x0D ]*+"
 
 
 def tokens_of(line: Column) -> Column:
     """Tokens of a line, variable fields masked; white space of any kind parts them."""
-    plain = F.regexp_replace(F.trim(F.regexp_replace(line, r"[\x09-\x0D ]+", " ")), _FIELD, "<*>")
-    return F.filter(F.split(plain, " "), lambda t: t != "")
+    return F.filter(F.split(F.regexp_replace(line, _FIELD, "<*>"), _SPACE), lambda t: t != "")
 
 
 def _line_keys(text: Column) -> Column:
@@ -56,15 +57,19 @@ def _similar(a: Column, b: Column) -> Column:
     return same >= SIMILAR * F.size(one)
 
 
+def _keys(masked: Column) -> list[Column]:
+    """128 bits that stand for a masked line."""
+    return [F.xxhash64(masked).alias("k1"), F.xxhash64(masked, F.lit("second")).alias("k2")]
+
+
 def recurring_lines(lines: DataFrame) -> DataFrame:
-    """The keys (128 bits as two longs) of masked lines whose template recurs.
+    """The keys (k1, k2) of masked lines whose template recurs.
 
     ``lines`` has one row per document and distinct masked line: leaf, masked.
     """
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= RECURRING).select("leaf")
-    open_lines = staged(
-        lines.join(leaves, "leaf").groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs")), "leaf_lines"
-    )
+    counted = lines.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs"))
+    open_lines = staged(counted.join(leaves, "leaf", "left_semi"), "leaf_lines")
     found = []
     for _ in range(ROUNDS):
         best = open_lines.groupBy("leaf").agg(
@@ -72,15 +77,15 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
         ).where(F.col("in_leaf") >= RECURRING)
         placed = staged(
             open_lines.join(best.select("leaf", "template"), "leaf").select(
-                "leaf", "masked", "docs", "template", _similar(F.col("masked"), F.col("template")).alias("belongs")
+                "leaf", "masked", "docs", _similar(F.col("masked"), F.col("template")).alias("belongs")
             ),
             "placed",
         )
         inside = placed.where("belongs")
         recurs = inside.groupBy("leaf").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING).select("leaf")
-        found.append(inside.join(recurs, "leaf").select("leaf", "masked"))
+        found.append(inside.join(recurs, "leaf").select(*_keys(F.col("masked"))))
         open_lines = placed.where(~F.col("belongs")).select("leaf", "masked", "docs")
-    found.append(open_lines.where(F.col("docs") >= RECURRING).select("leaf", "masked"))
+    found.append(open_lines.where(F.col("docs") >= RECURRING).select(*_keys(F.col("masked"))))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
@@ -90,13 +95,16 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
 def drop_recurring_lines(documents: DataFrame) -> DataFrame:
     """doc_id, text without recurring lines, n_lines and n_dropped, one row per row of ``documents``."""
     rows = documents.select("doc_id", "text")
-    keyed = rows.where("text is not null").select("doc_id", F.xxhash64("text").alias("of_text"), _line_keys(F.col("text")).alias("lines"))
-    distinct = keyed.select(F.explode(F.array_distinct(F.transform("lines", lambda s: F.struct(s["leaf"].alias("leaf"), s["masked"].alias("masked"))))).alias("l")).select("l.leaf", "l.masked")
-    hot = staged(recurring_lines(distinct), "recurring")
-    at = keyed.select("doc_id", "of_text", F.explode("lines").alias("l")).select("doc_id", "of_text", "l.n", "l.leaf", "l.masked")
+    known = rows.where("text is not null")
+    once = F.array_distinct(F.transform(_line_keys(F.col("text")), lambda s: F.struct(s["leaf"].alias("leaf"), s["masked"].alias("masked"))))
+    hot = staged(recurring_lines(known.select(F.explode(once).alias("l")).select("l.leaf", "l.masked")), "recurring")
+    # Only numbers and keys of lines travel; the texts join once, with the numbers of their lines that go.
+    marks = F.transform(_line_keys(F.col("text")), lambda s: F.struct(s["n"].alias("n"), *_keys(s["masked"])))
+    at = known.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("of_text"), F.explode(marks).alias("l"))
     gone = (
-        at.join(hot, ["leaf", "masked"])
-        .groupBy(F.col("doc_id").alias("_id"), "of_text")
+        at.select("_id", "of_text", "l.n", "l.k1", "l.k2")
+        .join(hot, ["k1", "k2"], "left_semi")
+        .groupBy("_id", "of_text")
         .agg(F.collect_set("n").alias("gone"))
     )
     joined = rows.withColumn("_of", F.xxhash64("text")).join(gone, F.expr("doc_id <=> _id and _of = of_text"), "left")

@@ -15,8 +15,17 @@ ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopq
 PIECE = 1 << 18  # bytes of one text that are looked at together
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ready(spark: SparkSession) -> None:
-    """Let a local master's Python workers find this package; a cluster gets it by --py-files."""
+    """Let a local master's Python workers find this package; a cluster gets it by --py-files.
+
+    Batches of texts are kept to a few MB where the session has Spark's default of 64, so that a
+    worker's memory does not follow the length of its texts.
+    """
+    if spark.conf.get(BATCH_BYTES, "").rstrip("b") == str(64 << 20):
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
     if spark.sparkContext.master.startswith("local"):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         known = spark.sparkContext.environment.get("PYTHONPATH", "")

@@ -43,7 +43,7 @@ from duewise.session import stage_dir
 END_ID = 0
 BLOCK_IDS = 2_000_000  # a block ends with the document that reaches this
 MARK_EVERY = 64
-MEMORY = 200_000  # pieces remembered per Python worker, twice
+MEMORY = 150_000  # pieces remembered per Python worker, twice
 _TIGHT = re.compile(r"\s\s")  # white space beside white space
 
 

@@ -10,8 +10,8 @@ The counts come from all labelled rows of folds 0 and 1 and are added up by Spar
 comparison has one number per slot of a fixed table, whatever the corpus holds, and only that table
 is sent to the tasks. The curve is fitted on at most ``CALIBRATION_ROWS`` labelled rows of fold 3.
 
-Defined results: a null or empty text, or one without a letter, has score 0; without rows of both classes every score is 0. Repeated rows are scored alike. Other
-columns are neither read nor changed.
+Defined results: a null or empty text, or one without a letter, has score 0; without rows of both
+classes every score is 0. Repeated rows are scored alike. Other columns are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -231,6 +231,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     )
     texts = documents.where((fold(F.col("doc_id")) == 3) & F.col("text").isNotNull()).select("doc_id", "text")
     rows = texts.join(F.broadcast(chosen), "doc_id").select("toxic", evidence("text").alias("x")).toPandas()
+    tables.unpersist()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), 4)
     return ToxicityModel(known, context, _curve(x, rows["toxic"].to_numpy(float)))
 

@@ -9,7 +9,7 @@ from duewise.llm.shared import table
 
 
 def tokens(line):
-    return [re.sub(r"^(?:[^ ]*[0-9@][^ ]*|[^ ]*://[^ ]*)$", "<*>", t) for t in re.split(r"[\x09-\x0D ]+", line) if t]
+    return ["<*>" if re.search("[0-9@/]", t) else t for t in re.split(r"[\x09-\x0D ]+", line) if t]
 
 
 def brute(rows):
