@@ -24,7 +24,7 @@ def ready(spark: SparkSession) -> None:
     Batches of texts are kept to a few MB where the session has Spark's default of 64, so that a
     worker's memory does not follow the length of its texts.
     """
-    if spark.conf.get(BATCH_BYTES, "").rstrip("b") == str(64 << 20):
+    if spark.conf.get(BATCH_BYTES, "1").rstrip("b") == str(64 << 20):
         spark.conf.set(BATCH_BYTES, str(4 << 20))
     if spark.sparkContext.master.startswith("local"):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
