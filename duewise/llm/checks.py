@@ -32,10 +32,11 @@ NEAR_DUPLICATES = rf"""
     sh AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
                   ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS s FROM w),
     n AS (SELECT doc_id, len(s)::BIGINT AS n_shingles FROM sh),
-    u AS (SELECT doc_id, unnest(s) AS s FROM sh),
-    e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.s = b.s AND a.doc_id <> b.doc_id
-          JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, x.n_shingles, y.n_shingles
-          HAVING 100 * count(*) >= 85 * (x.n_shingles + y.n_shingles - count(*))),
+    u AS MATERIALIZED (SELECT doc_id, hash(unnest(s)) AS h FROM sh),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM u a JOIN u b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                       WHERE 100 * shared >= 85 * (x.n_shingles + y.n_shingles - shared)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
     r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
     c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
     SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)"""

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType
 
 from duewise.llm.components import connected_components
-from duewise.llm.shared import ASCII_LOWER, ready
+from duewise.llm.shared import ASCII_LOWER, ready, sifted
 from duewise.session import staged
 
 SHINGLE = 5
@@ -240,7 +240,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _texts_of(documents: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The text of each node that stands in a pair, from one row that holds it."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node")
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(firsts, "node"), "wanted")
 
     @F.arrow_udf("binary")
     def node_of(texts: pa.Array) -> pa.Array:
@@ -248,7 +248,9 @@ def _texts_of(documents: DataFrame, firsts: DataFrame, pairs: DataFrame) -> Data
         return pa.array([xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in found], pa.binary())
 
     # A doc_id may repeat with other texts, so the node is made sure of.
-    rows = documents.where("text is not null").select("doc_id", "text").join(wanted.withColumnRenamed("node", "wanted"), F.expr("doc_id <=> first_id")).select("wanted", "text", node_of("text").alias("node"))
+    # Few texts are wanted, so most are left out before the shuffle.
+    likely = sifted(documents.where("text is not null").select("doc_id", "text"), "doc_id", wanted.select("first_id"))
+    rows = likely.join(wanted.withColumnRenamed("node", "wanted"), F.expr("doc_id <=> first_id")).select("wanted", "text", node_of("text").alias("node"))
     return rows.where("node = wanted").groupBy("node").agg(F.max("text").alias("text"))
 
 

@@ -51,6 +51,28 @@ def may_learn(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id) != 2, F.lit(False))
 
 
+SIEVE_BITS = 24
+
+
+def sifted(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` less most of those whose ``key`` is not among the keys of ``wanted`` (its only column).
+
+    A table of 2 ** SIEVE_BITS bits, kept as at most 2 ** (SIEVE_BITS - 6) numbers whatever ``wanted``
+    holds, is broadcast, so that wide rows which find no partner are not shuffled. What passes still
+    has to be joined. Null keys pass.
+    """
+    def slot(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(1 << SIEVE_BITS))
+
+    [name] = wanted.columns
+    bits = wanted.where(F.col(name).isNotNull()).select(slot(name).alias("s")).groupBy(F.shiftright("s", 6).alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("_bits")
+    )
+    marked = rows.withColumn("_slot", slot(key)).join(F.broadcast(bits), F.shiftright("_slot", 6) == F.col("_word"), "left")
+    passes = F.col(key).isNull() | (F.call_function("getbit", F.col("_bits"), (F.col("_slot") % 64).cast("int")) == 1)
+    return marked.where(passes).select(*rows.columns)
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts behind one another, and where each starts; null counts as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

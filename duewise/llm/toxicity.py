@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duewise.llm.shared import flat_bytes, fold, is_held_out, padded_pieces, ready
+from duewise.llm.shared import flat_bytes, fold, is_held_out, padded_pieces, ready, sifted
 from duewise.session import staged
 
 ORDER = 6  # bytes of an n-gram, the last one predicted
@@ -103,7 +103,7 @@ def gram_counts(documents: DataFrame, labels: DataFrame, folds: tuple[int, ...]
     marked = labels.where(F.col("toxic").isin(0, 1) & fold(F.col("doc_id")).isin(*folds)).select("doc_id", "toxic")
     texts = documents.where(fold(F.col("doc_id")).isin(*folds) & F.col("text").isNotNull()).select("doc_id", "text")
     return (
-        texts.join(marked, "doc_id")
+        sifted(texts, "doc_id", marked.select("doc_id")).join(marked, "doc_id")
         .select("text", "toxic")
         .mapInArrow(_counted, "gram long, toxic long, ordinary long")
         .groupBy("gram")
