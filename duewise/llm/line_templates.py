@@ -32,22 +32,28 @@ RECURRING = 3
 FEWEST_TOKENS = 4
 _SPACE = r"[\x09-\x0D ]+"
 # A token with a digit, an at sign or a slash; no position is tried twice, however long a token is.
-_FIELD = r"(?<![^\x09-\x0D ])[^\x09-\x0D 0-9@/]*+[0-9@/][^\x09-\x0D ]*+"
+_FIELD = r"(?<![^ ])[^ 0-9@/]*+[0-9@/][^ ]*+"
 
 
-def tokens_of(line: Column) -> Column:
-    """Tokens of a line, variable fields masked; white space of any kind parts them."""
-    return F.filter(F.split(F.regexp_replace(line, _FIELD, "<*>"), _SPACE), lambda t: t != "")
+def masked_line(line: Column) -> Column:
+    """The line's tokens with one space between them, variable fields masked.
+
+    Most lines need neither, which a look at their characters tells; only the others are rewritten.
+    """
+    spaced = F.when(F.rlike(line, F.lit(r"[\x09-\x0D]|  |^ | $")), F.trim(F.regexp_replace(line, _SPACE, " "))).otherwise(line)
+    return F.when(F.rlike(spaced, F.lit("[0-9@/]")), F.regexp_replace(spaced, _FIELD, "<*>")).otherwise(spaced)
 
 
 def _line_keys(text: Column) -> Column:
-    """Per line of a text: number, masked line as text, leaf and 64-bit key; short lines are left out."""
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("n"), tokens_of(line).alias("tokens")))
-    long = F.filter(lines, lambda s: F.size(s["tokens"]) >= FEWEST_TOKENS)
-    return F.transform(long, lambda s: F.struct(
-        s["n"].alias("n"),
-        F.array_join(s["tokens"], " ").alias("masked"),
-        F.xxhash64(F.size(s["tokens"]), F.slice(s["tokens"], 1, LEADING)).alias("leaf"),
+    """Per line of a text: number, masked line and leaf; short lines are left out."""
+    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("n"), masked_line(line).alias("masked")))
+    sized = F.transform(lines, lambda s: F.struct(
+        s["n"].alias("n"), s["masked"].alias("masked"),
+        (F.octet_length(s["masked"]) - F.octet_length(F.replace(s["masked"], F.lit(" "), F.lit(""))) + 1).alias("tokens"),
+    ))
+    return F.transform(F.filter(sized, lambda s: s["tokens"] >= FEWEST_TOKENS), lambda s: F.struct(
+        s["n"].alias("n"), s["masked"].alias("masked"),
+        F.xxhash64(s["tokens"], F.substring_index(s["masked"], " ", LEADING)).alias("leaf"),
     ))
 
 
