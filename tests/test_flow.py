@@ -98,6 +98,7 @@ def test_nan_is_missing_in_every_profile(spark):
     rows = [(1, 1.0, "a"), (2, 2.0, "b"), (3, float("nan"), "b"), (4, 0.0, None), (5, -0.0, "b")]
     spark.createDataFrame(rows, "SK_ID_CURR long, AMT_CREDIT double, NAME_INCOME_TYPE string").withColumn("TARGET", F.lit(1)).write.parquet(
         f"{place}/application_train.parquet")
+    spark.createDataFrame([(1, 1), (2, 2)], "SK_ID_PREV long, SK_ID_CURR long").write.parquet(f"{place}/previous_application.parquet")
     paths = profile_report(spark, place, f"{place}/out")
     numeric = {r["column"]: r for r in spark.read.parquet(paths["numeric"]).collect()}
     assert numeric["AMT_CREDIT"]["count"] == 4 and numeric["AMT_CREDIT"]["median"] == 0.5 and numeric["AMT_CREDIT"]["zero_pct"] == 0.5
@@ -120,19 +121,15 @@ def test_quantiles_of_raw_nan_and_missed_brackets(spark, monkeypatch):
 
 
 def test_staged_tables_go_at_the_end_of_a_scope(spark):
-    folder = tempfile.mkdtemp(prefix="scope-")
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    try:
-        with scope(spark):
-            assert staged(spark.range(5).toDF("id")).count() == 5
-            assert os.listdir(folder)
-        with pytest.raises(RuntimeError), scope(spark):
-            staged(spark.range(5).toDF("id"))
-            raise RuntimeError
-        assert os.listdir(folder) == []
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    folder = stage_dir(spark)
+    before = set(os.listdir(folder))
+    with scope(spark):
+        assert staged(spark.range(5).toDF("id")).count() == 5
+        assert set(os.listdir(folder)) > before
+    with pytest.raises(RuntimeError), scope(spark):
+        staged(spark.range(5).toDF("id"))
+        raise RuntimeError
+    assert set(os.listdir(folder)) == before
 
 
 def test_few_customers_are_split_by_rows(spark):
