@@ -6,9 +6,12 @@ that only shares its beginning with toxic words still counts. A text is compared
 ordinary log-likelihood per byte, over the whole and over its most toxic stretches, and a logistic
 curve fitted on labelled rows that the models did not see turns that into a score.
 
-The counts come from all labelled rows of folds 0 and 1 and are added up by Spark; the finished
-comparison has one number per slot of a fixed table, whatever the corpus holds, and only that table
-is sent to the tasks. The curve is fitted on at most ``CALIBRATION_ROWS`` labelled rows of fold 3.
+The counts come from all labelled rows of folds 0 and 1 and are added up by Spark. The finished
+comparison has one number per counted n-gram and per context, under a key that no other one has; what
+was not counted falls to the backoff. It stands in the shared folder in shards of about
+``SHARD_ROWS`` by key, as many as the counted n-grams need. A task reads the shards one after another
+for each batch and keeps at most ``KEPT`` of them. The shared folder must be one that pyarrow can read
+(local, hdfs, s3, gs). The curve is fitted on at most ``CALIBRATION_ROWS`` labelled rows of fold 3.
 
 Defined results: a null or empty text, or one without a letter, has score 0; without rows of both
 classes every score is 0. Repeated rows are scored alike. Other columns are neither read nor changed.
@@ -16,21 +19,25 @@ classes every score is 0. Repeated rows are scored alike. Other columns are neit
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duewise.llm.shared import flat_bytes, fold, is_held_out, padded_pieces, ready, sifted
-from duewise.session import staged
+from duewise.llm.shared import PIECE, flat_bytes, fold, is_held_out, padded_pieces, ready, sifted
+from duewise.session import staged, staged_folder
 
 ORDER = 6  # bytes of an n-gram, the last one predicted
 STRETCH = 10  # bytes of the stretches whose worst is looked at
-SLOT_BITS = 22
+SHARD_ROWS = 1 << 20  # numbers of a shard, about
+KEPT = 6  # shards a worker holds, of all models
 CALIBRATION_ROWS = 8_000
 REJECT = 0.3
 HELD = 600_000  # counts a task holds
@@ -47,8 +54,81 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slots(grams: np.ndarray) -> np.ndarray:
-    return ((grams.astype(np.uint64) * np.uint64(_ODD)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _keys(grams: np.ndarray) -> np.ndarray:
+    """63 mixed bits, different for different numbers, as an odd factor can be undone."""
+    return ((grams.astype(np.uint64) * np.uint64(_ODD)) & np.uint64(2**63 - 1)).astype(np.int64)
+
+
+class _Shard:
+    """Sorted keys with their values, and where the keys of each beginning start."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int):
+        self.keys, self.values = keys, values
+        more = max(1, int(len(keys)).bit_length())
+        self.shift, self.mask = 63 - bits - more, (1 << more) - 1
+        self.starts = np.zeros((1 << more) + 1, np.int32)
+        np.cumsum(np.bincount(self._begin(keys), minlength=1 << more), out=self.starts[1:])
+
+    def _begin(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> self.shift) & self.mask
+
+    def look(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), np.nan, np.float32)
+        begin = self._begin(keys)
+        at, end = self.starts[begin], self.starts[begin + 1]
+        live = np.flatnonzero(at < end)
+        while len(live):
+            here = at[live]
+            hit = self.keys[here] == keys[live]
+            out[live[hit]] = self.values[here[hit]]
+            live = live[~hit]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        return out
+
+
+_loaded: OrderedDict[tuple[str, int], _Shard] = OrderedDict()
+
+
+@dataclass
+class Table:
+    """Numbers by key in 2 ** ``bits`` shards of a shared folder."""
+
+    folder: str
+    bits: int
+
+    def shard(self, k: int) -> _Shard:
+        if (self.folder, k) in _loaded:
+            _loaded.move_to_end((self.folder, k))
+        else:
+            while len(_loaded) >= KEPT:
+                _loaded.popitem(last=False)
+            store, path = fs.FileSystem.from_uri(f"{self.folder}/shard={k}")
+            found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            files = sorted(f.path for f in found if f.path.endswith(".parquet"))
+            keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+            for file in files:
+                with store.open_input_file(file) as opened:
+                    rows = pq.ParquetFile(opened).read(["key", "value"], use_threads=False)
+                keys.append(rows["key"].to_numpy())
+                values.append(rows["value"].to_numpy())
+            keys, values = np.concatenate(keys), np.concatenate(values)
+            order = slice(None) if len(files) < 2 else np.argsort(keys)
+            _loaded[self.folder, k] = _Shard(keys[order], values[order], self.bits)
+        return _loaded[self.folder, k]
+
+    def look(self, grams: np.ndarray) -> np.ndarray:
+        """The number of each; NaN for what is not in the table."""
+        if not self.bits:
+            return self.shard(0).look(_keys(grams))
+        keys, back = np.unique(_keys(grams), return_inverse=True)
+        ends = np.searchsorted(keys, (np.arange(1, (1 << self.bits) + 1, dtype=np.uint64) << np.uint64(63 - self.bits)) - np.uint64(1), "right")
+        out, start = np.empty(len(keys), np.float32), 0
+        for k, end in enumerate(ends):
+            if end > start:
+                out[start:end] = self.shard(k).look(keys[start:end])
+            start = end
+        return out[back]
 
 
 def _added_up(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,10 +171,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class ToxicityModel:
-    """Per slot the log-ratio after a known n-gram, or of its context; and the curve."""
+    """The log-ratio after each counted n-gram, or of its context; and the curve."""
 
-    known: np.ndarray
-    context: np.ndarray
+    known: Table
+    context: Table
     curve: np.ndarray | None
 
 
@@ -111,8 +191,8 @@ def gram_counts(documents: DataFrame, labels: DataFrame, folds: tuple[int, ...]
     )
 
 
-def _comparison(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Kneser-Ney log-ratios, at most one per slot of a fixed table."""
+def _ratios(counts: DataFrame) -> DataFrame:
+    """Kneser-Ney log-ratios: of each counted n-gram, and what its context gives to all others."""
     ones = counts.agg(*[
         F.count_if(F.col(c) == n).alias(f"{c}_{n}") for c in ("toxic", "ordinary") for n in (1, 2)
     ]).first()
@@ -145,36 +225,46 @@ def _comparison(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def spare_of(c: str) -> Column:
         return F.when(F.col(f"n_{c}") > 0, discount[c] * F.col(f"kinds_{c}") / F.col(f"n_{c}")).otherwise(F.lit(1.0))
 
-    @F.arrow_udf("int")
-    def slot(keys: pa.Array) -> pa.Array:
-        return pa.array(_slots(keys.to_numpy(zero_copy_only=False)).astype(np.int32))
-
-    ratios = staged(sized.select(
-        "gram", "context", "n_toxic", "n_ordinary", (F.col("toxic") + F.col("ordinary")).alias("n"),
+    return sized.select(
+        "gram", "context",
         F.log(chance("toxic") / chance("ordinary")).alias("ratio"),
         F.log(spare_of("toxic") / spare_of("ordinary")).alias("spare"),
-    ), "ratios")
+    )
+
+
+def _comparison(counts: DataFrame) -> tuple[Table, Table]:
+    """The log-ratios of n-grams and of contexts as tables of the shared folder."""
+
+    @F.arrow_udf("long")
+    def key(grams: pa.Array) -> pa.Array:
+        return pa.array(_keys(grams.to_numpy(zero_copy_only=False)))
+
+    ratios = staged(_ratios(counts), "ratios")
+    bits = max(0, -(-ratios.count() // SHARD_ROWS) - 1).bit_length()
     tables = []
-    for key, value, weight in (("gram", "ratio", "n"), ("context", "spare", F.col("n_toxic") + F.col("n_ordinary"))):
-        rows = ratios.groupBy(slot(key).alias("slot")).agg(F.max_by(value, F.struct(weight, value)).cast("float").alias("v"))
-        got = rows.toArrow()  # at most 2 ** SLOT_BITS rows
-        filled = np.full(1 << SLOT_BITS, np.nan, np.float32)
-        filled[got["slot"].to_numpy()] = got["v"].to_numpy()
-        tables.append(filled)
-    return tables[0], np.nan_to_num(tables[1])
+    for name, rows in (
+        ("known", ratios.select("gram", "ratio")),
+        ("context", ratios.groupBy("context").agg(F.max("spare"))),
+    ):
+        keyed = rows.toDF("gram", "value").select(key("gram").alias("key"), F.col("value").cast("float").alias("value"))
+        dealt = keyed.withColumn("shard", F.shiftright("key", 63 - bits)).repartition(1 << bits, "shard")
+        tables.append(Table(staged_folder(dealt.sortWithinPartitions("shard", "key"), name, "shard"), bits))
+    return tables[0], tables[1]
 
 
-def _evidence(texts: pa.Array, known: np.ndarray, context: np.ndarray) -> np.ndarray:
+def _evidence(texts: pa.Array, known: Table, context: Table) -> np.ndarray:
     """Per text: log-ratio per byte, of the worst stretch, what stands out in all stretches, bytes."""
     data, starts = flat_bytes(pc.utf8_lower(texts))
     n = len(starts) - 1
     total, worst, excess = np.zeros(n), np.zeros(n), np.zeros(n)
     before = ORDER - 1 + STRETCH
-    for packed, rows, begins, ends in padded_pieces(data, starts, before):
+    # Where a worker cannot hold all shards, each is read for as many bytes as a batch has.
+    most = (4 if 2 << known.bits <= KEPT else 16) * PIECE
+    for packed, rows, begins, ends in padded_pieces(data, starts, before, most):
         grams = _grams(_LETTERS[packed])
-        ratio = known[_slots(grams)]
-        unseen = np.isnan(ratio)
-        ratio[unseen] = context[_slots(grams[unseen] >> 8)]
+        ratio = known.look(grams)
+        unseen = np.flatnonzero(np.isnan(ratio))
+        ratio[unseen] = np.nan_to_num(context.look(grams[unseen] >> 8))
         run = np.concatenate([[0.0], np.cumsum(ratio, dtype=np.float64)])
         np.add.at(total, rows, run[ends] - run[begins])
         stretch = np.zeros(len(packed))
@@ -216,12 +306,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     spark = documents.sparkSession
     ready(spark)
     known, context = _comparison(staged(gram_counts(documents, labels), "grams"))
-    tables = spark.sparkContext.broadcast((known, context))
 
     @F.arrow_udf("array<double>")
     def evidence(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
-            yield pa.array(list(_evidence(part, *tables.value)), pa.list_(pa.float64()))
+            yield pa.array(list(_evidence(part, known, context)), pa.list_(pa.float64()))
 
     chosen = (
         labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) == 3))
@@ -231,21 +320,17 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     )
     texts = documents.where((fold(F.col("doc_id")) == 3) & F.col("text").isNotNull()).select("doc_id", "text")
     rows = texts.join(F.broadcast(chosen), "doc_id").select("toxic", evidence("text").alias("x")).toPandas()
-    tables.unpersist()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), 4)
     return ToxicityModel(known, context, _curve(x, rows["toxic"].to_numpy(float)))
 
 
 def toxicity_score(model: ToxicityModel, spark, text: Column) -> Column:
     """The score of whole texts as a column, from 0 to 1."""
-    held = spark.sparkContext.broadcast(model)
-
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = held.value
         for part in texts:
             lettered = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            yield pa.array(np.where(lettered, _applied(m.curve, _evidence(part, m.known, m.context)), 0.0))
+            yield pa.array(np.where(lettered, _applied(model.curve, _evidence(part, model.known, model.context)), 0.0))
 
     return score(text)
 

@@ -57,14 +57,20 @@ def scope(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def staged_folder(df: DataFrame, name: str, *by: str) -> str:
+    """Write ``df`` as parquet, in a folder per value of ``by``, under the shared folder; where it stands."""
+    path = f"{stage_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    df.write.partitionBy(*by).parquet(path)
+    return path
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used where a result is read several times. Unlike a cache it outlives executors, and unlike
     ``checkpoint()`` it stays columnar, so later reads prune columns and skip row groups.
     """
-    path = f"{stage_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
-    df.write.parquet(path)
+    path = staged_folder(df, name)
     return df.sparkSession.read.schema(df.schema).parquet(path)
