@@ -4,8 +4,10 @@ The tree's levels are a line's number of tokens and its ``LEADING`` first tokens
 with digits, at signs or slashes count as a variable field ``<*>`` from the start. A leaf holds
 the lines of one length and beginning. Its most frequent line (after masking) becomes a template;
 lines that equal it in at least ``SIMILAR`` of their tokens belong to it, their other tokens being
-variable fields too. What does not belong forms the leaf's next templates the same way, for
-``ROUNDS`` rounds, and after that stands for itself. A template that stands in ``RECURRING`` or more
+variable fields too. What does not belong forms the leaf's next templates the same way, until the
+lines left in a leaf together stand in too few documents to recur. Each round places the templates
+among a leaf's ``AT_ONCE`` most frequent lines (twice as many in every next round, up to ``MOST_AT_ONCE``),
+which gives the same as one template after another. A template that stands in ``RECURRING`` or more
 documents is dropped wherever it occurs.
 
 A line of fewer than ``FEWEST_TOKENS`` tokens is too short to be a template and is never dropped.
@@ -20,14 +22,17 @@ columns are neither read nor changed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import sys
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duewise.session import staged
 
 LEADING = 3
 SIMILAR = 0.8
-ROUNDS = 2
+ROUNDS = sys.maxsize  # no limit: they end when no leaf can hold a further recurring template
+AT_ONCE, MOST_AT_ONCE = 16, 512
 RECURRING = 3
 FEWEST_TOKENS = 4
 _SPACE = r"[\x09-\x0D ]+"
@@ -57,12 +62,20 @@ def _line_keys(text: Column) -> Column:
     ))
 
 
-def _similar(a: Column, b: Column) -> Column:
-    one, two = F.split(a, " "), F.split(b, " ")
+def _similar(one: Column, two: Column) -> Column:
+    """Whether two arrays of as many tokens are the same line but for variable fields."""
     same = F.aggregate(F.zip_with(one, two, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
     return same >= SIMILAR * F.size(one)
 
 
+def _templates(ranked: Column) -> Column:
+    """Of lines in order of rank (arrays of tokens), those that resemble none before them."""
+    return F.aggregate(
+        ranked, F.array().cast("array<array<string>>"),
+        lambda kept, line: F.when(F.exists(kept, lambda t: _similar(line, t)), kept).otherwise(F.array_append(kept, line)),
+    )
+
+
 def _keys(masked: Column) -> list[Column]:
     """128 bits that stand for a masked line."""
     return [F.xxhash64(masked).alias("k1"), F.xxhash64(masked, F.lit("second")).alias("k2")]
@@ -76,22 +89,29 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= RECURRING).select("leaf")
     counted = lines.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs"))
     open_lines = staged(counted.join(leaves, "leaf", "left_semi"), "leaf_lines")
-    found = []
+    found, at_once = [], AT_ONCE
+    rank = Window.partitionBy("leaf").orderBy(F.desc("docs"), F.desc("masked"))
     for _ in range(ROUNDS):
-        best = open_lines.groupBy("leaf").agg(
-            F.max_by("masked", F.struct("docs", "masked")).alias("template"), F.sum("docs").alias("in_leaf")
-        ).where(F.col("in_leaf") >= RECURRING)
-        placed = staged(
-            open_lines.join(best.select("leaf", "template"), "leaf").select(
-                "leaf", "masked", "docs", _similar(F.col("masked"), F.col("template")).alias("belongs")
-            ),
-            "placed",
+        if open_lines.isEmpty():
+            break
+        first = open_lines.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= at_once)
+        best = first.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("rank", "masked"))).alias("ranked")).select(
+            "leaf", _templates(F.transform("ranked", lambda r: F.split(r["masked"], " "))).alias("templates")
         )
-        inside = placed.where("belongs")
-        recurs = inside.groupBy("leaf").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING).select("leaf")
-        found.append(inside.join(recurs, "leaf").select(*_keys(F.col("masked"))))
-        open_lines = placed.where(~F.col("belongs")).select("leaf", "masked", "docs")
-    found.append(open_lines.where(F.col("docs") >= RECURRING).select(*_keys(F.col("masked"))))
+        # The tokens are split once per line; 0 is no template.
+        of = F.transform(F.array(F.split("masked", " ")), lambda line: F.coalesce(
+            F.array_position(F.transform("templates", lambda t: _similar(line, t)), True), F.lit(0)
+        ))
+        placed = staged(open_lines.join(best, "leaf").select("leaf", "masked", "docs", F.element_at(of, 1).alias("template")), "placed")
+        inside = placed.where("template > 0")
+        recurs = inside.groupBy("leaf", "template").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING)
+        found.append(staged(inside.join(recurs, ["leaf", "template"], "left_semi").select(*_keys(F.col("masked"))), "found"))
+        rest = placed.where("template = 0").select("leaf", "masked", "docs")
+        still = rest.groupBy("leaf").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING)
+        open_lines = staged(rest.join(still, "leaf", "left_semi"), "leaf_lines")
+        at_once = min(2 * at_once, MOST_AT_ONCE)
+    if not found:
+        return open_lines.select(*_keys(F.col("masked")))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
