@@ -11,9 +11,10 @@ which gives the same as one template after another. A template that stands in ``
 documents is dropped wherever it occurs.
 
 A line of fewer than ``FEWEST_TOKENS`` tokens is too short to be a template and is never dropped.
-Lines are counted once per document and masked form before anything is shuffled together, so a hot
-line is one row per task; leaves whose lines together stand in fewer than ``RECURRING`` documents
-never leave the first count.
+Documents of a template are counted once, however many of its lines they hold. Lines are counted
+once per document and masked form before anything is shuffled together, so a hot line
+is one row per task; leaves whose lines together stand in fewer than ``RECURRING`` documents never leave
+the first count.
 
 Defined results: a null text stays null with 0 lines; an empty text has one line without tokens.
 Blank lines stay. Repeated rows count as documents of their own. A null doc_id is allowed. Other
@@ -84,10 +85,13 @@ def _keys(masked: Column) -> list[Column]:
 def recurring_lines(lines: DataFrame) -> DataFrame:
     """The keys (k1, k2) of masked lines whose template recurs.
 
-    ``lines`` has one row per document and distinct masked line: leaf, masked.
+    ``lines`` has one row per document and distinct masked line: row (a number of the document's),
+    leaf, masked. Below RECURRING = 3 documents, the least and the greatest number are all of a line's.
     """
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= RECURRING).select("leaf")
-    counted = lines.groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs"))
+    counted = lines.groupBy("leaf", "masked").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("row").alias("low"), F.max("row").alias("high")
+    )
     open_lines = staged(counted.join(leaves, "leaf", "left_semi"), "leaf_lines")
     found, at_once = [], AT_ONCE
     rank = Window.partitionBy("leaf").orderBy(F.desc("docs"), F.desc("masked"))
@@ -102,11 +106,16 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
         of = F.transform(F.array(F.split("masked", " ")), lambda line: F.coalesce(
             F.array_position(F.transform("templates", lambda t: _similar(line, t)), True), F.lit(0)
         ))
-        placed = staged(open_lines.join(best, "leaf").select("leaf", "masked", "docs", F.element_at(of, 1).alias("template")), "placed")
+        placed = staged(open_lines.join(best, "leaf").select("leaf", "masked", "docs", "low", "high", F.element_at(of, 1).alias("template")), "placed")
         inside = placed.where("template > 0")
-        recurs = inside.groupBy("leaf", "template").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING)
+        standing = inside.select("leaf", "template", "docs", F.explode(F.array("low", "high")).alias("row"))
+        recurs = (
+            standing.groupBy("leaf", "template", "row").agg(F.max("docs").alias("docs"))
+            .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n"), F.max("docs").alias("docs"))
+            .where(F.greatest("n", "docs") >= RECURRING)
+        )
         found.append(staged(inside.join(recurs, ["leaf", "template"], "left_semi").select(*_keys(F.col("masked"))), "found"))
-        rest = placed.where("template = 0").select("leaf", "masked", "docs")
+        rest = placed.where("template = 0").select("leaf", "masked", "docs", "low", "high")
         still = rest.groupBy("leaf").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING)
         open_lines = staged(rest.join(still, "leaf", "left_semi"), "leaf_lines")
         at_once = min(2 * at_once, MOST_AT_ONCE)
@@ -123,7 +132,9 @@ def drop_recurring_lines(documents: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", "text")
     known = rows.where("text is not null")
     once = F.array_distinct(F.transform(_line_keys(F.col("text")), lambda s: F.struct(s["leaf"].alias("leaf"), s["masked"].alias("masked"))))
-    hot = staged(recurring_lines(known.select(F.explode(once).alias("l")).select("l.leaf", "l.masked")), "recurring")
+    numbered = known.withColumn("row", F.monotonically_increasing_id())  # before the lines are listed, else they are numbered
+    lines = numbered.select("row", F.explode(once).alias("l")).select("row", "l.leaf", "l.masked")
+    hot = staged(recurring_lines(lines), "recurring")
     # Only numbers and keys of lines travel; the texts join once, with the numbers of their lines that go.
     marks = F.transform(_line_keys(F.col("text")), lambda s: F.struct(s["n"].alias("n"), *_keys(s["masked"])))
     at = known.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("of_text"), F.explode(marks).alias("l"))

@@ -51,3 +51,11 @@ def test_every_template_of_a_crowded_leaf_is_dropped(spark, docs, monkeypatch):
     monkeypatch.setattr(lt, "AT_ONCE", 8)
     monkeypatch.setattr(lt, "MOST_AT_ONCE", 16)
     assert got(docs(rows)) == wanted
+
+
+def test_similar_lines_of_one_document_are_one_document(spark, docs):
+    refrain = "\n".join(f"We thank our dear reader {name} for the kind letter" for name in ("Ann", "Bob", "Cy", "Dee"))
+    rows = [(1, refrain), (2, "We thank our dear reader Eve for the kind letter"), (3, "nothing else is here to see")]
+    assert got(docs(rows)) == brute(rows) == [(1, 0), (2, 0), (3, 0)]
+    rows.append((4, "We thank our dear reader Fay for the kind letter"))
+    assert got(docs(rows)) == brute(rows) == [(1, 4), (2, 1), (3, 0), (4, 1)]
