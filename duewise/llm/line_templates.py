@@ -10,7 +10,8 @@ among a leaf's ``AT_ONCE`` most frequent lines (twice as many in every next roun
 which gives the same as one template after another. A template that stands in ``RECURRING`` or more
 documents is dropped wherever it occurs.
 
-A line of fewer than ``FEWEST_TOKENS`` tokens is too short to be a template and is never dropped.
+A line of fewer than ``FEWEST_TOKENS`` tokens is too short for variable words: it is a leaf of its own
+and dropped if it stands in ``SHORT_RECURRING`` or more documents, unless it is nothing but fields.
 Documents of a template are counted once, however many of its lines they hold. Lines are counted
 once per document and masked form before anything is shuffled together, so a hot line
 is one row per task; leaves whose lines together stand in fewer than ``RECURRING`` documents never leave
@@ -36,6 +37,7 @@ ROUNDS = sys.maxsize  # no limit: they end when no leaf can hold a further recur
 AT_ONCE, MOST_AT_ONCE = 16, 512
 RECURRING = 3
 FEWEST_TOKENS = 4
+SHORT_RECURRING = 10
 _SPACE = r"[\x09-\x0D ]+"
 # A token with a digit, an at sign or a slash; no position is tried twice, however long a token is.
 _FIELD = r"(?<![^ ])[^ 0-9@/]*+[0-9@/][^ ]*+"
@@ -50,14 +52,18 @@ def masked_line(line: Column) -> Column:
     return F.when(F.rlike(spaced, F.lit("[0-9@/]")), F.regexp_replace(spaced, _FIELD, "<*>")).otherwise(spaced)
 
 
+def _says_something(masked: Column) -> Column:
+    return F.trim(F.replace(masked, F.lit("<*>"), F.lit(""))) != ""
+
+
 def _line_keys(text: Column) -> Column:
-    """Per line of a text: number, masked line and leaf; short lines are left out."""
+    """Per line of a text: number, masked line and leaf, which holds all tokens of a short one; lines of fields only must be long."""
     lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("n"), masked_line(line).alias("masked")))
     sized = F.transform(lines, lambda s: F.struct(
         s["n"].alias("n"), s["masked"].alias("masked"),
         (F.octet_length(s["masked"]) - F.octet_length(F.replace(s["masked"], F.lit(" "), F.lit(""))) + 1).alias("tokens"),
     ))
-    return F.transform(F.filter(sized, lambda s: s["tokens"] >= FEWEST_TOKENS), lambda s: F.struct(
+    return F.transform(F.filter(sized, lambda s: (s["tokens"] >= FEWEST_TOKENS) | _says_something(s["masked"])), lambda s: F.struct(
         s["n"].alias("n"), s["masked"].alias("masked"),
         F.xxhash64(s["tokens"], F.substring_index(s["masked"], " ", LEADING)).alias("leaf"),
     ))
@@ -92,8 +98,10 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
     counted = lines.groupBy("leaf", "masked").agg(
         F.count(F.lit(1)).alias("docs"), F.min("row").alias("low"), F.max("row").alias("high")
     )
-    open_lines = staged(counted.join(leaves, "leaf", "left_semi"), "leaf_lines")
-    found, at_once = [], AT_ONCE
+    in_leaves = staged(counted.join(leaves, "leaf", "left_semi"), "leaf_lines")
+    short = F.size(F.split("masked", " ", FEWEST_TOKENS)) < FEWEST_TOKENS
+    found, at_once = [in_leaves.where(short & (F.col("docs") >= SHORT_RECURRING)).select(*_keys(F.col("masked")))], AT_ONCE
+    open_lines = in_leaves.where(~short)
     rank = Window.partitionBy("leaf").orderBy(F.desc("docs"), F.desc("masked"))
     for _ in range(ROUNDS):
         if open_lines.isEmpty():
@@ -119,8 +127,6 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
         still = rest.groupBy("leaf").agg(F.sum("docs").alias("n")).where(F.col("n") >= RECURRING)
         open_lines = staged(rest.join(still, "leaf", "left_semi"), "leaf_lines")
         at_once = min(2 * at_once, MOST_AT_ONCE)
-    if not found:
-        return open_lines.select(*_keys(F.col("masked")))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)

@@ -59,3 +59,12 @@ def test_similar_lines_of_one_document_are_one_document(spark, docs):
     assert got(docs(rows)) == brute(rows) == [(1, 0), (2, 0), (3, 0)]
     rows.append((4, "We thank our dear reader Fay for the kind letter"))
     assert got(docs(rows)) == brute(rows) == [(1, 4), (2, 1), (3, 0), (4, 1)]
+
+
+def test_short_lines_of_many_documents_go(spark, docs):
+    n = lt.SHORT_RECURRING
+    rows = [(k, f"Word{'abcdefghijklm'[k]} alone\nAll  rights reserved.\nPage {k}\n{k}\n\n" + ("Read more" if k else "Read")) for k in range(n)]
+    found = {r.doc_id: r for r in drop_recurring_lines(docs(rows)).collect()}
+    # 'Read more' stands in one document too few, and a number says nothing.
+    assert [found[k].text for k in (0, 3)] == ["Worda alone\n0\n\nRead", "Wordd alone\n3\n\nRead more"]
+    assert all(found[k].n_dropped == 2 for k in range(n))
