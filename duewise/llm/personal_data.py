@@ -9,6 +9,9 @@ versions, orders or parts lower it; spans of ``ENOUGH`` or more are reported. Ba
 1 less what such words take away, but are never dropped. Added spans that overlap a base span, or an
 added one found before, are left out.
 
+An IBAN has the length of its country, or where the country is not in the table, the longest that
+ends with a word and is confirmed. A rejected start is passed over, not what follows it.
+
 Matching is leftmost and non-overlapping per kind on whole texts; every pattern takes time in
 proportion to the text, however long a run of digits or letters is.
 
@@ -40,7 +43,16 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b")
+_IBAN_START = re.compile(r"\b[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+_IBAN_NEXT = re.compile(r"\x20?[A-Z0-9]")
+_WORD = re.compile(r"\w")
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_LENGTHS = {country: n for n, countries in _IBAN_LENGTHS.items() for country in countries.split()}
 _SHORT_CARD = re.compile(r"(?<![0-9-])[0-9](?:[\x20-]?[0-9]){12}(?![\x20-]?[0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
@@ -83,6 +95,24 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _ibans(text: str):
+    """(start, end) of confirmed numbers; at most 34 characters are looked at from each start."""
+    free = 0
+    for m in _IBAN_START.finditer(text):
+        if m.start() < free:
+            continue
+        ends, at = [], _IBAN_NEXT.match(text, m.end())
+        while at and len(ends) < 30:
+            ends.append(at.end())
+            at = _IBAN_NEXT.match(text, at.end())
+        length = _IBAN_LENGTHS.get(m[0][:2])
+        for n in (length,) if length else range(len(ends) + 4, 14, -1):
+            if n - 5 < len(ends) and not _WORD.match(text, end := ends[n - 5]) and mod97(text[m.start() : end].replace(" ", "")):
+                yield m.start(), end
+                free = end
+                break
+
+
 def _byte(part: str) -> bool:
     return len(part) < 4 and int(part or "0") <= 255
 
@@ -139,22 +169,15 @@ def added_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
             taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
         else:
             taken.append((a, b))
-    for kind, pattern in (("iban", _IBAN), ("short_card", _SHORT_CARD), ("national_id", _NATIONAL), ("local_phone", _LOCAL_PHONE)):
-        for m in pattern.finditer(text):
-            if kind == "iban":
-                found = m[0].replace(" ", "")
-                good = 15 <= len(found) <= 34 and mod97(found)
-                if not good:
-                    continue
-            elif kind == "short_card":
-                good = luhn(_digits(m[0]))
-                if not good:
-                    continue
-            score = context_score(text, m.start(), m.end(), kind, _START[kind] + _CONFIRMED[kind])
-            at = bisect_left(taken, (m.start(), m.end()))
-            if score >= ENOUGH and not any(a < m.end() and m.start() < b for a, b in taken[max(0, at - 1) : at + 1]):
-                out.append((m.start(), m.end(), kind, score))
-                insort(taken, (m.start(), m.end()))
+    found = [("iban", *span) for span in _ibans(text)]
+    for kind, pattern in (("short_card", _SHORT_CARD), ("national_id", _NATIONAL), ("local_phone", _LOCAL_PHONE)):
+        found += [(kind, *m.span()) for m in pattern.finditer(text) if kind != "short_card" or luhn(_digits(m[0]))]
+    for kind, start, end in found:
+        score = context_score(text, start, end, kind, _START[kind] + _CONFIRMED[kind])
+        at = bisect_left(taken, (start, end))
+        if score >= ENOUGH and not any(a < end and start < b for a, b in taken[max(0, at - 1) : at + 1]):
+            out.append((start, end, kind, score))
+            insort(taken, (start, end))
     return out
 
 
