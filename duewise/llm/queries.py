@@ -14,6 +14,7 @@ from duewise.llm.personal_data import personal_data_report
 from duewise.llm.shared import table
 from duewise.llm.token_files import token_files
 from duewise.llm.toxicity import score_toxicity
+from duewise.llm.whitening import whiten
 
 
 def op1_quality_co_training(spark, folder):
@@ -56,11 +57,15 @@ def op10_line_templates(spark, folder):
     return drop_recurring_lines(table(spark, folder, "documents"))
 
 
+def op12_whitening(spark, folder):
+    return whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_quality_co_training, op2_toxicity, op3_line_rules, op4_decontamination, op5_language, op6_token_files,
-        op7_personal_data, op8_near_duplicates, op9_mixing, op10_line_templates,
+        op7_personal_data, op8_near_duplicates, op9_mixing, op10_line_templates, op12_whitening,
     )
 }
 
