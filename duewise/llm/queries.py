@@ -12,6 +12,7 @@ from duewise.llm.mixing import mix
 from duewise.llm.near_duplicates import near_duplicates
 from duewise.llm.personal_data import personal_data_report
 from duewise.llm.shared import table
+from duewise.llm.token_alignment import align_tokenizers
 from duewise.llm.token_files import token_files
 from duewise.llm.toxicity import score_toxicity
 from duewise.llm.whitening import whiten
@@ -61,11 +62,15 @@ def op12_whitening(spark, folder):
     return whiten(table(spark, folder, "embeddings"))
 
 
+def op13_token_alignment(spark, folder):
+    return align_tokenizers(table(spark, folder, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_quality_co_training, op2_toxicity, op3_line_rules, op4_decontamination, op5_language, op6_token_files,
-        op7_personal_data, op8_near_duplicates, op9_mixing, op10_line_templates, op12_whitening,
+        op7_personal_data, op8_near_duplicates, op9_mixing, op10_line_templates, op12_whitening, op13_token_alignment,
     )
 }
 
