@@ -37,8 +37,9 @@ from duewise.llm.shared import flat_bytes, ready
 from duewise.llm.token_files import PieceEncoder, default_tokenizer
 from duewise.session import staged_folder
 
-BLOCK_BYTES = 8 << 20  # a block ends with the document that reaches this
+BLOCK_BYTES = 4 << 20  # a block ends with the document that reaches this
 STREAM_BYTES = 1 << 20  # of texts that are encoded together
+WORDS = 200_000  # words of side b remembered per Python worker
 
 
 def default_pieces() -> str:
@@ -51,30 +52,39 @@ def default_pieces() -> str:
 
 def skip_runs(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     """Places of the tokens of each side that do not end a group; both lists rise to the same last end."""
-    inner_a, inner_b = [], []
+    inner_a, inner_b, n = [], [], len(ends_a)
+    over_a, over_b = inner_a.append, inner_b.append
     i = j = 0
-    while i < len(ends_a):
-        if ends_a[i] == ends_b[j]:
-            i, j, step = i + 1, j + 1, 1
-            while (piece := ends_a[i : i + step]) and piece == ends_b[j : j + step]:
-                i, j, step = i + len(piece), j + len(piece), 2 * step
-            while step > 1:  # the difference lies within the last stretch
-                step //= 2
-                if (piece := ends_a[i : i + step]) and piece == ends_b[j : j + step]:
-                    i, j = i + len(piece), j + len(piece)
-            if i == len(ends_a):
-                break
+    while i < n:
         a, b = ends_a[i], ends_b[j]
+        if a == b:
+            i += 1
+            j += 1
+            if i == n:
+                break
+            a, b = ends_a[i], ends_b[j]
+            if a == b:  # a stretch of two at least: how long does it go on?
+                i, j, step = i + 1, j + 1, 2
+                while (piece := ends_a[i : i + step]) and piece == ends_b[j : j + step]:
+                    i, j, step = i + len(piece), j + len(piece), 2 * step
+                while step > 1:  # the difference lies within the last stretch
+                    step //= 2
+                    if (piece := ends_a[i : i + step]) and piece == ends_b[j : j + step]:
+                        i, j = i + len(piece), j + len(piece)
+                if i == n:
+                    break
+                a, b = ends_a[i], ends_b[j]
         while a != b:
             if a < b:
-                inner_a.append(i)
+                over_a(i)
                 i += 1
                 a = ends_a[i]
             else:
-                inner_b.append(j)
+                over_b(j)
                 j += 1
                 b = ends_b[j]
-        i, j = i + 1, j + 1
+        i += 1
+        j += 1
     return inner_a, inner_b
 
 
@@ -132,15 +142,35 @@ class Pair:
             token = self.b.id_to_piece(k)
             return bytes([int(token[3:5], 16)]) if self.b.is_byte(k) else token.replace("▁", " ").encode()
 
-        self.side_b = _Side([piece(k) for k in range(self.b.vocab_size())])
+        tokens = [piece(k) for k in range(self.b.vocab_size())]
+        self.side_b = _Side(tokens)
+        # Where no piece holds a space behind another sign, a text's words, parted by single spaces, are encoded apart.
+        self.by_words = all(b" " not in t.lstrip(b" ") for t in tokens)
+        self.words: dict[str, bytes] = {}
         most = max(len(self.side_a.sizes), len(self.side_b.sizes))
         self.written = [f"{k}{sign}" for k in range(most) for sign in ",|;"]
 
+    def encode_b(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of side b; words seen before come from a memory of WORDS entries."""
+        if len(self.words) > WORDS:
+            self.words = {}
+        known, kind = self.words, self.side_b.kind
+        cut = [
+            None if not self.by_words or "  " in t or "▁" in t or t[:1] == " " or t[-1:] == " " or len(t) > STREAM_BYTES else t.split(" ") for t in texts
+        ]
+        new = list(set().union(*filter(None, cut)).difference(known))
+        for word, ids in zip(new, self.b.encode(new, num_threads=1)):
+            known[word] = np.array(ids, kind).tobytes()
+        return [
+            np.array(self.b.encode(t, num_threads=1), kind) if words is None else np.frombuffer(b"".join(map(known.__getitem__, words)), kind)
+            for t, words in zip(texts, cut)
+        ]
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides per text, none where a side does not give the text back."""
         coded = self.a.encode([" " + t for t in texts])
         ids_a = [np.frombuffer(c, self.a.kind)[:-1] for c in coded]
-        ids_b = [np.array(c, self.side_b.kind) for c in self.b.encode(texts, num_threads=1)]
+        ids_b = self.encode_b(texts)
         wanted, starts = flat_bytes(pa.array([" " + t for t in texts], pa.large_string()))
         good = np.array([bool(t) for t in texts], bool)
         for ids, side in ((ids_a, self.side_a), (ids_b, self.side_b)):
@@ -280,8 +310,8 @@ def aligned_blocks(documents: DataFrame, path_a: str | None = None, path_b: str
                             yield gathered.row()
             if gathered.docs:
                 yield gathered.row()
-        finally:  # remembered pieces end with the task
-            _pairs[files].a.known, _pairs[files].a.older = {}, {}
+        finally:  # what is remembered ends with the task
+            _pairs[files].a.known, _pairs[files].a.older, _pairs[files].words = {}, {}, {}
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(blocks, _BLOCK_SQL)
     folder = staged_folder(rows, "aligned")

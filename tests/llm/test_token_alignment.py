@@ -93,6 +93,19 @@ def test_run_skipping_finds_the_common_ends(a, b):
     assert [x for k, x in enumerate(b) if k not in set(inner_b)] == sorted(set(a) & set(b))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab \n\t.'sé€  \0,1▁<>x日", max_size=60))
+def test_words_encode_like_whole_texts(text):
+    pair = pair_of_tokenizers()
+    assert pair.encode_b([text])[0].tolist() == pair.b.encode(text)
+
+
+def pair_of_tokenizers():
+    if "held" not in pair_of_tokenizers.__dict__:
+        pair_of_tokenizers.held = ta.Pair(default_tokenizer(), ta.default_pieces())
+    return pair_of_tokenizers.held
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.sets(st.integers(1, 40)), st.sets(st.integers(1, 40)))
 def test_links_are_the_overlaps(a, b):
