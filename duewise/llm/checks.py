@@ -57,4 +57,20 @@ DECONTAMINATION = rf"""
            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
     FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
-CHECKS = {"op4_decontamination": DECONTAMINATION, "op8_near_duplicates": NEAR_DUPLICATES, "op9_mixing": MIXING}
+# Every window of 100 bytes, the later ones of equal windows, and the stretches they cover.
+REPEATS = """
+    WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    w AS (SELECT doc_id, unnest(range(octet_length(b) - 99)) AS s, b FROM d WHERE octet_length(b) >= 100),
+    h AS (SELECT doc_id, s, md5(b[s + 1:s + 100]) AS h FROM w),
+    again AS (SELECT doc_id, s FROM h QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, s) > 1),
+    mark AS (SELECT *, s > coalesce(max(s) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1000) + 100 AS new FROM again),
+    num AS (SELECT *, count_if(new) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM mark),
+    span AS (SELECT doc_id, min(s) AS s, max(s) + 100 AS e FROM num GROUP BY doc_id, k),
+    gap AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS f, s AS t FROM span
+            UNION ALL SELECT doc_id, max(e), NULL FROM span GROUP BY doc_id),
+    kept AS (SELECT doc_id, sha256(unhex(string_agg(hex(b[f + 1:coalesce(t, octet_length(b))]), '' ORDER BY f))) AS kept FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
+    sums AS (SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM span GROUP BY doc_id)
+    SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, coalesce(kept, sha256(b)) AS kept_sha256
+    FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+CHECKS = {"op4_decontamination": DECONTAMINATION, "op8_near_duplicates": NEAR_DUPLICATES, "op9_mixing": MIXING, "op11_repeats": REPEATS}

@@ -11,6 +11,7 @@ from duewise.llm.line_templates import drop_recurring_lines
 from duewise.llm.mixing import mix
 from duewise.llm.near_duplicates import near_duplicates
 from duewise.llm.personal_data import personal_data_report
+from duewise.llm.repeats import repeat_report
 from duewise.llm.shared import table
 from duewise.llm.token_alignment import align_tokenizers
 from duewise.llm.token_files import token_files
@@ -58,6 +59,10 @@ def op10_line_templates(spark, folder):
     return drop_recurring_lines(table(spark, folder, "documents"))
 
 
+def op11_repeats(spark, folder):
+    return repeat_report(table(spark, folder, "documents"))
+
+
 def op12_whitening(spark, folder):
     return whiten(table(spark, folder, "embeddings"))
 
@@ -70,7 +75,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_quality_co_training, op2_toxicity, op3_line_rules, op4_decontamination, op5_language, op6_token_files,
-        op7_personal_data, op8_near_duplicates, op9_mixing, op10_line_templates, op12_whitening, op13_token_alignment,
+        op7_personal_data, op8_near_duplicates, op9_mixing, op10_line_templates, op11_repeats, op12_whitening, op13_token_alignment,
     )
 }
 

@@ -73,6 +73,23 @@ def sifted(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return marked.where(passes).select(*rows.columns)
 
 
+def sieve_flag(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``key`` is surely not among the keys of ``wanted`` (its only column).
+
+    The same table of bits as in ``sifted``, for callers that also need the rows which it parts off.
+    """
+    def slot(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(1 << SIEVE_BITS))
+
+    [name] = wanted.columns
+    bits = wanted.select(slot(name).alias("s")).groupBy(F.shiftright("s", 6).alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("_bits")
+    )
+    marked = rows.withColumn("_slot", slot(key)).join(F.broadcast(bits), F.shiftright("_slot", 6) == F.col("_word"), "left")
+    maybe = F.coalesce(F.call_function("getbit", F.col("_bits"), (F.col("_slot") % 64).cast("int")) == 1, F.lit(False))
+    return marked.select(*rows.columns, maybe.alias("_maybe"))
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts behind one another, and where each starts; null counts as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
