@@ -19,11 +19,12 @@ match:
   surroundings are the bytes themselves fetched, once for each kind, and their suffixes sorted.
 * Whole copies of texts are found by their hash before, and repeats within one text inside the task,
   so that neither multiplies rows. Anchors of more than HOT_RUNS runs, found on a sample, are not
-  sorted in one task but compared window by window, by adding up the first place of each; the sample
-  chooses between two ways to the same result.
+  sorted in one task: equal runs are found by adding up the first of each kind, and the kinds are
+  halved into runs with longer anchors until none is so frequent. The sample chooses between two ways
+  to the same result.
 
 Runs are compared by two 64-bit hashes with keys of their own (128 bits together), suffixes by their
-bytes, windows of hot anchors by two 64-bit hashes.
+bytes.
 
 Defined results: null and empty texts have no bytes and lose none. Rows with equal doc_id and equal
 text are one document and return the same. Rows with equal doc_id and different texts follow one
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +91,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchored_runs(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: text, anchor's hash, hash of the run's bytes, first window, windows."""
+    """Runs of windows with one anchor: text, anchor's hash, hash of the run's bytes, first window, windows, anchor's place in the run."""
     found = []
     for c in range(0, max(0, len(data) - length + 1), _CHUNK):
         piece = data[c : c + _CHUNK + length - 1]
@@ -115,9 +117,9 @@ def anchored_runs(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, gr
         sums = np.concatenate([[np.uint64(0)], np.cumsum(value * power2[: len(piece)])])
         run = (sums[begin + windows + length - 1] - sums[begin]) * inverse2[begin]
         run = _mixed(_mixed(run + windows.astype(np.uint64)) + (anchor[first] - begin).astype(np.uint64))
-        found.append((text[first], grams[anchor[first]].view(np.int64), run.view(np.int64), begin + c - starts[text[first]], windows))
+        found.append((text[first], grams[anchor[first]].view(np.int64), run.view(np.int64), begin + c - starts[text[first]], windows, anchor[first] - begin))
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -186,6 +188,7 @@ def _ranges(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---- Spark ------------------------------------------------------------------------------------
 
 _KEY = ["doc_id", "version"]
+_SNIPPET = [*_KEY, "gram", "start", "windows", "bytes"]
 _RANGE = "doc_id long, version long, start int, windows int"
 
 
@@ -206,11 +209,11 @@ def _runs(texts: DataFrame) -> DataFrame:
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, gram, run, start, windows = anchored_runs(*flat_bytes(batch.column("text")))
+            text, gram, run, start, windows, anchor = anchored_runs(*flat_bytes(batch.column("text")))
             if not len(text):
                 continue
             order = np.lexsort((start, run, gram, text))
-            text, gram, run, start, windows = (x[order] for x in (text, gram, run, start, windows))
+            text, gram, run, start, windows, anchor = (x[order] for x in (text, gram, run, start, windows, anchor))
             again = np.zeros(len(text), bool)
             again[1:] = (text[1:] == text[:-1]) & (gram[1:] == gram[:-1]) & (run[1:] == run[:-1])
             first = ~again
@@ -220,15 +223,18 @@ def _runs(texts: DataFrame) -> DataFrame:
             places, counts = _ranges(places[order] + (rows[order] << 40))
             rows, places = places >> 40, places & ((1 << 40) - 1)
             none = np.zeros(len(rows), np.int64)
-            out = [np.concatenate(x) for x in ((text[first], rows), (gram[first], none), (run[first], none), (start[first], places), (windows[first], counts))]
+            out = [np.concatenate(x) for x in (
+                (text[first], rows), (gram[first], none), (run[first], none), (start[first], places), (windows[first], counts), (anchor[first], none))]
             empty = np.concatenate([np.zeros(int(first.sum()), bool), np.ones(len(rows), bool)])
             yield pa.RecordBatch.from_arrays(
                 [pc.take(batch.column("doc_id"), pa.array(out[0])), pc.take(batch.column("version"), pa.array(out[0])),
-                 pa.array(out[1], mask=empty), pa.array(out[2], mask=empty), pa.array(out[3].astype(np.int32)), pa.array(out[4].astype(np.int32))],
-                names=["doc_id", "version", "gram", "run", "start", "windows"],
+                 pa.array(out[1], mask=empty), pa.array(out[2], mask=empty), *[pa.array(x.astype(np.int32)) for x in out[3:]]],
+                names=["doc_id", "version", "gram", "run", "start", "windows", "anchor"],
             )
 
-    return texts.select("doc_id", "version", "text").mapInArrow(runs, "doc_id long, version long, gram long, run long, start int, windows int")
+    return texts.select("doc_id", "version", "text").mapInArrow(
+        runs, "doc_id long, version long, gram long, run long, start int, windows int, anchor int"
+    )
 
 
 def _filled(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -238,8 +244,8 @@ def _filled(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _snippets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted runs (doc_id, version, gram, start, windows)."""
-    per_text = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("gram", "start", "windows")).alias("runs"))
+    """The bytes of the wanted runs (doc_id, version, gram, start, windows, anchor, hot)."""
+    per_text = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("gram", "start", "windows", "anchor", "hot")).alias("runs"))
     found = sifted(texts, "version", wanted.select("version"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,12 +262,12 @@ def _snippets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 whose = pa.array(np.full(len(size), k))
                 yield pa.RecordBatch.from_arrays(
                     [pc.take(batch.column("doc_id"), whose), pc.take(batch.column("version"), whose), runs.field("gram"),
-                     runs.field("start"), runs.field("windows"), pieces.cast(pa.binary())],
-                    names=["doc_id", "version", "gram", "start", "windows", "bytes"],
+                     *[runs.field(c) for c in ("start", "windows", "anchor", "hot")], pieces.cast(pa.binary())],
+                    names=["doc_id", "version", "gram", "start", "windows", "anchor", "hot", "bytes"],
                 )
 
     return found.join(per_text, _same(found, per_text)).select(found["doc_id"], found["version"], "text", "runs").mapInArrow(
-        cut, "doc_id long, version long, gram long, start int, windows int, bytes binary"
+        cut, "doc_id long, version long, gram long, start int, windows int, anchor int, hot boolean, bytes binary"
     )
 
 
@@ -297,21 +303,56 @@ def _sorted_repeats(snippets: DataFrame, rows: int) -> DataFrame:
     return snippets.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("bucket").applyInArrow(repeats, _RANGE)
 
 
-def _hot_repeats(texts: DataFrame, hot: DataFrame) -> list[DataFrame]:
-    """Ranges of the runs of hot anchors: equal runs first, then the windows of one run of each kind."""
-    hot = staged(hot, "hot-runs")
-    first = hot.groupBy("gram", "run").agg(F.min(F.struct("doc_id", "version", "start", "windows")).alias("f")).select("gram", "f.*")
-    first = staged(first, "hot-first")
-    later = hot.join(first, _same(hot, first, "start"), "left_anti").select("doc_id", "version", "start", "windows")
-    snippets = staged(_snippets(texts, first), "hot-snippets")
-    place = F.explode(F.sequence(F.lit(0), F.col("windows") - 1))
-    piece = F.substring("bytes", F.col("k") + 1, F.lit(LENGTH))
-    windows = snippets.select("doc_id", "version", "start", "bytes", place.alias("k")).select(
-        "doc_id", "version", (F.col("start") + F.col("k")).alias("start"), F.xxhash64(piece).alias("h"), F.xxhash64(F.lit(1), piece).alias("h2")
-    )
-    firsts = windows.groupBy("h", "h2").agg(F.min(F.struct("doc_id", "version", "start")).alias("f")).select("f.*")
-    again = windows.join(firsts, _same(windows, firsts, "start"), "left_anti")
-    return [later, again.select("doc_id", "version", "start", F.lit(1).alias("windows"))]
+def _first_of_each(rows: DataFrame, kind: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The first row of each kind, and the ranges of all others, which repeat it as a whole."""
+    more = [c for c in rows.columns if c not in (*_KEY, "start", *kind)]
+    first = rows.groupBy(*kind).agg(F.min(F.struct(*_KEY, "start", *[c for c in more if c not in kind])).alias("f"))
+    first = staged(first.select(*kind, "f.*"), name)
+    # Found by place, which no two rows share, so a frequent kind is no frequent key here.
+    return first, rows.join(first, _same(rows, first, "start"), "left_anti").select(*_KEY, "start", "windows")
+
+
+def _halved(pieces: DataFrame) -> DataFrame:
+    """Each run in two, by whether a window holds the half of the missing bytes behind its core or more of those before it.
+
+    The core, ``size`` bytes at ``anchor``, is what all windows of a run hold. Each half has a longer
+    core, and its hash is the new key. After seven halvings a core is a whole window.
+    """
+    at, size, last = F.col("anchor"), F.col("size"), F.col("windows") - 1
+    behind = F.expr(f"({LENGTH} - size + 1) DIV 2").cast("int")
+    before = LENGTH - size - behind + 1
+    turn = at + size + behind - LENGTH  # the first window that holds the bytes behind
+    low, high = F.greatest(F.lit(0), turn), F.least(last, turn - 1)
+
+    def half(side: int, begin: Column, windows: Column, core: Column, length: Column) -> Column:
+        data = F.substring("bytes", begin + 1, windows + LENGTH - 1)
+        key = F.xxhash64(F.lit(side), F.substring(data, core + 1, length))
+        return F.struct(
+            key.alias("gram"), (F.col("start") + begin).cast("int").alias("start"), windows.cast("int").alias("windows"),
+            core.cast("int").alias("anchor"), length.cast("int").alias("size"), data.alias("bytes"),
+        )
+
+    halves = F.array_compact(F.array(
+        F.when(low <= last, half(1, low, last - low + 1, at - low, size + behind)),
+        F.when(high >= 0, half(0, F.lit(0), high + 1, at - before, size + before)),
+    ))
+    return pieces.select(*_KEY, F.explode(halves).alias("p")).select(*_KEY, "p.*").withColumns({
+        "h": F.xxhash64("bytes", "anchor", "size"), "h2": F.xxhash64(F.lit(1), F.col("anchor"), F.col("bytes"))
+    })
+
+
+def _parted(pieces: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Runs of hot anchors under longer keys, until no key has more than HOT_RUNS kinds; and ranges found on the way."""
+    done, ranges = [], []
+    while True:
+        first, later = _first_of_each(staged(_halved(pieces), "halves"), ["gram", "h", "h2"], "kinds")
+        ranges.append(later)
+        first = first.drop("h", "h2")
+        hot = hot_keys(first, "gram", HOT_RUNS)
+        if hot is None:
+            return reduce(DataFrame.unionByName, [*done, first]), ranges
+        cold, pieces = split_hot(first, hot, "gram")
+        done.append(cold)
 
 
 def _heads(documents: DataFrame) -> DataFrame:
@@ -346,7 +387,8 @@ def _repeated(documents: DataFrame, copies: DataFrame) -> DataFrame:
     hot = hot_keys(anchored, "gram", HOT_RUNS)
     if hot is not None:
         anchored, frequent = split_hot(anchored, hot, "gram")
-        parts += _hot_repeats(texts, frequent)
+        first, later = _first_of_each(staged(frequent, "hot-runs"), ["gram", "run"], "hot-first")
+        parts.append(later)
     same_gram = Window.partitionBy("gram")
     same_run = Window.partitionBy("gram", "run").orderBy(F.col("doc_id").asc_nulls_first(), "version", "start")
     shared = (
@@ -357,11 +399,17 @@ def _repeated(documents: DataFrame, copies: DataFrame) -> DataFrame:
     )
     shared = staged(shared, "shared")
     parts.append(shared.where("rank > 1").select("doc_id", "version", "start", "windows"))
-    wanted = shared.where("rank = 1 and differs")
-    parts.append(_sorted_repeats(_snippets(texts, wanted), wanted.count()))
-    ranges = parts[0]
-    for more in parts[1:]:
-        ranges = ranges.unionByName(more)
+    wanted = shared.where("rank = 1 and differs").select(*_KEY, "gram", "start", "windows", "anchor", F.lit(False).alias("hot"))
+    if hot is not None:
+        wanted = wanted.unionByName(first.select(*_KEY, "gram", "start", "windows", "anchor", F.lit(True).alias("hot")))
+    rows, snippets = wanted.count(), _snippets(texts, wanted)
+    if hot is not None:
+        snippets = staged(snippets, "snippets")
+        parted, found = _parted(snippets.where("hot").withColumn("size", F.lit(GRAM)))
+        parts += found
+        snippets = snippets.where("not hot").select(*_SNIPPET).unionByName(parted.select(*_SNIPPET))
+    parts.append(_sorted_repeats(snippets.select(*_SNIPPET), rows))
+    ranges = reduce(DataFrame.unionByName, parts)
     return staged(ranges.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "windows")).alias("ranges")), "ranges")
 
 

@@ -66,7 +66,7 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
     part = bytes(rng.randrange(97, 120) for _ in range(400))
     texts = [part, b"xy" + part[30:330] + b"tail" * 9, b"a" * 900, b"", b"short", part[100:250] + part[:180]]
     starts = np.cumsum([0] + [len(t) for t in texts])
-    text, gram, _, start, windows = rp.anchored_runs(np.frombuffer(b"".join(texts), np.uint8), starts)
+    text, gram, _, start, windows, anchor = rp.anchored_runs(np.frombuffer(b"".join(texts), np.uint8), starts)
     anchors: dict = {}
     seen = set()
     for t, g, s, n in zip(text.tolist(), gram.tolist(), start.tolist(), windows.tolist()):
@@ -74,6 +74,8 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
             assert (t, k) not in seen
             seen.add((t, k))
             anchors.setdefault(texts[t][k : k + 100], set()).add(g)
+    for t, s, n, a in zip(text.tolist(), start.tolist(), windows.tolist(), anchor.tolist()):
+        assert n - 1 <= a <= 100 - 32  # all windows of a run hold the anchor
     assert seen == {(t, k) for t, x in enumerate(texts) for k in range(len(x) - 99)}
     assert all(len(g) == 1 for g in anchors.values())
 
