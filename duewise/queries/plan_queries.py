@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from duewise import fixed_values as V
-from duewise.operators import allocation, views
+from duewise.operators import allocation, hull, views
 from duewise.queries.shared import PORTFOLIO, portfolio, staged, tidy, tidy_sql, with_ctes
 
 BUDGET = 500_000
 TIGHT = {"budget": 300_000, "capacity": 600, "channel_limits": {"automatico": 200, "llamada": 150}, "per_customer": 1}
 CAPACITY = 120
+SMALL = {"budget": 60_000, "capacity": 80, "channel_limits": {"automatico": 30, "llamada": 40}, "per_customer": None}
 _KEY = ("customer_id", "credit_id")
 _TOTALS = {"cumulative_cost": 2, "cumulative_recovery": 1, "cumulative_net": 1}
 _PLAN = (*_KEY, "action", "channel", "action_cost", "expected_net_value", "contact_order", "cumulative_cost",
@@ -87,6 +89,38 @@ def _best_assignment(spark, folder):
     return tidy(plan.rows.select("customer_id", "action", "expected_net_value"), expected_net_value=6)
 
 
+def _exact(spark, folder):
+    """The best value under all shared limits, proven: nothing is left between plan and bound."""
+    plan = allocation.plan_optimised(portfolio(spark, folder), gap=0.0, **SMALL)
+    s = plan.summary
+    proven = s["upper_bound"] - s["expected_net_value"] <= 1e-6 * s["expected_net_value"]
+    return tidy(spark.createDataFrame([(s["budget"], s["expected_net_value"], bool(proven))], "budget double, expected_net_value double, proven boolean"),
+                expected_net_value=1)
+
+
+def _action_rows(spark, folder):
+    """Feasible actions as rows of whom, id, cost and value."""
+    rows = allocation.plan_candidates(_action_table(spark, folder), entity=["customer_id"])
+    number = F.dense_rank().over(Window.partitionBy("customer_id").orderBy("credit_id", "action_cost"))
+    return rows.select(F.col("entity_key").alias("who"), number.cast("long").alias("id"), "action_cost", "expected_net_value")
+
+
+def _hull_rows(spark, folder):
+    steps = hull.hull_steps(staged(_action_rows(spark, folder), "actions"))
+    return tidy(steps.select(F.col("who").cast("long").alias("customer_id"), "step", "cost", "value", "efficiency"), value=6, efficiency=9)
+
+
+def _lp_optimum(spark, folder):
+    """The best fractional assignment, the whole steps of it, and the step between the two."""
+    found = hull.merge_steps(hull.hull_steps(staged(_action_rows(spark, folder), "actions")), BUDGET)
+    whole = allocation.plan_action_assignment(_action_table(spark, folder), budget=BUDGET, entity=["customer_id"])
+    s = whole.summary
+    within = found.bound - s["expected_net_value"] <= found.step_value + 1e-6 and s["cost_used"] <= BUDGET + 1e-6
+    rows = [("fractional optimum", found.bound), ("whole steps", found.value), ("price", found.price), ("next step", found.step_value),
+            ("within a step", float(within))]
+    return tidy(spark.createDataFrame(rows, "figure string, value double"), value=4)
+
+
 def _tight(spark, folder):
     """Whether the optimised plan keeps each limit, beats greedy, and lies below its own bound."""
     rows = portfolio(spark, folder)
@@ -116,6 +150,9 @@ QUERIES = {
     "plan_optimised_capacity": _best_by_capacity,
     "plan_action_assignment_free": _best_assignment,
     "plan_optimised_limits": _tight,
+    "plan_optimised_exact": _exact,
+    "plan_action_hull": _hull_rows,
+    "plan_action_lp": _lp_optimum,
     "plan_compare_greedy": _compare_greedy,
     "plan_candidates": lambda s, d: allocation.plan_candidates(portfolio(s, d), 1000.0).select(
         *_KEY, "channel", "roi", "entity_key", "expected_net_value"),
@@ -171,6 +208,19 @@ def _recursive(ctes: str, body: str) -> str:
     return f"WITH RECURSIVE {ctes} {body}"
 
 
+_OFFERS = PORTFOLIO + """,
+    offers AS (
+        SELECT customer_id, credit_id, a.cost, expected_recovery * a.effect - a.cost AS value
+        FROM portfolio, (VALUES (250.0::DOUBLE, 0.6::DOUBLE), (1200.0, 0.9), (5000.0, 1.0)) a(cost, effect)),
+    pt AS (SELECT customer_id, cost, max(value) AS value FROM offers WHERE value > 0 GROUP BY ALL),
+    p0 AS (SELECT * FROM pt UNION ALL SELECT DISTINCT customer_id, 0, 0 FROM pt),
+    -- on the hull: reached more steeply from every cheaper point than left for any dearer one, and worth more than nothing
+    hull AS (SELECT p.* FROM pt p WHERE
+        (SELECT min((p.value - q.value) / (p.cost - q.cost)) FROM p0 q WHERE q.customer_id = p.customer_id AND q.cost < p.cost) >
+        greatest(0, coalesce((SELECT max((q.value - p.value) / (q.cost - p.cost)) FROM p0 q WHERE q.customer_id = p.customer_id AND q.cost > p.cost), 0))),
+    steps AS (SELECT customer_id, row_number() OVER w::INT AS step, cost, value, cost - coalesce(lag(cost) OVER w, 0) AS extra_cost,
+                     value - coalesce(lag(value) OVER w, 0) AS extra_value, extra_value / extra_cost AS efficiency
+              FROM hull WINDOW w AS (PARTITION BY customer_id ORDER BY cost))"""
 _P = ", ".join(_PLAN)
 _TIGHT_CTES = _greedy_ctes(300000, 600, {"automatico": 200, "llamada": 150})
 CHECKS = {
@@ -194,6 +244,27 @@ CHECKS = {
     "plan_optimised_limits": """
         SELECT unnest(['budget', 'capacity', 'channel automatico', 'channel llamada', 'customer', 'not below greedy', 'bound']) AS limit,
                true AS kept""".replace("AS limit", 'AS "limit"'),
+    # Costs follow from the action, so the best plan takes the most valuable rows of each cost level: all numbers are tried.
+    "plan_optimised_exact": tidy_sql(with_ctes(_CAND.format(floor=0, where="") + """,
+        r AS (SELECT action_cost, row_number() OVER w AS k, sum(expected_net_value) OVER w AS v FROM cand
+              WINDOW w AS (PARTITION BY action_cost ORDER BY expected_net_value DESC ROWS UNBOUNDED PRECEDING)),
+        n AS (SELECT action_cost, k, v FROM r UNION ALL SELECT DISTINCT action_cost, 0, 0 FROM r),
+        a AS (SELECT x.k + y.k AS k, 150 * x.k + 250 * y.k AS cost, x.v + y.v AS v FROM n x, n y
+              WHERE x.action_cost = 150 AND y.action_cost = 250 AND x.k + y.k <= 30),
+        l AS (SELECT x.k + y.k AS k, 1200 * x.k + 1300 * y.k AS cost, x.v + y.v AS v FROM n x, n y
+              WHERE x.action_cost = 1200 AND y.action_cost = 1300 AND x.k + y.k <= 40),
+        b AS (SELECT a.v + l.v AS v, least((60000 - a.cost - l.cost) // 5000, 80 - a.k - l.k) AS room FROM a, l
+              WHERE a.cost + l.cost <= 60000 AND a.k + l.k <= 80)""", """
+        SELECT 60000.0::DOUBLE AS budget, max(b.v + n.v) AS expected_net_value, true AS proven FROM b JOIN n ON n.action_cost = 5000 AND n.k <= b.room"""),
+        expected_net_value=1),
+    "plan_action_hull": tidy_sql(with_ctes(_OFFERS, "SELECT customer_id, step, cost, value, efficiency FROM steps"), value=6, efficiency=9),
+    "plan_action_lp": tidy_sql(with_ctes(_OFFERS + f""",
+        o AS (SELECT *, sum(extra_cost) OVER w AS c, sum(extra_value) OVER w AS v FROM steps
+              WINDOW w AS (ORDER BY efficiency DESC, customer_id::VARCHAR, step ROWS UNBOUNDED PRECEDING)),
+        e AS (SELECT * FROM o WHERE c > {BUDGET} + 1e-9 ORDER BY c LIMIT 1)""", f"""
+        SELECT 'fractional optimum' AS figure, v - extra_value + efficiency * ({BUDGET} - c + extra_cost) AS value FROM e
+        UNION ALL SELECT 'whole steps', v - extra_value FROM e UNION ALL SELECT 'price', efficiency FROM e
+        UNION ALL SELECT 'next step', extra_value FROM e UNION ALL SELECT 'within a step', 1.0 FROM e"""), value=4),
     "plan_compare_greedy": tidy_sql(_recursive(_greedy_ctes(BUDGET), """
         SELECT 'greedy' AS method, count(*) AS contacts, sum(action_cost) AS cost_used, sum(expected_recovery) AS expected_recovery,
                sum(expected_net_value) AS expected_net_value FROM plan"""), cost_used=2, expected_recovery=1, expected_net_value=1),
