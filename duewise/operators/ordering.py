@@ -95,7 +95,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | N
     if not few:
         return None
     if len(few) <= LISTED_KEYS:
-        return df.sparkSession.createDataFrame(few, keys.schema)
+        return F.broadcast(df.sparkSession.createDataFrame(few, keys.schema))  # LISTED_KEYS rows at most
     return staged(keys, "hot")
 
 
