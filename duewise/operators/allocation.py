@@ -31,8 +31,8 @@ GAP = 0.001  # a plan this near its bound, in parts of its value, ends the searc
 SEARCH_PASSES = 7  # passes over the rows before a plan is made, and again before each further one
 MOST_PLANS = 4
 POINTS = 12  # sets of prices tried per pass
-CORE_ROWS = 2_000  # rows that are branched on at most, and as many small rows reach the driver
-NODES = 1_500
+CORE_ROWS = 1_000  # rows that are branched on at most, and as many small rows reach the driver
+NODES = 300  # looked at per round
 
 
 @dataclass(frozen=True)

@@ -74,16 +74,22 @@ class Branching:
         self.unit = np.where(spread > 0, spread, 1.0)
         self.slack = TOLERANCE * np.maximum(1.0, np.abs(core.limit))
 
+    def _places(self, rows: np.ndarray) -> np.ndarray:
+        """How many of the rows before it each row's customer has."""
+        order = np.argsort(self.core.customer[rows], kind="stable")
+        who = self.core.customer[rows[order]]
+        first = np.flatnonzero(np.diff(who, prepend=-1) != 0)
+        out = np.empty(len(rows), np.int64)
+        out[order] = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))
+        return out
+
     def _picked(self, reduced: np.ndarray, fixed: np.ndarray) -> np.ndarray:
         """The priced choice: rows fixed in, and each customer's best others as far as there is room."""
         core, picked = self.core, fixed == 1
         room = core.room - np.bincount(core.customer[picked], minlength=len(core.room))
         free = np.flatnonzero((fixed < 0) & (reduced > 0))
-        order = free[np.lexsort((-reduced[free], core.customer[free]))]
-        who = core.customer[order]
-        first = np.flatnonzero(np.diff(who, prepend=-1) != 0)
-        place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-        picked[order[place < room[who]]] = True
+        free = free[np.argsort(-reduced[free], kind="stable")]
+        picked[free[self._places(free) < room[core.customer[free]]]] = True
         return picked
 
     def _bound(self, prices: np.ndarray, fixed: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -92,19 +98,26 @@ class Branching:
         return float(reduced[picked].sum() + prices @ self.core.limit), picked, reduced
 
     def _feasible(self, reduced: np.ndarray, fixed: np.ndarray) -> None:
-        """Fill up in the order of reduced values, and keep what is better than all before."""
-        core = self.core
-        order = np.argsort(-reduced, kind="stable")
-        chosen = fixed == 1
+        """Fill up in the order of reduced values, and keep what is better than all before.
+
+        Rows are taken by stretches: the longest beginning of the rows in question that fits together.
+        """
+        core, chosen = self.core, fixed == 1
         left = core.limit + self.slack - core.uses[chosen].sum(axis=0)
         room = core.room - np.bincount(core.customer[chosen], minlength=len(core.room))
+        rows = np.flatnonzero((fixed < 0) & (core.value > 0))
+        rows = rows[np.argsort(-reduced[rows], kind="stable")]
+        while True:
+            rows = rows[(core.uses[rows] <= left).all(axis=1) & (room[core.customer[rows]] > 0)]
+            if not len(rows):
+                break
+            fits = (np.cumsum(core.uses[rows], axis=0) <= left).all(axis=1) & (self._places(rows) < room[core.customer[rows]])
+            stop = len(rows) if fits.all() else int(np.argmin(fits))
+            taken, rows = rows[:stop], rows[stop:]
+            chosen[taken] = True
+            left = left - core.uses[taken].sum(axis=0)
+            room = room - np.bincount(core.customer[taken], minlength=len(room))
         value = core.value[chosen].sum()
-        for i in order[(fixed[order] < 0) & (core.value[order] > 0)]:
-            if room[core.customer[i]] > 0 and (core.uses[i] <= left).all():
-                chosen[i] = True
-                left = left - core.uses[i]
-                room[core.customer[i]] -= 1
-                value += core.value[i]
         if value > self.value:
             self.value, self.chosen = float(value), chosen
 

@@ -12,7 +12,7 @@ from duewise.queries.shared import PORTFOLIO, portfolio, staged, tidy, tidy_sql,
 BUDGET = 500_000
 TIGHT = {"budget": 300_000, "capacity": 600, "channel_limits": {"automatico": 200, "llamada": 150}, "per_customer": 1}
 CAPACITY = 120
-SMALL = {"budget": 60_000, "capacity": 80, "channel_limits": {"automatico": 30, "llamada": 40}, "per_customer": None}
+SMALL = {"budget": 106_000, "capacity": 80, "channel_limits": {"automatico": 30, "llamada": 40}, "per_customer": None}
 _KEY = ("customer_id", "credit_id")
 _TOTALS = {"cumulative_cost": 2, "cumulative_recovery": 1, "cumulative_net": 1}
 _PLAN = (*_KEY, "action", "channel", "action_cost", "expected_net_value", "contact_order", "cumulative_cost",
@@ -253,9 +253,9 @@ CHECKS = {
               WHERE x.action_cost = 150 AND y.action_cost = 250 AND x.k + y.k <= 30),
         l AS (SELECT x.k + y.k AS k, 1200 * x.k + 1300 * y.k AS cost, x.v + y.v AS v FROM n x, n y
               WHERE x.action_cost = 1200 AND y.action_cost = 1300 AND x.k + y.k <= 40),
-        b AS (SELECT a.v + l.v AS v, least((60000 - a.cost - l.cost) // 5000, 80 - a.k - l.k) AS room FROM a, l
-              WHERE a.cost + l.cost <= 60000 AND a.k + l.k <= 80)""", """
-        SELECT 60000.0::DOUBLE AS budget, max(b.v + n.v) AS expected_net_value, true AS proven FROM b JOIN n ON n.action_cost = 5000 AND n.k <= b.room"""),
+        b AS (SELECT a.v + l.v AS v, least((106000 - a.cost - l.cost) // 5000, 80 - a.k - l.k) AS room FROM a, l
+              WHERE a.cost + l.cost <= 106000 AND a.k + l.k <= 80)""", """
+        SELECT 106000.0::DOUBLE AS budget, max(b.v + n.v) AS expected_net_value, true AS proven FROM b JOIN n ON n.action_cost = 5000 AND n.k <= b.room"""),
         expected_net_value=1),
     "plan_action_hull": tidy_sql(with_ctes(_OFFERS, "SELECT customer_id, step, cost, value, efficiency FROM steps"), value=6, efficiency=9),
     "plan_action_lp": tidy_sql(with_ctes(_OFFERS + f""",
