@@ -7,23 +7,23 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duewise import fixed_values as V
 from duewise.functions.expressions import amount_from_log, cap_by_debt, clip, log_amount, to_number
+from duewise.operators import boosting
 from duewise.operators import metrics as M
+from duewise.operators.boosting import TreeEnsemble
 from duewise.operators.ordering import running
 from duewise.session import staged
 
 FREQUENT = 20  # rows from which the baseline knows a level by name
 SPLITS = ("train", "validation", "calibration", "test")
+TREES, DEPTH = 1_000, 6  # at most; 2 ** 6 leaves
 
 
 def group_split(
@@ -52,9 +52,9 @@ class CollectionsModel:
     """Fitted stages and what is needed to score with them."""
 
     features: PipelineModel
-    classifier: object
-    calibrator: object | None
-    regressor: object
+    classifier: TreeEnsemble
+    calibrator: PlattCurve | None
+    regressor: TreeEnsemble
     numeric: list[str]
     categorical: list[str]
     metrics: dict = field(default_factory=dict)
@@ -90,63 +90,101 @@ def model_inputs(df: DataFrame, numeric: list[str], categorical: list[str]) -> D
     return _numbers(with_missing_level(df, categorical), numeric)
 
 
-def train_cure_model(train: DataFrame, validation: DataFrame, iterations: int, depth: int, seed: int):
-    """Boosted trees with balanced classes; stops early when the validation loss no longer falls."""
+def train_cure_model(
+    train: DataFrame, validation: DataFrame, iterations: int = TREES, depth: int = DEPTH, seed: int = 42, rate: float = boosting.RATE
+) -> TreeEnsemble:
+    """Boosted trees with balanced classes, cut where the validation AUC no longer rises for 50 trees."""
     counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if len(counts) < 2:
         raise ValueError("the class target has a single class")
     total = sum(counts.values())
     weight = F.when(F.col("label") == 1, total / (2.0 * counts[1])).otherwise(total / (2.0 * counts[0]))
-    rows = train.withColumn("_holdout", F.lit(False)).unionByName(validation.withColumn("_holdout", F.lit(True)))
-    return GBTClassifier(
-        featuresCol="features", labelCol="label", weightCol="_weight", validationIndicatorCol="_holdout",
-        maxIter=iterations, maxDepth=depth, stepSize=0.1, subsamplingRate=0.85, maxBins=128, seed=seed,
-    ).fit(rows.withColumn("_weight", weight))
+    return boosting.boost_classifier(train.withColumn("_weight", weight), validation, iterations, depth, seed, rate)
 
 
-def train_amount_model(train: DataFrame, validation: DataFrame, iterations: int, depth: int, seed: int):
-    """Boosted trees for log1p of the amount, absolute loss, on cured rows with a payment."""
+def train_amount_model(
+    train: DataFrame, validation: DataFrame, iterations: int = TREES, depth: int = DEPTH, seed: int = 42, rate: float = boosting.RATE
+) -> tuple[TreeEnsemble, int, int]:
+    """Boosted trees for log1p of the amount, absolute loss, on cured rows with a payment.
+
+    Leaves hold the exact medians of their residuals. With ten such validation rows or more, growth
+    stops 50 trees after the least absolute error on them.
+    """
     paid = (F.col("label") == 1) & (F.col("amount") > 0)
     rows = train.where(paid)
     n, n_validation = rows.count(), validation.where(paid).count()
     if n < 30:
         raise ValueError(f"only {n} rows with a recovered amount to learn from; 30 are needed")
-    settings = dict(
-        featuresCol="features", labelCol="_log_amount", lossType="absolute", maxIter=iterations, maxDepth=depth,
-        stepSize=0.1, subsamplingRate=0.85, maxBins=128, seed=seed,
-    )
-    rows = rows.withColumn("_holdout", F.lit(False))
-    if n_validation >= 10:
-        rows = rows.unionByName(validation.where(paid).withColumn("_holdout", F.lit(True)))
-        settings["validationIndicatorCol"] = "_holdout"
-    return GBTRegressor(**settings).fit(rows.withColumn("_log_amount", log_amount(F.col("amount")))), n, n_validation
+    logged = [d.where(paid).select("features", log_amount(F.col("amount")).alias("_log_amount")) for d in (train, validation)]
+    model = boosting.boost_absolute(logged[0], logged[1] if n_validation >= 10 else None, "_log_amount", iterations, depth, seed, rate)
+    return model, n, n_validation
 
 
-def _raw_probability(classifier, df: DataFrame) -> DataFrame:
-    out = classifier.transform(df).withColumn("p_cure_raw", vector_to_array("probability")[1])
-    return out.drop("rawPrediction", "probability", "prediction")
+def _raw_probability(classifier: TreeEnsemble, df: DataFrame) -> DataFrame:
+    return df.withColumn("p_cure_raw", boosting.probability(classifier))
 
 
-def calibrate(rows: DataFrame):
-    """Platt scaling: a ridge logistic regression of the label on the raw probability.
+@dataclass(frozen=True)
+class PlattCurve:
+    """p = 1 / (1 + exp(-(slope * raw + shift)))"""
+
+    slope: float
+    shift: float
 
-    None when only one class is present. ``regParam`` is 1/n because the loss is a mean here.
-    """
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("classes")).first()
-    if stats["classes"] < 2:
-        return None
-    inputs = VectorAssembler(inputCols=["p_cure_raw"], outputCol="_p").transform(rows.select("p_cure_raw", "label"))
-    return LogisticRegression(
-        featuresCol="_p", labelCol="label", regParam=1.0 / stats["n"], elasticNetParam=0.0, standardization=False, maxIter=1000
-    ).fit(inputs)
 
+NEWTON_STEPS = 50
+GRADIENT = 1e-8  # per row, at which the curve counts as found
 
-def _calibrated(df: DataFrame, calibrator) -> DataFrame:
+
+def platt_gradient(rows: DataFrame, slope: float, shift: float) -> dict:
+    """Loss, gradient and second derivatives of the ridge loss (half the squared slope added), from one aggregate."""
+    raw = F.col("p_cure_raw")
+    margin = raw * slope + shift
+    p = 1.0 / (1.0 + F.exp(-margin))
+    label = F.col("label").cast("double")
+    loss = F.greatest(margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin))) - label * margin
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(loss).alias("loss"), F.sum((p - label) * raw).alias("g_slope"), F.sum(p - label).alias("g_shift"),
+        F.sum(p * (1 - p) * raw * raw).alias("h_slope"), F.sum(p * (1 - p) * raw).alias("h_both"), F.sum(p * (1 - p)).alias("h_shift"),
+    ).first().asDict()
+    sums["loss"] += slope * slope / 2
+    sums["g_slope"] += slope
+    sums["h_slope"] += 1.0
+    return sums
+
+
+def calibrate(rows: DataFrame) -> PlattCurve | None:
+    """Platt scaling: a ridge logistic regression (C = 1, shift free) of the label on the raw probability.
+
+    Newton steps, each from one aggregate over the rows; a step that would raise the loss is halved.
+    None when only one class is present.
+    """
+    if rows.select("label").distinct().limit(2).count() < 2:
+        return None
+    slope = shift = 0.0
+    now = platt_gradient(rows, slope, shift)
+    for _ in range(NEWTON_STEPS):
+        if max(abs(now["g_slope"]), abs(now["g_shift"])) <= GRADIENT * now["n"] and max(abs(now["g_slope"]), abs(now["g_shift"])) < 1e-7:
+            break
+        spread = now["h_slope"] * now["h_shift"] - now["h_both"] ** 2
+        by_slope = (now["h_shift"] * now["g_slope"] - now["h_both"] * now["g_shift"]) / spread
+        by_shift = (now["h_slope"] * now["g_shift"] - now["h_both"] * now["g_slope"]) / spread
+        part = 1.0
+        tried = platt_gradient(rows, slope - by_slope, shift - by_shift)
+        while tried["loss"] > now["loss"] + 1e-9 * abs(now["loss"]) and part > 1e-6:
+            part /= 2
+            tried = platt_gradient(rows, slope - part * by_slope, shift - part * by_shift)
+        moved = part * max(abs(by_slope), abs(by_shift))
+        slope, shift, now = slope - part * by_slope, shift - part * by_shift, tried
+        if moved < 1e-13 * max(1.0, abs(slope), abs(shift)):
+            break
+    return PlattCurve(slope, shift)
+
+
+def _calibrated(df: DataFrame, calibrator: PlattCurve | None) -> DataFrame:
     if calibrator is None:
         return df.withColumn("p_cure", clip(F.col("p_cure_raw"), 0.0, 1.0))
-    # One coefficient: applied as an expression, so scoring needs no second transform.
-    slope, shift = float(calibrator.coefficients[0]), float(calibrator.intercept)
-    return df.withColumn("p_cure", 1.0 / (1.0 + F.exp(-(F.col("p_cure_raw") * slope + shift))))
+    return df.withColumn("p_cure", 1.0 / (1.0 + F.exp(-(F.col("p_cure_raw") * calibrator.slope + calibrator.shift))))
 
 
 def baseline_model(train: DataFrame, test: DataFrame, numeric: list[str], categorical: list[str], seed: int = 42) -> DataFrame:
@@ -186,8 +224,8 @@ def baseline_model(train: DataFrame, test: DataFrame, numeric: list[str], catego
 
 
 def train_hurdle(
-    df: DataFrame, numeric: list[str], categorical: list[str], iterations: int = 40, depth: int = 5, seed: int = 42,
-    baseline: bool = True,
+    df: DataFrame, numeric: list[str], categorical: list[str], iterations: int = TREES, depth: int = DEPTH, seed: int = 42,
+    baseline: bool = True, rate: float = boosting.RATE, amount_iterations: int | None = None,
 ) -> CollectionsModel:
     """Split by customer, fit both parts, calibrate, and measure on the untouched test customers."""
     numeric = [c for c in dict.fromkeys(numeric) if c in df.columns]
@@ -205,9 +243,11 @@ def train_hurdle(
     ready = staged(features.transform(model_inputs(data, numeric, categorical)).select(*data.columns, "features"), "vectors")
     vectors = {name: ready.where(F.col("split") == name) for name in SPLITS}
 
-    classifier = train_cure_model(vectors["train"], vectors["validation"], iterations, depth, seed)
-    regressor, n_paid, n_paid_validation = train_amount_model(vectors["train"], vectors["validation"], iterations, depth, seed)
-    calibrator = calibrate(_raw_probability(classifier, vectors["calibration"]))
+    classifier = train_cure_model(vectors["train"], vectors["validation"], iterations, depth, seed, rate)
+    regressor, n_paid, n_paid_validation = train_amount_model(
+        vectors["train"], vectors["validation"], amount_iterations or iterations, depth, seed, rate)
+    # Read by every Newton step, so the trees are applied once.
+    calibrator = calibrate(staged(_raw_probability(classifier, vectors["calibration"]).select("p_cure_raw", "label"), "raw"))
 
     model = CollectionsModel(features, classifier, calibrator, regressor, numeric, categorical)
     test = staged(_scored(vectors["test"], model), "test")
@@ -249,7 +289,7 @@ def _measure(data: DataFrame, test: DataFrame, model: CollectionsModel, n_paid:
         "model_type": "boosted trees: calibrated probability of cure and conditional amount",
         "split_strategy": "whole customers by seeded hash",
         "n_positive_amount_train": n_paid, "n_positive_amount_validation": n_paid_validation,
-        "classifier_trees": model.classifier.getNumTrees, "regressor_trees": model.regressor.getNumTrees,
+        "classifier_trees": model.classifier.size, "regressor_trees": model.regressor.size,
     }
     for r in M.split_profile(data).collect():
         out[f"n_rows_{r['split']}"], out[f"target_rate_{r['split']}"] = r["rows"], r["target_rate"]
@@ -268,7 +308,7 @@ def _measure(data: DataFrame, test: DataFrame, model: CollectionsModel, n_paid:
 
 def _scored(ready: DataFrame, model: CollectionsModel) -> DataFrame:
     out = _calibrated(_raw_probability(model.classifier, ready), model.calibrator)
-    out = model.regressor.transform(out).withColumn("amount_pred", amount_from_log(F.col("prediction"))).drop("prediction")
+    out = out.withColumn("amount_pred", amount_from_log(boosting.score(model.regressor)))
     capped = cap_by_debt(F.col("amount_pred"), F.col("amount_due")) if "amount_due" in out.columns else F.col("amount_pred")
     out = out.withColumn("amount_pred_capped", capped)
     return out.withColumn("expected_recovery_model", F.col("p_cure") * F.col("amount_pred_capped"))
@@ -285,13 +325,12 @@ def score_events(df: DataFrame, model: CollectionsModel) -> DataFrame:
 
 def save_model(model: CollectionsModel, folder: str, spark) -> None:
     model.features.write().overwrite().save(f"{folder}/features")
-    model.classifier.write().overwrite().save(f"{folder}/classifier")
-    model.regressor.write().overwrite().save(f"{folder}/regressor")
-    if model.calibrator is not None:
-        model.calibrator.write().overwrite().save(f"{folder}/calibrator")
+    boosting.save_ensemble(model.classifier, f"{folder}/classifier", spark)
+    boosting.save_ensemble(model.regressor, f"{folder}/regressor", spark)
+    curve = model.calibrator
     meta = json.dumps({
         "numeric": model.numeric, "categorical": model.categorical, "metrics": model.metrics,
-        "has_calibrator": model.calibrator is not None, "amount_is_log": True,
+        "calibrator": None if curve is None else {"slope": curve.slope, "shift": curve.shift}, "amount_is_log": True,
     })
     spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/metadata")
 
@@ -299,7 +338,7 @@ def save_model(model: CollectionsModel, folder: str, spark) -> None:
 def load_model(folder: str, spark) -> CollectionsModel:
     meta = json.loads(spark.read.text(f"{folder}/metadata").first()[0])
     return CollectionsModel(
-        PipelineModel.load(f"{folder}/features"), GBTClassificationModel.load(f"{folder}/classifier"),
-        LogisticRegressionModel.load(f"{folder}/calibrator") if meta["has_calibrator"] else None,
-        GBTRegressionModel.load(f"{folder}/regressor"), meta["numeric"], meta["categorical"], meta["metrics"],
+        PipelineModel.load(f"{folder}/features"), boosting.load_ensemble(f"{folder}/classifier", spark),
+        None if meta["calibrator"] is None else PlattCurve(**meta["calibrator"]),
+        boosting.load_ensemble(f"{folder}/regressor", spark), meta["numeric"], meta["categorical"], meta["metrics"],
     )

@@ -11,8 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duewise.operators.ordering import running
+from duewise.session import staged
 
 ACCURACY = 10_000  # the approximate pass is off by at most rows / ACCURACY ranks
 LISTED_VALUES = 20_000  # distinct bracketed values that may reach the driver; more are ranked by partitions
@@ -54,6 +56,78 @@ def exact_quantiles(
     return {n: _ranked(_placed(frame, n, [_Zone(-math.inf, math.inf)]), probabilities[n]) for n in columns}
 
 
+def grouped_quantiles(
+    df: DataFrame, by: str, value: str, probabilities: list[float], listed_values: int = LISTED_VALUES
+) -> DataFrame:
+    """``by``, probability, value: exact quantiles of each group, a null group included.
+
+    As for whole columns: an approximate pass brackets the wanted ranks of every group, a second one
+    counts each group's rows between brackets and its distinct values within them, in one shuffle that
+    adds up inside tasks. No group is gathered. Where the listed values are few they are read off on the
+    driver, else ranked by range partitioning; both give the same. Groups without a value are left out.
+    """
+    spark = df.sparkSession
+    frame = df.select(F.col(by), present_number(F.col(value).cast("double")).alias("_v")).where(F.col("_v").isNotNull())
+    kind = df.schema[by].dataType
+    wanted = sorted(set(probabilities))
+    for widening in (*WIDENINGS, None):
+        counts = _group_counts(frame, by, wanted, widening)
+        found = counts.limit(listed_values + 1).collect()
+        try:
+            if len(found) <= listed_values:
+                steps: dict = {}
+                for r in found:
+                    steps.setdefault(r[by], []).append((r["zone"], r["value"], r["n"]))
+                rows = [
+                    (group, q, v) for group, mine in steps.items()
+                    for q, v in _read_off(sorted(mine, key=lambda s: (s[0], s[1] or 0.0)), wanted).items()
+                ]
+                schema = T.StructType([T.StructField(by, kind), T.StructField("probability", T.DoubleType()), T.StructField("value", T.DoubleType())])
+                return spark.createDataFrame(rows, schema)
+            return _grouped_ranks(staged(counts, "group-counts"), by, wanted)
+        except BracketMissed:
+            continue
+    raise BracketMissed(value)
+
+
+def _group_counts(frame: DataFrame, by: str, probabilities: list[float], widening: int | None) -> DataFrame:
+    """Rows per group, zone and listed value. Without ``widening`` every value is listed."""
+    if widening is None:
+        return frame.groupBy(by, F.lit(1).alias("zone"), F.col("_v").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    edges = [min(1.0, max(0.0, q + side * widening * 3.0 / ACCURACY)) for q in probabilities for side in (-1, 1)]
+    brackets = frame.groupBy(F.col(by).alias("_by")).agg(F.percentile_approx("_v", edges, ACCURACY).alias("_edges"))
+    inside, zone = F.lit(False), F.lit(0)
+    for k in range(len(probabilities)):
+        low, high = F.col("_edges")[2 * k], F.col("_edges")[2 * k + 1]
+        inside = inside | F.col("_v").between(low, high)
+        zone = zone + (F.col("_v") > high).cast("int")
+    # Values of overlapping brackets are listed once; zones rise with the values.
+    placed = frame.join(brackets, F.col(by).eqNullSafe(F.col("_by"))).select(
+        by, F.when(inside, F.col("_v")).alias("value"), (2 * zone + inside.cast("int")).alias("zone")
+    )
+    return placed.groupBy(by, "zone", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _grouped_ranks(counts: DataFrame, by: str, probabilities: list[float]) -> DataFrame:
+    ranked = staged(running(counts, [F.col("zone"), F.col("value")], by=[by], sums={"upto": F.col("n")}), "group-ranks")
+    totals = ranked.groupBy(F.col(by).alias("_by")).agg(F.max("upto").alias("total"))
+    spots = F.explode(F.array(*[F.struct(F.lit(q).alias("probability"), (F.lit(q) * (F.col("total") - 1)).alias("spot")) for q in probabilities]))
+    wanted = totals.select("_by", spots.alias("s")).select("_by", "s.*")
+    below, above = F.floor("spot"), F.ceil("spot")
+    # Each wanted rank lies in one row of its group.
+    hit = ranked.join(wanted, F.col(by).eqNullSafe(F.col("_by"))).where(
+        ((below < F.col("upto")) & (below >= F.col("upto") - F.col("n"))) | ((above < F.col("upto")) & (above >= F.col("upto") - F.col("n")))
+    )
+    low = F.max(F.when((below < F.col("upto")) & (below >= F.col("upto") - F.col("n")), F.col("value")))
+    high = F.max(F.when((above < F.col("upto")) & (above >= F.col("upto") - F.col("n")), F.col("value")))
+    part = F.max("spot") - F.floor(F.max("spot"))
+    out = hit.groupBy(by, "probability").agg(low.alias("low"), high.alias("high"), part.alias("part"))
+    if out.where(F.col("low").isNull() | F.col("high").isNull()).limit(1).count():
+        raise BracketMissed("a wanted rank fell outside its bracket")
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
+    return out.select(by, "probability", value.alias("value"))
+
+
 def present_number(value: Column) -> Column:
     """NaN counts as missing, and minus zero as zero."""
     return F.when(~F.isnan(value), value + F.lit(0.0))

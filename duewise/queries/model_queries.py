@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from duewise.functions.expressions import amount_from_log
-from duewise.operators import history, modelling, policy, targets
-from duewise.queries.shared import TGT, credit_table, enriched, scored, shape_ctes, staged, with_ctes
+from duewise.operators import boosting, history, modelling, policy, quantiles, targets
+from duewise.queries.shared import SCORED, TGT, credit_table, enriched, scored, shape_ctes, staged, tidy, tidy_sql, with_ctes
 from duewise.session import stage_dir
 
-# At most so many trees; fitting stops early where the validation split no longer gains.
-TREES, DEPTH = 100, 5
+# At most so many trees; the classifier is cut at its best validation AUC. Each tree of the amount
+# model is grown, and its leaf medians found, by jobs of its own, so the queries grow few.
+TREES, AMOUNT_TREES, DEPTH = 100, 16, 5
 
 
 def _features(df):
@@ -24,7 +26,8 @@ def _features(df):
 def _trained(spark, folder, baseline=False):
     data = enriched(spark, folder).drop("p_cure", "amount_pred")
     numeric, text = _features(data)
-    return data, modelling.train_hurdle(data, numeric, text, iterations=TREES, depth=DEPTH, baseline=baseline)
+    return data, modelling.train_hurdle(
+        data, numeric, text, iterations=TREES, depth=DEPTH, baseline=baseline, amount_iterations=AMOUNT_TREES)
 
 
 def _rows(spark, pairs):
@@ -81,13 +84,14 @@ def _classifier(spark, folder):
 
 def _cure(spark, folder):
     data, model = _classifier(spark, folder)
-    return model.transform(_of(data, "test")).select(*_EVENT, "label", "prediction")
+    scored_rows = modelling._raw_probability(model, _of(data, "test"))
+    return scored_rows.select(*_EVENT, "label", "p_cure_raw", (F.col("p_cure_raw") > 0.5).cast("double").alias("prediction"))
 
 
 def _amount(spark, folder):
     data, _, _ = _parts(spark, folder)
-    model, _, _ = modelling.train_amount_model(_of(data, "train"), _of(data, "validation"), TREES, DEPTH, 42)
-    return model.transform(_of(data, "test")).select(*_EVENT, amount_from_log(F.col("prediction")).alias("amount_pred"))
+    model, _, _ = modelling.train_amount_model(_of(data, "train"), _of(data, "validation"), AMOUNT_TREES, DEPTH, 42)
+    return _of(data, "test").select(*_EVENT, amount_from_log(boosting.score(model)).alias("amount_pred"))
 
 
 def _calibrated(spark, folder):
@@ -97,6 +101,42 @@ def _calibrated(spark, folder):
     return modelling._calibrated(raw, modelling.calibrate(raw)).select(*_EVENT, "label", "p_cure_raw", "p_cure")
 
 
+def _labelled(spark, folder):
+    return staged(targets.labelled_events(scored(spark, folder)), "labelled")
+
+
+def _platt(spark, folder):
+    """The curve that calibrates the closed-form score, and whether it is where the gradient vanishes."""
+    rows = staged(_labelled(spark, folder).select(F.col("p_cure").alias("p_cure_raw"), F.col("cured_in_horizon").alias("label")), "raw")
+    curve = modelling.calibrate(rows)
+    at = modelling.platt_gradient(rows, curve.slope, curve.shift)
+    small = max(abs(at["g_slope"]), abs(at["g_shift"])) < 1e-6
+    row = spark.createDataFrame([(at["n"], curve.slope, curve.shift, small)], "rows long, slope double, shift double, gradient_small boolean")
+    return tidy(row, slope=6, shift=6)
+
+
+def _medians(spark, folder):
+    """Quantiles of the amount due per instalment number: what the leaves of the amount model are worth, on given groups."""
+    rows = _labelled(spark, folder)
+    return tidy(quantiles.grouped_quantiles(rows, "number", "amount_due", [0.5, 0.9]), value=6)
+
+
+# Three stumps on late rate, partial rate and the full flag: threshold, value up to it, value beyond, weight.
+STUMPS = ((0.6, 0.4, -0.3, 1.0), (0.35, 0.25, -0.2, 0.5), (0.5, -0.1, 0.15, 0.5))
+_STUMP_COLUMNS = ("hist_late_rate", "hist_partial_rate", "is_full")
+
+
+def _prefixes(spark, folder):
+    """AUC after each tree of a small ensemble that SQL can state."""
+    trees = [boosting.Tree([k, -1, -1], [at, 0.0, 0.0], [None] * 3, [1, -1, -1], [2, -1, -1], [0.0, low, high])
+             for k, (at, low, high, _) in enumerate(STUMPS)]
+    model = boosting.TreeEnsemble(trees, [w for *_, w in STUMPS])
+    rows = VectorAssembler(inputCols=list(_STUMP_COLUMNS), outputCol="features").transform(
+        _labelled(spark, folder).select(*_STUMP_COLUMNS, F.col("cured_in_horizon").alias("label")))
+    found = boosting.prefix_auc(model, rows)
+    return tidy(spark.createDataFrame(list(enumerate(found, 1)), "trees int, auc double"), auc=9)
+
+
 def _baseline(spark, folder):
     data, numeric, text = _parts(spark, folder)
     return modelling.baseline_model(_of(data, "train").drop("features"), _of(data, "test").drop("features"), numeric, text).select("label", "p")
@@ -144,6 +184,9 @@ QUERIES = {
     "train_cure_model": _cure,
     "train_amount_model": _amount,
     "calibrate": _calibrated,
+    "calibrate_scorecard": _platt,
+    "grouped_medians": _medians,
+    "prefix_auc": _prefixes,
     "baseline_model": _baseline,
     "policy_report": _policy_report,
     "categorical_encoding": _encoding,
@@ -162,7 +205,35 @@ _LABELLED = TGT + """,
     cut3 AS (SELECT *, ceil(0.15::DOUBLE * (n - t - c)) AS v FROM cut2),
     part AS (SELECT customer_id, CASE WHEN k <= t THEN 'test' WHEN k <= t + c THEN 'calibration' WHEN k <= t + c + v THEN 'validation'
                                       ELSE 'train' END AS split FROM cut3)"""
+_M = f"{SCORED}, m AS MATERIALIZED (SELECT * FROM scored WHERE cured_in_horizon IS NOT NULL)"
+_STUMP_SCORES = [
+    f"CASE WHEN {c} <= {at}::DOUBLE THEN {low}::DOUBLE ELSE {high}::DOUBLE END * {w}::DOUBLE" for c, (at, low, high, w) in zip(_STUMP_COLUMNS, STUMPS)
+]
+_P_AT = "1 / (1 + exp(-(p_cure * slope + shift)))"
 CHECKS = {
+    # Newton steps, one per round of the recursion.
+    "calibrate_scorecard": tidy_sql(f"""
+        WITH RECURSIVE {_M}, g AS (
+            SELECT 0 AS k, 0.0::DOUBLE AS slope, 0.0::DOUBLE AS shift
+            UNION ALL
+            SELECT k + 1, slope - (hb * gs - hab * gb) / (ha * hb - hab * hab), shift - (ha * gb - hab * gs) / (ha * hb - hab * hab)
+            FROM (SELECT k, slope, shift, sum((p - y) * x) + slope AS gs, sum(p - y) AS gb, sum(p * (1 - p) * x * x) + 1 AS ha,
+                         sum(p * (1 - p) * x) AS hab, sum(p * (1 - p)) AS hb
+                  FROM (SELECT k, slope, shift, p_cure AS x, cured_in_horizon AS y, {_P_AT} AS p FROM g, m WHERE k < 15)
+                  GROUP BY k, slope, shift)),
+        e AS (SELECT slope, shift FROM g WHERE k = 15)
+        SELECT count(*) AS rows, slope, shift, abs(sum(({_P_AT} - cured_in_horizon) * p_cure) + slope) < 1e-6
+               AND abs(sum({_P_AT} - cured_in_horizon)) < 1e-6 AS gradient_small FROM e, m GROUP BY slope, shift""", slope=6, shift=6),
+    "grouped_medians": tidy_sql(with_ctes(_M, """
+        SELECT number, q AS probability, CASE q WHEN 0.5 THEN quantile_cont(amount_due, 0.5) ELSE quantile_cont(amount_due, 0.9) END AS value
+        FROM m, (SELECT unnest([0.5, 0.9])::DOUBLE AS q) GROUP BY number, q"""), value=6),
+    "prefix_auc": tidy_sql(with_ctes(_M + f""",
+        s AS (SELECT cured_in_horizon AS y, {_STUMP_SCORES[0]} AS a, {_STUMP_SCORES[1]} AS b, {_STUMP_SCORES[2]} AS c FROM m),
+        p AS (SELECT 1 AS trees, y, a AS v FROM s UNION ALL SELECT 2, y, a + b FROM s UNION ALL SELECT 3, y, a + b + c FROM s),
+        r AS (SELECT *, row_number() OVER (PARTITION BY trees ORDER BY v) AS i FROM p),
+        k AS (SELECT trees, y, avg(i) OVER (PARTITION BY trees, v) AS mid FROM r)""", """
+        SELECT trees, (sum(mid) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y)))::DOUBLE AS auc
+        FROM k GROUP BY trees"""), auc=9),
     "train_hurdle_splits": with_ctes(_LABELLED, """
         SELECT split, count(*) AS rows, sum(cured_in_horizon)::BIGINT AS cured, count(DISTINCT customer_id) AS customers
         FROM lab JOIN part USING (customer_id) GROUP BY split"""),
