@@ -57,11 +57,34 @@ def scope(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def staged_folder(df: DataFrame, name: str, *by: str) -> str:
-    """Write ``df`` as parquet, in a folder per value of ``by``, under the shared folder; where it stands."""
-    path = f"{stage_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Where to write next under the shared folder; deleted with the scope it is asked for in, if there is one."""
+    path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if _scopes:
         _scopes[-1].append(path)
+    return path
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Within, each finished job's shuffle files go at once, rather than when the driver collects its garbage.
+
+    For series of staged tables, whose jobs are never run again.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def staged_folder(df: DataFrame, name: str, *by: str) -> str:
+    """Write ``df`` as parquet, in a folder per value of ``by``, under the shared folder; where it stands."""
+    path = new_folder(df.sparkSession, name)
     df.write.partitionBy(*by).parquet(path)
     return path
 
