@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from duewise.llm.shared import flat_bytes, ready, sieve_flag, sifted
 from duewise.operators.ordering import hot_keys, split_hot
-from duewise.session import staged
+from duewise.session import freeing, new_folder, scope, staged
 
 LENGTH = 100
 GRAM = 32
@@ -374,7 +374,18 @@ def _whole_copies(heads: DataFrame) -> DataFrame:
 
 
 def _repeated(documents: DataFrame, copies: DataFrame) -> DataFrame:
-    """Per document with repeats that is no whole copy: the ranges of its repeated windows."""
+    """Per document with repeats that is no whole copy: the ranges of its repeated windows.
+
+    Tables written on the way are deleted once the ranges are.
+    """
+    spark = documents.sparkSession
+    folder = new_folder(spark, "ranges")
+    with scope(spark), freeing(spark):
+        _ranges_of(documents, copies).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _ranges_of(documents: DataFrame, copies: DataFrame) -> DataFrame:
     texts = _document(documents).where(F.octet_length("text") >= LENGTH)
     marked = sieve_flag(texts, "version", copies.select("version"))
     doubtful = marked.where("_maybe").select(*texts.columns)
@@ -410,7 +421,7 @@ def _repeated(documents: DataFrame, copies: DataFrame) -> DataFrame:
         snippets = snippets.where("not hot").select(*_SNIPPET).unionByName(parted.select(*_SNIPPET))
     parts.append(_sorted_repeats(snippets.select(*_SNIPPET), rows))
     ranges = reduce(DataFrame.unionByName, parts)
-    return staged(ranges.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "windows")).alias("ranges")), "ranges")
+    return ranges.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "windows")).alias("ranges"))
 
 
 def _cut(texts: DataFrame, ranges: DataFrame, column: str, kind: str, result) -> DataFrame:
