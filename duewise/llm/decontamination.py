@@ -11,7 +11,8 @@ the automaton that is sent to the tasks has a bounded size whatever the benchmar
 looks at all documents.
 
 Defined results: null texts and texts without words have no hits. Items without words have no
-window. Repeated items and repeated documents count each by themselves; ``n_items`` counts distinct
+window. Items without item_id hit like others; together they count as one item, and the digest of
+ids leaves them out. Repeated items and repeated documents count each by themselves; ``n_items`` counts distinct
 item ids. Other columns are neither read nor changed.
 """
 
@@ -25,7 +26,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from duewise.llm.shared import ready
 
@@ -86,13 +86,17 @@ class Automaton:
         return new
 
     def holding(self, state: int, size: int) -> int:
-        """The state of the last ``size`` words of a run that ends in ``state``."""
+        """The state of the last ``size`` words of a run that ends in ``state``.
+
+        A walk that goes on from there looks at one word more than ``size`` each time, so all its
+        climbs together take as many steps as it has words.
+        """
         while self.length[self.link[state]] >= size:
             state = self.link[state]
         return state
 
 
-def build(items: list[tuple[str, bytes]], window: int = WINDOW) -> Automaton:
+def build(items: list[tuple[str | None, bytes]], window: int = WINDOW) -> Automaton:
     found = Automaton(shortest=window)
     numbered = []
     for name, text in items:
@@ -106,11 +110,9 @@ def build(items: list[tuple[str, bytes]], window: int = WINDOW) -> Automaton:
     for name, numbers in numbered:
         size, state, run = min(window, len(numbers)), 0, 0
         for number in numbers:
-            state, run = found.steps[state][number], run + 1
+            state, run = found.holding(found.steps[state][number], size), run + 1
             if run >= size:
-                # The path of a whole item need not keep to one state per window, so look it up.
-                at = found.holding(state, size)
-                names = found.items.setdefault(at, {}).setdefault(size, [])
+                names = found.items.setdefault(state, {}).setdefault(size, [])
                 if not names or names[-1] != name:
                     names.append(name)
     return found
@@ -151,6 +153,8 @@ def _scan(words: list[bytes], found: Automaton, window: int) -> tuple[list[tuple
                     state = run = 0
                     continue
                 state, run = steps[state][number], run + 1
+                if run > window:  # longer matches hold no other window that ends here
+                    state, run = found.holding(state, window), window
                 if run < found.shortest:
                     continue
                 # Every window that ends here is the suffix of some size up to the run's.
@@ -210,11 +214,20 @@ def _scan_column(spark, items: list[tuple[str, bytes]], window: int, text: Colum
     return scan(text)
 
 
-@F.udf(StructType([StructField("n_hit", LongType()), StructField("n_items", LongType()), StructField("items_sha256", StringType())]))
-def _summed(spans, items):
-    hits = sum(b - a for a, b in _merged([(s.start, s.stop) for part in spans for s in part]))
-    names = sorted({n for part in items for n in part})
-    return hits, len(names), hashlib.sha256(",".join(names).encode()).hexdigest()
+def _summed(spans: Column, items: Column) -> Column:
+    """Words within any span, and the distinct items with the digest of their ids."""
+    ordered = F.array_sort(F.flatten(spans))
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("hits"))
+
+    def add(sofar: Column, span: Column) -> Column:
+        new = F.greatest(F.lit(0).cast("long"), span["stop"] - F.greatest(sofar["end"], span["start"]))
+        return F.struct(F.greatest(sofar["end"], span["stop"]).alias("end"), (sofar["hits"] + new).alias("hits"))
+
+    names = F.array_distinct(F.flatten(items))
+    digest = F.sha2(F.array_join(F.array_sort(F.array_compact(names)), ",").cast("binary"), 256)
+    return F.struct(
+        F.aggregate(ordered, start, add)["hits"].alias("n_hit"), F.size(names).cast("long").alias("n_items"), digest.alias("items_sha256")
+    )
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -235,7 +248,7 @@ def contamination_report(documents: DataFrame, benchmark: DataFrame, window: int
 
 
 def _sums(found: Column) -> Column:
-    """Most documents have no hit; those need no Python."""
+    """Most documents have no hit; those need no sums."""
     none = F.struct(F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.lit(hashlib.sha256(b"").hexdigest()).alias("items_sha256"))
     return F.when(F.exists(found, lambda f: F.size(f["spans"]) > 0), _summed(found["spans"], found["items"])).otherwise(none)
 

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from duewise.llm.decontamination import contamination_report, drop_contaminated, remove_spans
+from duewise.llm.decontamination import _scan, build, contamination_report, drop_contaminated, remove_spans
 from duewise.llm.shared import table
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -81,3 +81,35 @@ def test_spans_are_cut_out(spark, docs):
     frame = docs([(1, f"Before, {item.upper()}! after"), (2, "clean text"), (3, None)])
     rows = {r.doc_id: (r.text, r.removed) for r in remove_spans(frame, bench).collect()}
     assert rows == {1: ("Before, ! after", 13), 2: ("clean text", 0), 3: (None, 0)}
+
+
+def test_items_without_an_id(spark, docs):
+    words = " ".join(f"w{k}" for k in range(15))
+    other = " ".join(f"v{k}" for k in range(15))
+    schema = "item_id string, text string"
+    frame = docs([(1, words), (2, other + " " + words), (3, "nothing here")])
+    both = spark.createDataFrame([(None, words), ("b", other), (None, other)], schema)
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in contamination_report(frame, both).collect()}
+    empty, named = hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"b").hexdigest()
+    assert got == {1: (15, 1, empty), 2: (30, 2, named), 3: (0, 0, empty)}
+    alone = spark.createDataFrame([(None, words)], schema)
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in contamination_report(frame, alone).collect()} == {1: (15, 1), 2: (15, 1), 3: (0, 0)}
+    assert {r.doc_id for r in drop_contaminated(frame, alone).collect()} == {3}
+
+
+def test_repeated_words_take_linear_time():
+    def steps(n):
+        found, looks = build([("a", b"a " * n)]), 0
+
+        class Links(list):
+            def __getitem__(self, k):
+                nonlocal looks
+                looks += 1
+                return super().__getitem__(k)
+
+        found.link = Links(found.link)
+        spans, names = _scan([b"a"] * (5 * n), found, 13)
+        assert spans == [(0, 5 * n)] and names == {"a"}
+        return looks
+
+    assert steps(2_000) < 2.2 * steps(1_000)
