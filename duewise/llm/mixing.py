@@ -15,7 +15,7 @@ first. Other columns are neither read nor changed, except that the pipeline's st
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duewise.operators.ordering import running
@@ -63,36 +63,52 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def _placed(documents: DataFrame) -> DataFrame:
-    """doc_id, source, size, and the words before each in its source's order."""
-    sized = staged(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    keyed = sized.withColumn("key", random_key(F.col("doc_id")))
-    return running(keyed, [F.col("key"), F.col("doc_id"), F.col("size")], by=["source"], sums={"up_to": F.col("size")})
+def _placed(documents: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, source, size, the words up to each in its source's order, and what is carried along.
 
-
-def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS) -> DataFrame:
-    """doc_id, size, source_size, target and taken, one row per row of ``documents``."""
-    placed = _placed(documents)
+    Documents are dealt out by ranges of (source, random key) and add up their own words; the totals
+    of the parts, a row per part and source, are added up and set before. Copies follow one another.
+    """
+    spark = documents.sparkSession
+    sized = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carried)
+    # Range bounds and rows are two reads, so a row's number has to be the same in both.
+    keyed = (sized if carried else staged(sized, "sizes")).withColumns({"_key": random_key(F.col("doc_id")), "_copy": F.monotonically_increasing_id()})
+    order = [F.col(c).asc_nulls_first() for c in ("_key", "doc_id", "size", "_copy")]
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = keyed.repartitionByRange(parts, F.col("source").asc_nulls_first(), *order).withColumn("_part", F.spark_partition_id())
+    so_far = Window.partitionBy("_part", "source").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = staged(dealt.withColumn("_inside", F.sum("size").over(so_far)).drop("_key", "_copy"), "placed")
+    totals = inside.groupBy(F.col("_part").alias("_in"), F.col("source").alias("_of")).agg(F.sum("size").alias("_total"))
+    before = Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = staged(totals.select("_in", "_of", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_ahead")), "ahead")
+    joined = inside.join(ahead, (F.col("_part") == F.col("_in")) & F.col("source").eqNullSafe(F.col("_of")))
+    return joined.withColumn("up_to", F.col("_ahead") + F.col("_inside")).drop("_part", "_inside", "_in", "_of", "_ahead")
+
+
+def _taken(placed: DataFrame, weights, share: float, epochs: int) -> DataFrame:
+    """``placed`` with source_size, target and taken."""
     targets = staged(source_targets(placed, weights, share, epochs), "targets")
     # One row per source; Spark broadcasts it where its written size is small, else shuffles.
     joined = placed.join(targets.withColumnRenamed("source", "_source"), F.expr("source <=> _source"))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     left = F.floor(F.col("target")) - rounds * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - (F.col("up_to") - F.col("size"))))
-    return joined.select("doc_id", "size", "source_size", "target", (rounds * F.col("size") + part).cast("long").alias("taken"))
+    return joined.withColumn("taken", (rounds * F.col("size") + part).cast("long"))
+
+
+def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS) -> DataFrame:
+    """doc_id, size, source_size, target and taken, one row per row of ``documents``."""
+    return _taken(_placed(documents), weights, share, epochs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The documents that the mix takes, all columns, each as often as it is taken.
+def mixed_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS) -> DataFrame:
+    """The documents that the mix takes, all columns, each row as often as that row is taken.
 
-    A document that the cut goes through stays whole, one a source at most.
+    A document that the cut goes through stays whole, one a source at most. Rows travel along with
+    their place in the order, so copies and repeated ids are each taken for themselves. Give a scan or
+    a staged table.
     """
-    taken = mix(documents).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_times"), F.col("size").alias("_size")
-    ).groupBy("_id", "_size").agg(F.max("_times").alias("_times"))
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"), "doc_id", word_count(F.col("text")).alias("_words"))
-    return (
-        rows.join(taken, F.expr("doc_id <=> _id and _words = _size"))
-        .select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
-        .select("_row.*")
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
+    taken = _taken(_placed(documents, row), weights, share, epochs).where("taken > 0")
+    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), times)).alias("_time")).select("_row.*")

@@ -82,3 +82,16 @@ def test_the_stage_repeats_documents_as_taken(spark, docs, odd_rows):
     assert out.columns == frame.columns
     counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert counts == {i: n for i, n in wanted.items() if n}
+
+
+def test_the_stage_takes_copies_each_for_itself(spark):
+    rows = [(k % 40, "w " * 5, "abc"[k // 40], f"row {k}") for k in range(120)] + [(None, "w w", "a", "x"), (None, "w w", "a", "y")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, mark string")
+    out = mixed_documents(frame)
+
+    def rows_of(found):
+        return sorted((-1 if i is None else i, n) for i, n in found)
+
+    taken = rows_of((r.doc_id, math.ceil(r.taken / r["size"])) for r in mix(frame).collect() if r.taken)
+    assert out.count() == sum(n for _, n in taken)
+    assert rows_of((r.doc_id, r["count"]) for r in out.groupBy("doc_id", "mark").count().collect()) == taken
