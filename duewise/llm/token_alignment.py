@@ -39,7 +39,7 @@ from duewise.session import staged_folder
 
 BLOCK_BYTES = 4 << 20  # a block ends with the document that reaches this
 STREAM_BYTES = 1 << 20  # of texts that are encoded together
-WORDS = 200_000  # words of side b remembered per Python worker
+PIECES, WORDS = 150_000, 200_000  # of either side, remembered within a task
 
 
 def default_pieces() -> str:
@@ -130,7 +130,7 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.a = PieceEncoder(path_a)
+        self.a = PieceEncoder(path_a, PIECES)
         self.a.tokenizer.encode_special_tokens = True
         alphabet, names = _byte_alphabet(), {}
         for token, number in self.a.tokenizer.get_vocab().items():
@@ -311,7 +311,8 @@ def aligned_blocks(documents: DataFrame, path_a: str | None = None, path_b: str
             if gathered.docs:
                 yield gathered.row()
         finally:  # what is remembered ends with the task
-            _pairs[files].a.known, _pairs[files].a.older, _pairs[files].words = {}, {}, {}
+            _pairs[files].a.forget()
+            _pairs[files].words = {}
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(blocks, _BLOCK_SQL)
     folder = staged_folder(rows, "aligned")

@@ -17,7 +17,7 @@ then over the partitions' totals, and written as a second small table. Parquet a
 let a lost executor's work be done again, and any store that Spark knows can hold the files.
 
 Encoding goes through the tokenizers library. Its pre-tokenizer never joins what a single space
-parts, nor a single line break, so texts are cut there, pieces seen before come from a bounded memory, and new ones are
+parts, nor a single line break, so texts are cut there, pieces seen before in the task come from a memory bounded in pieces and bytes, and new ones are
 encoded as one text whose ids are parted by their bytes; texts with other white space next to white space are encoded as they are.
 
 Defined results: a null or empty text has the end id only. Repeated ids and rows follow one another.
@@ -43,7 +43,8 @@ from duewise.session import stage_dir
 END_ID = 0
 BLOCK_IDS = 2_000_000  # a block ends with the document that reaches this
 MARK_EVERY = 64
-MEMORY = 150_000  # pieces remembered per Python worker, twice
+MEMORY = 400_000  # pieces remembered within a task, twice
+MEMORY_BYTES = 24 << 20  # of text in them, twice
 _TIGHT = re.compile(r"\s\s")  # white space beside white space
 
 
@@ -106,11 +107,12 @@ def ef_select(k: int, low_bits: int, low: bytes, high: bytes, marks: bytes) -> i
 class PieceEncoder:
     """Ids of whole texts, with a bounded memory of pieces."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.memory, self.held_bytes = memory, 0
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # what was known before, until known is full again
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
@@ -144,8 +146,8 @@ class PieceEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes, with the end id."""
-        if len(self.known) > MEMORY:
-            self.older, self.known = self.known, {}
+        if len(self.known) > (self.memory or MEMORY) or self.held_bytes > MEMORY_BYTES:
+            self.older, self.known, self.held_bytes = self.known, {}, 0
         known, older, cut, new = self.known, self.older, [], []
         for text in texts:
             if text and (_TIGHT.search(text) or "\0" in text):
@@ -159,6 +161,7 @@ class PieceEncoder:
                 else:
                     new.append(piece)
         new = dict.fromkeys(new)
+        self.held_bytes += sum(map(len, new))
         # Letters and a sign after them are never one token, so only the letters may be new.
         signed = [p for p in new if p[-1] in ".,!?;:" and p[p[0] == " " : -1].isalpha()]
         plain = dict.fromkeys(p for p in (*new, *(p[:-1] for p in signed), *{p[-1] for p in signed}) if p not in known)
@@ -175,6 +178,10 @@ class PieceEncoder:
         ]
 
 
+    def forget(self) -> None:
+        self.known, self.older, self.held_bytes = {}, {}, 0
+
+
 _encoders: dict[str, PieceEncoder] = {}  # one per worker and file
 
 
@@ -220,19 +227,22 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str | None =
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number, docs, ids, size, part = encoder(tokenizer), 0, [], [], 0, 0
-        for batch in batches:
-            part = batch.column("part")[0].as_py() if len(batch) else part
-            for at in range(0, len(batch), 256):
-                piece = batch.slice(at, 256)
-                for doc, coded in zip(piece.column("doc_id").to_pylist(), held.encode(piece.column("text").to_pylist())):
-                    docs.append(doc)
-                    ids.append(coded)
-                    size += len(coded) // held.width
-                    if size >= block_ids:
-                        yield pa.RecordBatch.from_pylist([_block(part, number, docs, ids, held.width)], schema)
-                        number, docs, ids, size = number + 1, [], [], 0
-        if docs:
-            yield pa.RecordBatch.from_pylist([_block(part, number, docs, ids, held.width)], schema)
+        try:
+            for batch in batches:
+                part = batch.column("part")[0].as_py() if len(batch) else part
+                for at in range(0, len(batch), 256):
+                    piece = batch.slice(at, 256)
+                    for doc, coded in zip(piece.column("doc_id").to_pylist(), held.encode(piece.column("text").to_pylist())):
+                        docs.append(doc)
+                        ids.append(coded)
+                        size += len(coded) // held.width
+                        if size >= block_ids:
+                            yield pa.RecordBatch.from_pylist([_block(part, number, docs, ids, held.width)], schema)
+                            number, docs, ids, size = number + 1, [], [], 0
+            if docs:
+                yield pa.RecordBatch.from_pylist([_block(part, number, docs, ids, held.width)], schema)
+        finally:  # workers live on, so what a task remembers ends with it
+            held.forget()
 
     (
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

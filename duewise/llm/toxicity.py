@@ -87,6 +87,7 @@ class _Shard:
         return out
 
 
+# Shards of the task at hand; workers live on, so each task lets go of its own at the end.
 _loaded: OrderedDict[tuple[str, int], _Shard] = OrderedDict()
 
 
@@ -309,8 +310,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
 
     @F.arrow_udf("array<double>")
     def evidence(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in texts:
-            yield pa.array(list(_evidence(part, known, context)), pa.list_(pa.float64()))
+        try:
+            for part in texts:
+                yield pa.array(list(_evidence(part, known, context)), pa.list_(pa.float64()))
+        finally:
+            _loaded.clear()
 
     chosen = (
         labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) == 3))
@@ -328,9 +332,12 @@ def toxicity_score(model: ToxicityModel, spark, text: Column) -> Column:
     """The score of whole texts as a column, from 0 to 1."""
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in texts:
-            lettered = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            yield pa.array(np.where(lettered, _applied(model.curve, _evidence(part, model.known, model.context)), 0.0))
+        try:
+            for part in texts:
+                lettered = pc.fill_null(pc.match_substring_regex(part, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+                yield pa.array(np.where(lettered, _applied(model.curve, _evidence(part, model.known, model.context)), 0.0))
+        finally:
+            _loaded.clear()
 
     return score(text)
 
