@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,13 +131,64 @@ def draw_factors(simulation: int) -> tuple[int, int]:
     return tuple(int(hashlib.md5(f"{side}{simulation}".encode()).hexdigest()[:8], 16) % _PRIME for side in "ab")
 
 
+def _range_sums(factors: dict[int, tuple[int, int]], width: int, measures: tuple):
+    """Rows and sums per draw and range of the mix, from one array per task."""
+    prime, ranges = _PRIME, _PRIME // width + 1
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(factors), 1 + len(measures), ranges))
+        for batch in batches:
+            x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_x", "_y"))
+            values = [batch.column(m).to_numpy(zero_copy_only=False) for m in measures]
+            for k, (a, b) in enumerate(factors.values()):
+                at = (x * a + y * b) % prime // width
+                total[k, 0] += np.bincount(at, minlength=ranges)
+                for j, v in enumerate(values, 1):
+                    total[k, j] += np.bincount(at, v, minlength=ranges)
+        draw, where = np.nonzero(total[:, 0])
+        names = np.array(list(factors))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[draw].astype(np.int32)), pa.array(where.astype(np.int32)), pa.array(total[draw, 0, where].astype(np.int64)),
+             *[pa.array(total[draw, j, where]) for j in range(1, 1 + len(measures))]],
+            names=["sim", "_range", "_n", *measures],
+        )
+
+    return added
+
+
+def _range_rows(factors: dict[int, tuple[int, int]], width: int, edges: dict[int, list[int]]):
+    """The rows that a draw puts into one of its ``edges``, with their mix."""
+    prime, ranges = _PRIME, _PRIME // width + 1
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = {}
+        for sim, these in edges.items():
+            wanted[sim] = np.zeros(ranges, bool)
+            wanted[sim][these] = True
+        for batch in batches:
+            x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_x", "_y"))
+            rest = batch.select([c for c in batch.schema.names if c not in ("_x", "_y")])
+            for sim, mask in wanted.items():
+                a, b = factors[sim]
+                mix = (x * a + y * b) % prime
+                rows = np.flatnonzero(mask[mix // width])
+                if len(rows):
+                    part = rest.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows), sim, np.int32)), pa.array((mix[rows] // width).astype(np.int32)), pa.array(mix[rows]), *part.columns],
+                        names=["sim", "_range", "_mix", *part.schema.names],
+                    )
+
+    return chosen
+
+
 def random_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS, simulations: int = 200) -> DataFrame:
     """Mean and spread of random contact lists, drawn without replacement.
 
     A row is hashed once; a draw orders rows by a random linear mix of the two halves of that hash, and
-    its top n is the list. No draw is sorted: counts per range of the mix locate the range the n-th row
-    lies in, ranges before it count whole, and only that range is looked at row by row. Everything is
-    added up within tasks first.
+    its top n is the list. No draw is sorted, and no row is repeated per draw: each task adds up its
+    rows in one array of draws x ranges of the mix. The sums locate the range the n-th row lies in,
+    ranges before it count whole, and only rows of that range are looked at one by one.
     """
     rows, total, base = _overall(df)
     if rows == 0:
@@ -147,23 +201,15 @@ def random_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS, simulati
     def half(start: int) -> Column:
         return F.conv(F.substring(F.md5("_key"), start, 8), 16, 10).cast("long") % _PRIME
 
-    factors = F.array(*[
-        F.struct(F.lit(s).alias("sim"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-        for s in range(1, simulations + 1) for a, b in (draw_factors(s),)
-    ])
-    # Every row becomes `simulations` rows inside its task, so the narrow rows are spread first.
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select(draw_key(df).alias("_key"), *_outcomes(df)).repartition(spread)
+    factors = {n: draw_factors(n) for n in range(1, simulations + 1)}
+    keyed = df.select(draw_key(df).alias("_key"), *_outcomes(df))
     keyed = keyed.select("*", half(1).alias("_x"), half(9).alias("_y"))
-    draws = keyed.select("*", F.explode(factors).alias("_f")).select(
-        "_key", *measures, "_f.sim", ((F.col("_x") * F.col("_f.a") + F.col("_y") * F.col("_f.b")) % _PRIME).alias("_mix"))
-    draws = draws.withColumn("_range", F.expr(f"CAST(_mix DIV {width} AS INT)"))
-
-    def added_up(frame: DataFrame, *keys: str) -> DataFrame:
-        return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(m) for m in measures])
+    sums = ["_n", *measures]
 
     # simulations x ranges rows, however many rows the data has.
-    ranges = staged(added_up(draws, "sim", "_range"), "draws")
+    per_task = keyed.select("_x", "_y", *measures).mapInArrow(
+        _range_sums(factors, width, measures), "sim int, _range int, _n long, " + ", ".join(f"{m} double" for m in measures))
+    ranges = staged(per_task.groupBy("sim", "_range").agg(*[F.sum(c).alias(c) for c in sums]), "draws")
     before = Window.partitionBy("sim").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     so_far = ranges.select(
         "sim", "_range", "_n",
@@ -180,8 +226,12 @@ def random_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS, simulati
     )
     edge = staged(edge.drop("_n"), "edge")
 
-    edge_keys = edge.select("sim", "_range").distinct()
-    fine = added_up(draws.join(F.broadcast(edge_keys), ["sim", "_range"], "left_semi"), "sim", "_range", "_mix", "_key")
+    edges: dict[int, list[int]] = {}
+    for r in edge.select("sim", "_range").distinct().collect():  # a row per simulation and fraction at most
+        edges.setdefault(r["sim"], []).append(r["_range"])
+    rows_there = keyed.mapInArrow(
+        _range_rows(factors, width, edges), "sim int, _range int, _mix long, _key string, " + ", ".join(f"{m} double" for m in measures))
+    fine = rows_there.groupBy("sim", "_range", "_mix", "_key").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(m) for m in measures])
     inside = Window.partitionBy("sim", "_range").orderBy("_mix", "_key").rowsBetween(Window.unboundedPreceding, -1)
     fine = fine.withColumn("_earlier", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     joined = edge.join(fine.withColumnsRenamed({m: f"{m}_fine" for m in measures}), ["sim", "_range"])
