@@ -63,17 +63,17 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def _placed(documents: DataFrame, *carried: Column) -> DataFrame:
-    """doc_id, source, size, the words up to each in its source's order, and what is carried along.
+def _placed(documents: DataFrame) -> DataFrame:
+    """doc_id, source, mark of the text, size, and the words up to each in its source's order.
 
     Documents are dealt out by ranges of (source, random key) and add up their own words; the totals
     of the parts, a row per part and source, are added up and set before. Copies follow one another.
     """
     spark = documents.sparkSession
-    sized = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carried)
+    sized = documents.select("doc_id", "source", F.xxhash64("text").alias("mark"), word_count(F.col("text")).alias("size"))
     # Range bounds and rows are two reads, so a row's number has to be the same in both.
-    keyed = (sized if carried else staged(sized, "sizes")).withColumns({"_key": random_key(F.col("doc_id")), "_copy": F.monotonically_increasing_id()})
-    order = [F.col(c).asc_nulls_first() for c in ("_key", "doc_id", "size", "_copy")]
+    keyed = staged(sized, "sizes").withColumns({"_key": random_key(F.col("doc_id")), "_copy": F.monotonically_increasing_id()})
+    order = [F.col(c).asc_nulls_first() for c in ("_key", "doc_id", "size", "mark", "_copy")]
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = keyed.repartitionByRange(parts, F.col("source").asc_nulls_first(), *order).withColumn("_part", F.spark_partition_id())
     so_far = Window.partitionBy("_part", "source").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -89,7 +89,7 @@ def _taken(placed: DataFrame, weights, share: float, epochs: int) -> DataFrame:
     """``placed`` with source_size, target and taken."""
     targets = staged(source_targets(placed, weights, share, epochs), "targets")
     # One row per source; Spark broadcasts it where its written size is small, else shuffles.
-    joined = placed.join(targets.withColumnRenamed("source", "_source"), F.expr("source <=> _source"))
+    joined = placed.join(targets.withColumnRenamed("source", "_source"), F.expr("source <=> _source")).drop("_source")
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     left = F.floor(F.col("target")) - rounds * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - (F.col("up_to") - F.col("size"))))
@@ -104,11 +104,20 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int
 def mixed_documents(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS) -> DataFrame:
     """The documents that the mix takes, all columns, each row as often as that row is taken.
 
-    A document that the cut goes through stays whole, one a source at most. Rows travel along with
-    their place in the order, so copies and repeated ids are each taken for themselves. Give a scan or
-    a staged table.
+    A document that the cut goes through stays whole, one a source at most. Rows that agree in doc_id,
+    source and text follow one another in the order, so all of them are taken alike, unless the cut
+    goes through them: then as many of them, whichever, are taken once more as the cut leaves before it.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    taken = _taken(_placed(documents, row), weights, share, epochs).where("taken > 0")
+    key = ["doc_id", "source", "mark"]
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    return taken.select("_row", F.explode(F.sequence(F.lit(1), times)).alias("_time")).select("_row.*")
+    taken = _taken(_placed(documents), weights, share, epochs).where("size > 0").groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(
+        F.min(times).alias("_least"), F.max(times).alias("_most"), F.count_if(times == F.lit(1) + F.floor(F.col("target") / F.col("source_size"))).alias("_above")
+    ).where("_most > 0")
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"), "doc_id", "source", F.xxhash64("text").alias("mark"))
+    met = rows.join(taken, (F.col("doc_id").eqNullSafe(F.col("_doc_id"))) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("mark") == F.col("_mark")))
+    alike = met.where("_least = _most").withColumn("_times", F.col("_most"))
+    # One set of equal rows a source at most.
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    parted = met.where("_least < _most").withColumn("_times", F.when(place <= F.col("_above"), F.col("_most")).otherwise(F.col("_least")))
+    return alike.unionByName(parted).where("_times > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).select("_row.*")
