@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duewise.llm.shared import ready
+from duewise.llm.shared import let_go, ready
 
 WINDOW = 13
 BLOCK_WORDS = 50_000
@@ -203,13 +203,16 @@ def _scan_column(spark, items: list[tuple[str, bytes]], window: int, text: Colum
         kind = pa.struct([
             ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("items", pa.list_(pa.string())),
         ])
-        for part in texts:
-            rows = []
-            for text in pc.cast(part, pa.binary()).to_pylist():
-                words = normal_words(text or b"")
-                spans, names = _scan(words, found, window)
-                rows.append({"n_words": len(words), "spans": [{"start": a, "stop": b} for a, b in spans], "items": list(names)})
-            yield pa.array(rows, kind)
+        try:
+            for part in texts:
+                rows = []
+                for text in pc.cast(part, pa.binary()).to_pylist():
+                    words = normal_words(text or b"")
+                    spans, names = _scan(words, found, window)
+                    rows.append({"n_words": len(words), "spans": [{"start": a, "stop": b} for a, b in spans], "items": list(names)})
+                yield pa.array(rows, kind)
+        finally:
+            let_go()
 
     return scan(text)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duewise.llm.shared import ready
+from duewise.llm.shared import let_go, ready
 from duewise.session import stage_dir
 
 END_ID = 0
@@ -243,6 +243,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str | None =
                 yield pa.RecordBatch.from_pylist([_block(part, number, docs, ids, held.width)], schema)
         finally:  # workers live on, so what a task remembers ends with it
             held.forget()
+            let_go()
 
     (
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duewise.llm.shared import PIECE, flat_bytes, fold, is_held_out, padded_pieces, ready, sifted
+from duewise.llm.shared import PIECE, flat_bytes, fold, is_held_out, let_go, padded_pieces, ready, sifted
 from duewise.session import staged, staged_folder
 
 ORDER = 6  # bytes of an n-gram, the last one predicted
@@ -315,6 +315,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
                 yield pa.array(list(_evidence(part, known, context)), pa.list_(pa.float64()))
         finally:
             _loaded.clear()
+            let_go()
 
     chosen = (
         labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) == 3))
@@ -338,6 +339,7 @@ def toxicity_score(model: ToxicityModel, spark, text: Column) -> Column:
                 yield pa.array(np.where(lettered, _applied(model.curve, _evidence(part, model.known, model.context)), 0.0))
         finally:
             _loaded.clear()
+            let_go()
 
     return score(text)
 
