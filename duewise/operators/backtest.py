@@ -15,6 +15,7 @@ from duewise import fixed_values as V
 from duewise.functions.expressions import clip, fill_zero
 from duewise.operators.decision import tie_breakers
 from duewise.operators.ordering import running
+from duewise.operators.quantiles import nth_largest
 from duewise.session import staged
 
 STRATEGIES = {
@@ -49,36 +50,54 @@ def top_n(rows: int, fraction: float) -> int:
     return max(1, math.ceil(rows * fraction))
 
 
-def strategy_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS) -> DataFrame:
-    """Outcome of contacting the top fraction under each deterministic ranking.
+def _top_sums(narrow: DataFrame, strategies: list[str], ties: list[Column], sizes: list[int], rows: int) -> DataFrame:
+    """strategy, place in ``sizes``, and the outcomes' sums over its best rows.
 
-    The five rankings share one range partitioning of narrow rows (strategy, score, outcomes).
+    The n-th best score is selected from brackets, rows above it are added up by condition, and only
+    rows of exactly that score are ranked.
     """
+    cuts = nth_largest(narrow, {f"s{k}": F.col(f"_score_{k}") for k in range(len(strategies))}, sizes, rows)
+    spots = [(k, i, cuts[f"s{k}"][i]) for k in range(len(strategies)) for i in range(len(sizes))]
+    measures = ("_recovery", "_success", "_cost")
+    above = narrow.agg(*[
+        agg for k, i, cut in spots for above in (F.col(f"_score_{k}") > cut,)
+        for agg in (F.count_if(above).alias(f"_n_{k}_{i}"), *[F.sum(F.when(above, F.col(m))).alias(f"{m}_{k}_{i}") for m in measures])
+    ]).first()
+    room = {(k, i): sizes[i] - above[f"_n_{k}_{i}"] for k, i, _ in spots}
+    at_cut = F.array_compact(F.array(*[
+        F.when(F.col(f"_score_{k}") == cut, F.struct(F.lit(k).alias("_k"), F.lit(i).alias("_i"), F.lit(room[k, i]).cast("long").alias("_room")))
+        for k, i, cut in spots
+    ]))
+    tied = staged(narrow.select(*[c for c in narrow.columns if not c.startswith("_score_")], F.explode(at_cut).alias("_c")).select("*", "_c.*").drop("_c"), "tied")
+    ranked = running(tied, ties, by=["_k", "_i"]).where(F.col("position") <= F.col("_room"))
+    rest = ranked.groupBy("_k", "_i").agg(*[F.sum(m).alias(m) for m in measures])
+    known = narrow.sparkSession.createDataFrame(
+        [(k, i, strategies[k], *[float(above[f"{m}_{k}_{i}"] or 0.0) for m in measures]) for k, i, _ in spots],
+        "_k int, _i int, strategy string, " + ", ".join(f"_above{m} double" for m in measures),
+    )
+    return known.join(rest, ["_k", "_i"], "left").select(
+        "strategy", F.col("_i").alias("place"), *[(F.col(f"_above{m}") + F.coalesce(F.col(m), F.lit(0.0))).alias(m) for m in measures]
+    )
+
+
+def strategy_benchmark(df: DataFrame, fractions: tuple = V.TOP_FRACTIONS) -> DataFrame:
+    """Outcome of contacting the top fraction under each deterministic ranking. No ranking is sorted."""
     rows, total, base = _overall(df)
+    if rows == 0:
+        fractions = ()
     ties = [c for c in ("customer_id", "credit_id", "relative_due_day", "instalment_no", "amount_due") if c in df.columns]
-    scored = df.select(
-        *[F.col(c).alias(f"_tie_{c}") for c in ties],
-        *_outcomes(df),
-        F.explode(F.array(*[
-            F.struct(F.lit(s).alias("strategy"), _or_zero(df, c).alias("score")) for s, c in STRATEGIES.items()
-        ])).alias("_s"),
-    ).select("*", "_s.strategy", "_s.score").drop("_s")
-    order = [F.col("score").desc(), *[F.col(f"_tie_{c}").asc_nulls_last() for c in ties]]
-    ranked = running(scored, order, by=["strategy"])
+    narrow = staged(df.select(
+        *[F.col(c).alias(f"_tie_{c}") for c in ties], *_outcomes(df), *[_or_zero(df, c).alias(f"_score_{k}") for k, c in enumerate(STRATEGIES.values())],
+    ), "ranked-by")
     sizes = {f: top_n(rows, f) for f in fractions}
-    sums = ranked.where(F.col("position") <= max(sizes.values())).groupBy("strategy").agg(*[
-        F.sum(F.when(F.col("position") <= n, F.col(m))).alias(f"{m}_{i}")
-        for i, n in enumerate(sizes.values()) for m in ("_recovery", "_success", "_cost")
-    ])
-    per_fraction = sums.select(
-        "strategy",
-        F.explode(F.array(*[
-            F.struct(
-                F.lit(f).alias("top_pct"), F.lit(n).cast("long").alias("contacted"),
-                *[F.col(f"{m}_{i}").alias(m) for m in ("_recovery", "_success", "_cost")],
-            ) for i, (f, n) in enumerate(sizes.items())
-        ])).alias("_f"),
-    ).select("strategy", "_f.*")
+    strategies = list(STRATEGIES)
+    order = [F.col(f"_tie_{c}").asc_nulls_last() for c in ties]
+    sums = _top_sums(narrow, strategies, order, list(sizes.values()), rows) if rows else None
+    if sums is None:
+        sums = df.sparkSession.createDataFrame([], "strategy string, place int, _recovery double, _success double, _cost double")
+    shares = df.sparkSession.createDataFrame(
+        [(i, float(f), int(n)) for i, (f, n) in enumerate(sizes.items())], "place int, top_pct double, contacted long")
+    per_fraction = sums.join(F.broadcast(shares), "place").drop("place")
     rate = F.col("_success") / F.col("contacted")
     return per_fraction.select(
         "strategy",

@@ -21,10 +21,20 @@ LISTED_VALUES = 20_000  # distinct bracketed values that may reach the driver; m
 WIDENINGS = (1, 20, 400)  # how far brackets reach, in turn, should one miss its rank
 
 
+def nth_largest(df: DataFrame, columns: dict[str, Column], places: list[int], rows: int) -> dict[str, list[float]]:
+    """The values at the 1-based ``places`` from the top of each column, none of which may hold nulls; ``rows`` is their number."""
+    wanted = {n: (rows - n) / max(1, rows - 1) for n in places}
+    found = exact_quantiles(df, columns, {c: sorted(set(wanted.values())) for c in columns}, rows)
+    return {c: [found[c][wanted[n]] for n in places] for c in columns}
+
+
 class BracketMissed(ArithmeticError):
     """The approximate pass was further off than its bracket; a wider one is tried."""
 
 
+WHOLE = 1e-7  # a wanted place this near a rank is that rank
+
+
 @dataclass
 class _Zone:
     """Values in [low, high] are listed; values below the next zone's start are only counted."""
@@ -239,6 +249,7 @@ def read_off(steps: list[tuple], probabilities: list[float]) -> dict[float, floa
     out = {}
     for q in probabilities:
         spot = q * (total - 1)
+        spot = round(spot) if abs(spot - round(spot)) < WHOLE else spot
         low, high = at(math.floor(spot)), at(math.ceil(spot))
         out[q] = low if low == high else low + (high - low) * (spot - math.floor(spot))
     return out
