@@ -10,7 +10,7 @@ from duewise.operators import decision, views
 from duewise.operators.quantiles import exact_quantiles
 from duewise.queries.enrichments import ENRICHED_CTES
 from duewise.queries.shared import (
-    DECIDED, PORTFOLIO, SCORED, decided_ctes, enriched, portfolio, scored, staged, tidy, tidy_sql, with_ctes,
+    DECIDED, EVENT, PORTFOLIO, SCORED, decided_ctes, enriched, portfolio, scored, staged, tidy, tidy_sql, with_ctes,
 )
 
 _ACTION_COLUMNS = (
@@ -25,12 +25,12 @@ _KEY = ("credit_id", "due_day", "number", "instalment")
 _PS = (0.10, 0.25, 0.50, 0.90)
 
 
-def _decided(spark, folder):
-    return decision.recommend_actions(scored(spark, folder))
+def _decided(spark, folder, columns=EVENT):
+    return decision.recommend_actions(scored(spark, folder, columns))
 
 
 def _quantile_rows(spark, folder):
-    df = scored(spark, folder)
+    df = scored(spark, folder, ("amount_due", "p_cure", "last_ratio", "roll3_unpaid_sum"))
     columns = {c: F.col(c) for c in ("amount_due", "p_cure", "last_ratio", "roll3_unpaid_sum")}
     found = exact_quantiles(df, columns, {c: list(_PS) for c in columns})
     rows = [(c, q, float(found[c][q])) for c in columns for q in _PS]
@@ -38,7 +38,7 @@ def _quantile_rows(spark, folder):
 
 
 def _bucket(spark, folder):
-    df = scored(spark, folder)
+    df = scored(spark, folder, (*_KEY, "last_ratio"))
     cuts = exact_quantiles(df, {"r": F.col("last_ratio")}, {"r": [0.33, 0.66]})["r"]
     return df.select(*_KEY, tier(F.col("last_ratio"), cuts[0.33], cuts[0.66], V.AMOUNT_TIERS, "Medio").alias("bucket"))
 
@@ -56,11 +56,11 @@ def _roi(spark, folder):
 
 
 def _cap(spark, folder):
-    return scored(spark, folder).select(*_KEY, cap_by_debt(F.col("amount_pred") * 3, F.col("amount_due")).alias("capped"))
+    return scored(spark, folder, EVENT).select(*_KEY, cap_by_debt(F.col("amount_pred") * 3, F.col("amount_due")).alias("capped"))
 
 
 def _baseline(spark, folder):
-    df = staged(scored(spark, folder).withColumn("p_cure_untreated", F.col("hist_full_rate") * 0.25), "untreated")
+    df = staged(scored(spark, folder, (*EVENT, "hist_full_rate")).withColumn("p_cure_untreated", F.col("hist_full_rate") * 0.25), "untreated")
     return decision.recommend_actions(df).select(*_KEY, "baseline_recovery", "incremental_benefit", "expected_net_value", "priority")
 
 
@@ -73,7 +73,7 @@ def _review(spark, folder):
 
 
 def _outputs(spark, folder):
-    full = decision.add_human_review(decision.add_reason_codes(staged(_decided(spark, folder), "decided")))
+    full = decision.add_human_review(decision.add_reason_codes(staged(_decided(spark, folder, None), "decided")))
     out = decision.project_outputs(decision.portfolio_latest(full))
     return tidy(out, recovered_in_horizon=6)
 

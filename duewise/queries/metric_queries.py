@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from duewise.functions.expressions import cap_by_debt
 from duewise.operators import metrics, targets
 from duewise.operators.modelling import group_split
-from duewise.queries.shared import SCORED, scored, staged, tidy, tidy_sql, with_ctes
+from duewise.queries.shared import EVENT, OUTCOME, SCORED, scored, staged, tidy, tidy_sql, with_ctes
 
 _TIES = ["credit_id", "due_day", "number", "instalment"]
 
@@ -15,7 +15,7 @@ _TIES = ["credit_id", "due_day", "number", "instalment"]
 def _inputs(spark, folder):
     """Label, probability and amount of labelled events; written because ranks read it twice."""
     capped = cap_by_debt(F.col("amount_pred"), F.col("amount_due"))
-    return staged(targets.labelled_events(scored(spark, folder)).select(
+    return staged(targets.labelled_events(scored(spark, folder, EVENT + OUTCOME)).select(
         "customer_id", *_TIES, F.col("cured_in_horizon").alias("label"), F.col("p_cure").alias("p"),
         F.col("recovered_in_horizon").alias("amount"), capped.alias("amount_pred"), (F.col("p_cure") * capped).alias("expected"),
     ), "metric")

@@ -98,22 +98,23 @@ def _exact(spark, folder):
                 expected_net_value=1)
 
 
-def _action_rows(spark, folder):
+def _action_rows(table):
     """Feasible actions as rows of whom, id, cost and value."""
-    rows = allocation.plan_candidates(_action_table(spark, folder), entity=["customer_id"])
+    rows = allocation.plan_candidates(table, entity=["customer_id"])
     number = F.dense_rank().over(Window.partitionBy("customer_id").orderBy("credit_id", "action_cost"))
     return rows.select(F.col("entity_key").alias("who"), number.cast("long").alias("id"), "action_cost", "expected_net_value")
 
 
 def _hull_rows(spark, folder):
-    steps = hull.hull_steps(staged(_action_rows(spark, folder), "actions"))
+    steps = hull.hull_steps(staged(_action_rows(_action_table(spark, folder)), "actions"))
     return tidy(steps.select(F.col("who").cast("long").alias("customer_id"), "step", "cost", "value", "efficiency"), value=6, efficiency=9)
 
 
 def _lp_optimum(spark, folder):
     """The best fractional assignment, the whole steps of it, and the step between the two."""
-    found = hull.merge_steps(hull.hull_steps(staged(_action_rows(spark, folder), "actions")), BUDGET)
-    whole = allocation.plan_action_assignment(_action_table(spark, folder), budget=BUDGET, entity=["customer_id"])
+    table = _action_table(spark, folder)
+    found = hull.merge_steps(hull.hull_steps(staged(_action_rows(table), "actions")), BUDGET)
+    whole = allocation.plan_action_assignment(table, budget=BUDGET, entity=["customer_id"])
     s = whole.summary
     within = found.bound - s["expected_net_value"] <= found.step_value + 1e-6 and s["cost_used"] <= BUDGET + 1e-6
     rows = [("fractional optimum", found.bound), ("whole steps", found.value), ("price", found.price), ("next step", found.step_value),
