@@ -44,3 +44,24 @@ def test_a_missed_bracket_is_widened(spark, monkeypatch):
     values = [r["v"] for r in df.collect()]
     [got] = profiling.profile_numeric({"t": df}).collect()
     assert {n: got[n] for n in ("p01", "median", "p99", "outlier_iqr_count")} == {n: pytest.approx(v) for n, v in _plain(values).items() if n in ("p01", "median", "p99", "outlier_iqr_count")}
+
+
+def test_columns_are_thinned_by_rank_in_pieces(spark, monkeypatch):
+    """Every seventh value of each piece: moments stay whole, points stay near their ranks, the profile stays exact."""
+    from duewise.operators import column_scans
+
+    monkeypatch.setattr(column_scans, "PIECE_ROWS", 500)
+    monkeypatch.setattr(profiling, "POINTS", 800)
+    df = spark.range(0, 6_000, 1, 3).selectExpr(
+        "IF(id % 10 = 0, NULL, cast(pmod(xxhash64(id), 1009) as double) - 100) AS v", "cast(id % 2 as int) AS w")
+    values = sorted(r["v"] for r in df.collect() if r["v"] is not None)
+    pieces = column_scans.ranked_points(df, {"v": df["v"]}, 7)
+    points = sorted(p for r in pieces.collect() for p in r["points"])
+    assert abs(len(points) - len(values) / 7) <= 3
+    assert max(abs(np.searchsorted(values, p) / len(values) - k / len(points)) for k, p in enumerate(points)) < 0.02
+    got = {r["column"]: r for r in profiling.profile_numeric({"t": df}).collect()}
+    for name, value in _plain(values).items():
+        assert got["v"][name] == pytest.approx(value), name
+    assert got["v"]["mean"] == pytest.approx(np.mean(values)) and got["v"]["std"] == pytest.approx(np.std(values, ddof=1))
+    assert got["v"]["zero_pct"] == pytest.approx(values.count(0.0) / len(values)) and got["w"]["median"] == 0.5
+    assert got["v"]["negative_pct"] == pytest.approx(sum(v < 0 for v in values) / len(values)) and got["v"]["missing_pct"] == pytest.approx(0.1)
