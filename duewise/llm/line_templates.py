@@ -38,18 +38,25 @@ AT_ONCE, MOST_AT_ONCE = 16, 512
 RECURRING = 3
 FEWEST_TOKENS = 4
 SHORT_RECURRING = 10
-_SPACE = r"[\x09-\x0D ]+"
+_SPACE = r"[\x09\x0B-\x0D ]+"
+_RARE_SPACE = ("\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ")
 # A token with a digit, an at sign or a slash; no position is tried twice, however long a token is.
-_FIELD = r"(?<![^ ])[^ 0-9@/]*+[0-9@/][^ ]*+"
+_FIELD = r"(?<![^ \n])[^ \n0-9@/]*+[0-9@/][^ \n]*+"
 
 
-def masked_line(line: Column) -> Column:
-    """The line's tokens with one space between them, variable fields masked.
+def masked_lines(text: Column) -> Column:
+    """Of each line of a text its tokens with one space between them, variable fields masked.
 
-    Most lines need neither, which a look at their characters tells; only the others are rewritten.
+    Whole texts are rewritten before they are cut into lines, and only those that need it, which a look at their characters tells.
     """
-    spaced = F.when(F.rlike(line, F.lit(r"[\x09-\x0D]|  |^ | $")), F.trim(F.regexp_replace(line, _SPACE, " "))).otherwise(line)
-    return F.when(F.rlike(spaced, F.lit("[0-9@/]")), F.regexp_replace(spaced, _FIELD, "<*>")).otherwise(spaced)
+    rare = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    for signs in _RARE_SPACE:
+        rare = rare | F.contains(text, F.lit(signs))
+    once = F.regexp_replace(text, _SPACE, " ")
+    edged = F.replace(F.replace(once, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    spaced = F.when(rare, F.trim(edged)).otherwise(text)
+    masked = F.when(F.rlike(text, F.lit("[0-9@/]")), F.regexp_replace(spaced, _FIELD, "<*>")).otherwise(spaced)
+    return F.split(masked, "\n")
 
 
 def _says_something(masked: Column) -> Column:
@@ -58,7 +65,7 @@ def _says_something(masked: Column) -> Column:
 
 def _line_keys(text: Column) -> Column:
     """Per line of a text: number, masked line and leaf, which holds all tokens of a short one; lines of fields only must be long."""
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("n"), masked_line(line).alias("masked")))
+    lines = F.transform(masked_lines(text), lambda line, i: F.struct(i.alias("n"), line.alias("masked")))
     sized = F.transform(lines, lambda s: F.struct(
         s["n"].alias("n"), s["masked"].alias("masked"),
         (F.octet_length(s["masked"]) - F.octet_length(F.replace(s["masked"], F.lit(" "), F.lit(""))) + 1).alias("tokens"),
