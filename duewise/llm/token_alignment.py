@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duewise.llm.shared import flat_bytes, ready
+from duewise.llm.shared import flat_bytes, let_go, ready
 from duewise.llm.token_files import PieceEncoder, default_tokenizer
 from duewise.session import staged_folder
 
-BLOCK_BYTES = 4 << 20  # a block ends with the document that reaches this
-STREAM_BYTES = 1 << 20  # of texts that are encoded together
+BLOCK_BYTES = 2 << 20  # a block ends with the document that reaches this
+STREAM_BYTES = 1 << 18  # of texts that are encoded together
+SUMMED_TOKENS = 200_000  # of both sides, whose links are looked up together
+CUT_BYTES = 1 << 20  # longer texts are not cut into words for side b
 PIECES, WORDS = 150_000, 200_000  # of either side, remembered within a task
 
 
@@ -155,16 +158,30 @@ class Pair:
         if len(self.words) > WORDS:
             self.words = {}
         known, kind = self.words, self.side_b.kind
-        cut = [
-            None if not self.by_words or "  " in t or "▁" in t or t[:1] == " " or t[-1:] == " " or len(t) > STREAM_BYTES else t.split(" ") for t in texts
-        ]
-        new = list(set().union(*filter(None, cut)).difference(known))
-        for word, ids in zip(new, self.b.encode(new, num_threads=1)):
-            known[word] = np.array(ids, kind).tobytes()
-        return [
-            np.array(self.b.encode(t, num_threads=1), kind) if words is None else np.frombuffer(b"".join(map(known.__getitem__, words)), kind)
-            for t, words in zip(texts, cut)
-        ]
+        out, open_texts, new = [], [], set()
+        for t in texts:
+            if not self.by_words or "  " in t or "▁" in t or t[:1] == " " or t[-1:] == " " or len(t) > CUT_BYTES:
+                out.append(np.array(self.b.encode(t, num_threads=1), kind))
+                continue
+            words = t.split(" ")
+            found = list(map(known.get, words))
+            try:
+                out.append(np.frombuffer(b"".join(found), kind))
+            except TypeError:  # some are not known yet
+                holes = [k for k, ids in enumerate(found) if ids is None]
+                new.update(map(words.__getitem__, holes))
+                open_texts.append((len(out), words, found, holes))
+                out.append(None)
+        new = list(new)
+        coded = self.b.encode(new, num_threads=1)
+        ends = np.cumsum([0, *map(len, coded)]) * kind.itemsize
+        whole = np.fromiter(chain.from_iterable(coded), kind).tobytes()
+        known.update(zip(new, map(whole.__getitem__, map(slice, ends[:-1].tolist(), ends[1:].tolist()))))
+        for at, words, found, holes in open_texts:
+            for k in holes:
+                found[k] = known[words[k]]
+            out[at] = np.frombuffer(b"".join(found), kind)
+        return out
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides per text, none where a side does not give the text back."""
@@ -313,6 +330,8 @@ def aligned_blocks(documents: DataFrame, path_a: str | None = None, path_b: str
         finally:  # what is remembered ends with the task
             _pairs[files].a.forget()
             _pairs[files].words = {}
+            del gathered
+            let_go()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(blocks, _BLOCK_SQL)
     folder = staged_folder(rows, "aligned")
@@ -373,14 +392,22 @@ def align_tokenizers(documents: DataFrame, path_a: str | None = None, path_b: st
                 ids_a, ids_b = np.frombuffer(row["ids_a"].as_buffer(), a.kind), np.frombuffer(row["ids_b"].as_buffer(), b.kind)
                 last_a = np.unpackbits(np.frombuffer(row["last_a"].as_buffer(), np.uint8), count=len(ids_a)).astype(bool)
                 last_b = np.unpackbits(np.frombuffer(row["last_b"].as_buffer(), np.uint8), count=len(ids_b)).astype(bool)
-                at_a, at_b = links(np.cumsum(a.sizes[ids_a]), np.cumsum(b.sizes[ids_b]), last_a, last_b)
                 pairs, totals, best = _totals_of(folder, row["part"].as_py(), row["block"].as_py())
-                place = np.searchsorted(pairs, _pair_keys(ids_a, ids_b, at_a, at_b))
-                text = np.searchsorted(np.cumsum(n_a), at_a, "right")
                 n_best, count_sum = np.zeros(len(n_a), np.int64), np.zeros(len(n_a), np.int64)
-                if len(place):
-                    np.add.at(n_best, text, best[place].astype(np.int64))
-                    np.add.at(count_sum, text, totals[place])
+                ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
+                # Links never cross documents, so some documents at a time do, and arrays stay small.
+                cuts = np.flatnonzero(np.diff((ends_a + ends_b) // SUMMED_TOKENS)) + 1
+                for docs in map(slice, [0, *cuts.tolist()], [*cuts.tolist(), len(n_a)]):
+                    if docs.stop == docs.start:
+                        continue
+                    of_a = slice(ends_a[docs.start] - n_a[docs.start], ends_a[docs.stop - 1])
+                    of_b = slice(ends_b[docs.start] - n_b[docs.start], ends_b[docs.stop - 1])
+                    at_a, at_b = links(np.cumsum(a.sizes[ids_a[of_a]]), np.cumsum(b.sizes[ids_b[of_b]]), last_a[of_a], last_b[of_b])
+                    if len(at_a):
+                        place = np.searchsorted(pairs, _pair_keys(ids_a[of_a], ids_b[of_b], at_a, at_b))
+                        text = np.searchsorted(np.cumsum(n_a[docs]), at_a, "right")
+                        np.add.at(n_best[docs], text, best[place].astype(np.int64))
+                        np.add.at(count_sum[docs], text, totals[place])
                 yield pa.RecordBatch.from_arrays(
                     [row["doc_ids"].values, pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_a + n_b - n_groups),
                      pa.array(n_best), pa.array(count_sum), row["digests"].values],
