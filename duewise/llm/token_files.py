@@ -18,7 +18,7 @@ let a lost executor's work be done again, and any store that Spark knows can hol
 
 Encoding goes through the tokenizers library. Its pre-tokenizer never joins what a single space
 parts, nor a single line break, so texts are cut there, pieces seen before in the task come from a memory bounded in pieces and bytes, and new ones are
-encoded as one text whose ids are parted by their bytes; texts with other white space next to white space are encoded as they are.
+encoded some together as one text whose ids are parted where pieces begin; texts with other white space next to white space are encoded as they are.
 
 Defined results: a null or empty text has the end id only. Repeated ids and rows follow one another.
 Rows without a doc_id come first. An empty table writes no block. Other columns are not read.
@@ -45,6 +45,7 @@ BLOCK_IDS = 2_000_000  # a block ends with the document that reaches this
 MARK_EVERY = 64
 MEMORY = 400_000  # pieces remembered within a task, twice
 MEMORY_BYTES = 24 << 20  # of text in them, twice
+JOINED = 50  # pieces that are encoded as one text; longer ones take more time a piece
 _TIGHT = re.compile(r"\s\s")  # white space beside white space
 
 
@@ -117,29 +118,31 @@ class PieceEncoder:
         self.older: dict[str, bytes] = {}  # what was known before, until known is full again
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        # Byte-level tokens are written with one character per byte, a space and a line break with these.
+        self.opens, self.breaks = np.zeros(self.tokenizer.get_vocab_size(), bool), np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
-            self.sizes[number] = len(token)  # byte-level tokens are written with one character per byte
+            self.opens[number], self.breaks[number] = token[:1] in ("\u0120", "\u010a"), token == "\u010a"
         self.end = np.array([END_ID], self.kind).tobytes()
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces as one text, and part its ids where the pieces' bytes end.
+        """Encode new pieces as a few texts, and part their ids where pieces begin.
 
-        A line break, which is an id of its own, stands before a piece that brings no space.
+        A line break, which is an id of its own, stands before a piece that brings no space. As
+        pieces hold neither further on, ids that begin with either begin a piece.
         """
-        clear = [p for p in pieces if not p[-1].isspace() and not p[p[0] == " "].isspace()]
+        clear = [p for p in pieces if not p[-1].isspace() and (p[0] == " " or not p[0].isspace())]
         joined = [p if p[0] == " " else "\n" + p for p in clear]
-        [coded] = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)
-        ids = np.array(coded.ids, self.kind)
-        ends = np.cumsum([len(p.encode()) for p in joined])
-        stops = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-        whole, begin = ids.tobytes(), 0
-        for piece, stop in zip(clear, (stops * self.width).tolist()):
-            self.known[piece] = whole[begin if piece[0] == " " else begin + self.width : stop]
-            begin = stop
+        texts = ["".join(joined[at : at + JOINED]) for at in range(0, len(joined), JOINED)]
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, self.kind), *(np.array(c.ids, self.kind) for c in coded)])
+        begins = np.flatnonzero(self.opens[ids])
+        if len(begins) == len(clear):
+            stops = np.append(begins[1:], len(ids))
+            places = map(slice, ((begins + self.breaks[ids[begins]]) * self.width).tolist(), (stops * self.width).tolist())
+            self.known.update(zip(clear, map(ids.tobytes().__getitem__, places)))
         for piece in pieces:
             if piece not in self.known:
                 self.known[piece] = self._ids(piece)
@@ -148,40 +151,56 @@ class PieceEncoder:
         """The ids of each text as bytes, with the end id."""
         if len(self.known) > (self.memory or MEMORY) or self.held_bytes > MEMORY_BYTES:
             self.older, self.known, self.held_bytes = self.known, {}, 0
-        known, older, cut, new = self.known, self.older, [], []
+        known, older, out, open_texts, new = self.known, self.older, [], [], set()
         for text in texts:
             if text and (_TIGHT.search(text) or "\0" in text):
-                cut.append(None)
+                out.append(self._ids(text) + self.end)
                 continue
-            pieces = list(filter(None, (text or "").replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))
-            cut.append(pieces)
-            for piece in set(pieces).difference(known):
-                if piece in older:
-                    known[piece] = older[piece]
-                else:
-                    new.append(piece)
-        new = dict.fromkeys(new)
-        self.held_bytes += sum(map(len, new))
+            # As no white space stands beside white space, only the first and the last piece may be empty.
+            pieces = (text or "").replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+            if not pieces[-1]:
+                pieces.pop()
+            if pieces and not pieces[0]:
+                del pieces[0]
+            found = list(map(known.get, pieces))
+            try:
+                out.append(b"".join(found) + self.end)
+            except TypeError:  # some are not known yet
+                holes = [k for k, ids in enumerate(found) if ids is None]
+                new.update(map(pieces.__getitem__, holes))
+                open_texts.append((len(out), pieces, found, holes))
+                out.append(b"")
+        again = [p for p in new if p in older]
+        known.update((p, older[p]) for p in again)
+        new.difference_update(again)
+        self.held_bytes += sum(map(len, new)) + sum(map(len, again))
         # Letters and a sign after them are never one token, so only the letters may be new.
         signed = [p for p in new if p[-1] in ".,!?;:" and p[p[0] == " " : -1].isalpha()]
-        plain = dict.fromkeys(p for p in (*new, *(p[:-1] for p in signed), *{p[-1] for p in signed}) if p not in known)
-        for piece in signed:
-            del plain[piece]
-        plain = list(plain)
+        new.difference_update(signed)
+        new.update(p for s in signed for p in (s[:-1], s[-1]) if p not in known)
+        plain = list(new)
         for at in range(0, len(plain), 20_000):
             self._learn(plain[at : at + 20_000])
         for piece in signed:
             known[piece] = known[piece[:-1]] + known[piece[-1]]
-        return [
-            self._ids(text) + self.end if pieces is None else b"".join(map(known.__getitem__, pieces)) + self.end
-            for text, pieces in zip(texts, cut)
-        ]
-
+        for at, pieces, found, holes in open_texts:
+            for k in holes:
+                found[k] = known[pieces[k]]
+            out[at] = b"".join(found) + self.end
+        return out
 
     def forget(self) -> None:
         self.known, self.older, self.held_bytes = {}, {}, 0
 
 
+def forget_pieces() -> None:
+    """Workers live on, so what encoding tasks remembered goes with the first other task."""
+    if any(held.known or held.older for held in _encoders.values()):
+        for held in _encoders.values():
+            held.forget()
+        let_go()
+
+
 _encoders: dict[str, PieceEncoder] = {}  # one per worker and file
 
 
@@ -241,8 +260,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str | None =
                             number, docs, ids, size = number + 1, [], [], 0
             if docs:
                 yield pa.RecordBatch.from_pylist([_block(part, number, docs, ids, held.width)], schema)
-        finally:  # workers live on, so what a task remembers ends with it
-            held.forget()
+        finally:  # pieces stay for the worker's next task; reading, which follows, forgets them
             let_go()
 
     (
@@ -273,6 +291,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     starts = spark.read.schema("part int, block int, start long").parquet(f"{folder}/starts")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_pieces()
         for batch in batches:
             for b in batch.to_pylist():
                 ends = ef_decode(b["n_docs"], b["low_bits"], b["low"], b["high"])
@@ -300,6 +319,7 @@ def read_texts_ids(spark: SparkSession, folder: str) -> DataFrame:
     ready(spark)
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_pieces()
         for batch in batches:
             for b in batch.to_pylist():
                 ends = ef_decode(b["n_docs"], b["low_bits"], b["low"], b["high"])
