@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from duewise.functions.expressions import amount_from_log, clip, entity_key, log_amount, prefix_columns, safe_divide, to_number
 from duewise.operators import history, policy, targets
-from duewise.session import staged
 from duewise.queries.shared import (
     EV, HIST, HISTORY_DIGITS, PREP, TGT, credit_table, events, featured, shape_ctes, targets_sql, tidy, tidy_sql,
     with_ctes, with_targets,
@@ -81,7 +80,7 @@ def _feature_rows(spark, folder):
     data = history.join_application(
         history.join_previous(with_targets(spark, folder), credit_table(spark, folder, "previous")),
         credit_table(spark, folder, "application"))
-    numeric, text = policy.feature_columns(staged(data, "features"))
+    numeric, text = policy.feature_columns(data, scan=False)
     out = spark.createDataFrame(
         [(c, "numeric") for c in numeric] + [(c, "categorical") for c in text], "name string, kind string")
     return out
