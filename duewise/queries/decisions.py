@@ -64,8 +64,12 @@ def _baseline(spark, folder):
     return decision.recommend_actions(df).select(*_KEY, "baseline_recovery", "incremental_benefit", "expected_net_value", "priority")
 
 
+# What reasons are found in.
+_REASON_COLUMNS = ("amount_due", "hist_late_rate", "hist_partial_rate", "roll3_ratio_mean", "bureau_credit_day_overdue_max", "pos_dpd_max", "cc_dpd_max")
+
+
 def _reasons(spark, folder):
-    return decision.add_reason_codes(enriched(spark, folder)).select(*_KEY, "reason_codes")
+    return decision.add_reason_codes(enriched(spark, folder, _KEY + _REASON_COLUMNS)).select(*_KEY, "reason_codes")
 
 
 def _review(spark, folder):
