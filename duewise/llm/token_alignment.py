@@ -39,6 +39,7 @@ from duewise.llm.token_files import PieceEncoder, default_tokenizer
 from duewise.session import staged_folder
 
 BLOCK_BYTES = 2 << 20  # a block ends with the document that reaches this
+GROUP_BLOCKS = 4  # written together: Parquet's writer would hold 100 rows before it first looks at their size, and its reader a group
 STREAM_BYTES = 1 << 18  # of texts that are encoded together
 SUMMED_TOKENS = 200_000  # of both sides, whose links are looked up together
 CUT_BYTES = 1 << 20  # longer texts are not cut into words for side b
@@ -334,7 +335,7 @@ def aligned_blocks(documents: DataFrame, path_a: str | None = None, path_b: str
             let_go()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(blocks, _BLOCK_SQL)
-    folder = staged_folder(rows, "aligned")
+    folder = staged_folder(rows, "aligned", **{"parquet.block.row.count.limit": GROUP_BLOCKS})
     return spark.read.schema(_BLOCK_SQL).parquet(folder)
 
 
