@@ -33,7 +33,8 @@ def grown(spark, monkeypatch):
         return grow
 
     data = _enriched(spark)
-    monkeypatch.setattr(model_queries, "enriched", lambda spark, folder: data)
+    for name in ("enriched", "enriched_events"):
+        monkeypatch.setattr(model_queries, name, lambda spark, folder: data)
     for name in ("boost_classifier", "boost_absolute"):
         monkeypatch.setattr(boosting, name, booster(name))
     return asked
