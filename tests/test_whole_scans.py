@@ -116,3 +116,9 @@ def test_missing_values_are_counted_table_by_table(spark):
     assert len(_stages(spark, "missing") - before) == 2
     assert sorted((r["table"], r["column"], r["missing_count"], r["unique_count"]) for r in found.collect()) == [
         ("first", "x", 1, 1), ("first", "y", 1, 1), ("second", "z", 1, 1)]
+
+
+def test_the_baseline_keeps_one_copy_of_its_rows(spark, folder):
+    before = _stages(spark, "enriched"), _stages(spark, "parts")
+    model_queries.QUERIES["baseline_model"](spark, folder).count()
+    assert _stages(spark, "enriched") == before[0] and len(_stages(spark, "parts") - before[1]) == 1
